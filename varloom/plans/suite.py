@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_DOMAINS = ("qc",)
+_DOMAINS = ("qc", "normalize")
 
 QUERIES: dict = {}
 ORACLE: dict = {}
