@@ -102,12 +102,38 @@ union all
 select chromosome, position-1, chromosome, position+9 from ({PARTS}) b where p%3=2
 """
 
-# External assertions: one submitted record per order, about the variant of its customer key.
+# All calls with the canonical variant they are about; no usable allele -> NULL counts.
+SAMPLE_CALLS = f"""
+select sample_id, s, p, 'var-' || cast(p as string) as variant_id,
+  case when length(token) <= 2 and token <> '--' then length(token) end as ploidy,
+  case when length(token) <= 2 and token <> '--'
+    then length(token) - length(replace(token, alt, '')) end as alt_count, {LINE_ORDER}
+from ({CALLS}) c
+"""
+
+VARIANTS = f"""
+select 'var-' || cast(p as string) as variant_id, 'GRCh38' as assembly, chromosome, position,
+  ref as reference, alt as alternate, p from ({PARTS}) a where p%31<>5
+union all
+select 'var-dup-' || cast(p as string), 'GRCh38', chromosome, position, ref, alt, p
+from ({PARTS}) b where p%31=4
+"""
+
+REPRESENTATIONS = f"""
+select 'rep-' || cast(p as string) as representation_id,
+  'VCV' || lpad(cast(p as string),9,'0') as vcv_accession, 1+p%4 as vcv_version, p,
+  case when p%31=1 then 'Haplotype' else 'SimpleAllele' end as variation_type,
+  case when p%31=2 then 'GRCh37' else 'GRCh38' end as assembly, chromosome, position,
+  ref as reference, case when p%31=3 then null else alt end as alternate from ({PARTS}) a
+"""
+
+# External assertions: one submitted record per order, about the variant of its customer key,
+# and one source-computed aggregate per part.
 ASSERTIONS = """
-select o_orderkey, p, 'rep-' || cast(p as string) as representation_id,
+select 'rep-' || cast(p as string) as representation_id, p,
   'as-' || lpad(cast(o_orderkey as string),12,'0') as assertion_id,
-  'SCV' || lpad(cast(o_orderkey as string),12,'0') as scv_accession,
-  1 + o_orderkey%3 as accession_version,
+  'SCV' || lpad(cast(o_orderkey as string),12,'0') as source_accession,
+  1 + o_orderkey%3 as accession_version, 'source_submitted' as assertion_level,
   case when p%7=0 then 'somatic_clinical_impact' else 'germline' end as classification_type,
   case term_index when 0 then 'Pathogenic' when 1 then 'Benign' when 2 then ' benign '
     when 3 then 'Uncertain  significance' when 4 then 'Likely benign' else 'novel term' end as term,
@@ -117,9 +143,20 @@ select o_orderkey, p, 'rep-' || cast(p as string) as representation_id,
     when 3 then 'Criteria  provided, single submitter' when 4 then 'no assertion criteria provided'
     else null end as review_status,
   case when o_orderkey%10=7 then null else cast(o_orderdate as date) end as date_last_evaluated,
-  'lab ' || cast(o_custkey%17 as string) as submitter_name, o_orderpriority
+  'lab ' || cast(o_custkey%17 as string) as submitter_name
 from (select *, (p%6 + case when o_orderkey%8=0 then 1 else 0 end)%6 as term_index
   from (select *, o_custkey as p from {orders}) x) y
+union all
+select 'rep-' || cast(p_partkey as string), p_partkey,
+  'av-' || lpad(cast(p_partkey as string),12,'0'),
+  'VCV' || lpad(cast(p_partkey as string),9,'0'), 1+p_partkey%4, 'source_computed_aggregate',
+  case when p_partkey%7=0 then 'oncogenicity' else 'germline' end,
+  case when p_partkey%13=4 then 'Conflicting classifications of pathogenicity'
+    when p_partkey%6=3 then 'Uncertain significance' when p_partkey%6=0 then 'Pathogenic'
+    else 'Benign' end,
+  case when p_partkey%13=4 then 'replaced' else 'Current record' end,
+  'criteria provided, single submitter', cast('2001-06-15' as date), null
+from {part} where p_partkey%5<>0
 """
 
 RELEASE_DATE = "2003-01-01"
@@ -149,6 +186,9 @@ VIEWS = {
     "ref_tiles": REF_TILES,
     "liftover": LIFTOVER,
     "assertions": ASSERTIONS,
+    "sample_calls": SAMPLE_CALLS,
+    "variants": VARIANTS,
+    "representations": REPRESENTATIONS,
     "members": MEMBERS,
     "parent_edges": PARENT_EDGES,
 }

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_DOMAINS = ("qc", "normalize")
+_DOMAINS = ("qc", "normalize", "review")
 
 QUERIES: dict = {}
 ORACLE: dict = {}
