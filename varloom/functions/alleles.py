@@ -62,3 +62,19 @@ def effect_dosage(alt_count: Column, effect: Column, alternate: Column) -> Colum
 
 def standardized(dosage: Column, mean: Column, scale: Column) -> Column:
     return (dosage - mean) / scale
+
+
+def foreign_code(alleles: Column, reference: Column, alternate: Column) -> Column:
+    """Integer naming an SNV allele multiset that leaves {REF, ALT}; NULL when it stays inside."""
+    outside = F.exists(alleles, lambda a: (a != reference) & (a != alternate))
+    code = F.aggregate(
+        F.array_sort(alleles),
+        F.lit(0),
+        lambda acc, a: acc * 5 + base_index(a),
+    )
+    return F.when(outside, code + 64)
+
+
+def base_index(base: Column) -> Column:
+    """1..4 for A, C, G, T and 0 for anything else."""
+    return F.when(F.length(base) == 1, F.instr(F.lit("ACGT"), base)).otherwise(0)

@@ -8,28 +8,35 @@ hash aggregation over integers with map-side combine, whatever the group size.
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def call_code() -> Column:
-    return F.col("ploidy") * 4 + F.col("alt_count")
+def call_code(foreign: bool = False) -> Column:
+    inside = F.col("ploidy") * 4 + F.col("alt_count")
+    return F.coalesce("foreign_code", inside) if foreign else inside
 
 
 def collapse(genotypes: DataFrame, *keys: str) -> DataFrame:
     """Per (sample, key): row count, multiset agreement, ploidy range, ALT counts.
 
     Rows with NULL ``alt_count`` (no usable call) only keep the group present.
+    An optional ``foreign_code`` marks multisets with an allele outside {REF, ALT}.
     """
     keys = keys or ("variant_id",)
-    diploid = F.col("ploidy") == 2
+    foreign = "foreign_code" in genotypes.columns
+    code, diploid = call_code(foreign), F.col("ploidy") == 2
+    inside = diploid & F.col("foreign_code").isNull() if foreign else diploid
+    outside = F.count("foreign_code") if foreign else F.lit(0).cast("bigint")
     return genotypes.groupBy("sample_id", *keys).agg(
         F.count("alt_count").alias("call_count"),
-        F.min(call_code()).alias("low_code"),
-        F.max(call_code()).alias("high_code"),
+        outside.alias("foreign_count"),
+        F.min(code).alias("low_code"),
+        F.max(code).alias("high_code"),
         F.max("alt_count").alias("max_alt"),
         F.min("alt_count").alias("min_alt"),
         F.min("ploidy").alias("min_ploidy"),
         F.max("ploidy").alias("max_ploidy"),
-        F.count_if(diploid).alias("diploid_count"),
-        F.min(F.when(diploid, F.col("alt_count"))).alias("diploid_low"),
-        F.max(F.when(diploid, F.col("alt_count"))).alias("diploid_high"),
+        F.min(F.when(diploid, code)).alias("diploid_low"),
+        F.max(F.when(diploid, code)).alias("diploid_high"),
+        F.min(F.when(inside, F.col("alt_count"))).alias("valid_low"),
+        F.max(F.when(inside, F.col("alt_count"))).alias("valid_high"),
     )
 
 

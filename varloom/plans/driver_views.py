@@ -25,6 +25,13 @@ def _chrom(k):
     return _CHROM.replace("{k}", k)
 
 
+def _third(k):
+    """The base after ALT in ACGT order that is neither REF nor ALT."""
+    return (
+        f"substr('ACGT', cast(1 + ({k}+1+{k}%3 + case when {k}%3=2 then 2 else 1 end)%4 as int), 1)"
+    )
+
+
 LINE_ORDER = (
     "l_orderkey,l_linenumber,l_partkey,l_quantity,l_extendedprice,l_discount,l_tax,l_shipdate"
 )
@@ -53,19 +60,22 @@ from ({CALLS}) c
 """
 
 # Canonical genotypes (one- and two-letter tokens, already on the canonical strand).
+# Markers with p%41=7 read their ALT as a third base, i.e. an allele outside REF/ALT.
 GENOTYPES = f"""
 select sample_id, s, p, 'var-' || cast(p as string) as variant_id, 'GRCh38' as assembly,
   source_chromosome as chromosome, source_position as position, ref as reference,
-  alt as alternate, token, length(token) as ploidy,
-  length(token) - length(replace(token, alt, '')) as alt_count, {LINE_ORDER}
-from ({CALLS}) c where length(token) <= 2 and token <> '--'
+  alt as alternate, pair, length(pair) as ploidy,
+  length(pair) - length(replace(pair, alt, '')) as alt_count,
+  replace(replace(pair, alt, ''), ref, '') as foreign_bases, {LINE_ORDER}
+from (select *, case when p%41=7 then replace(token, alt, {_third('p')}) else token end as pair
+  from ({CALLS}) c where length(token) <= 2 and token <> '--') d
 """
 
 PARTS = f"""
 select p_partkey as p, p_brand, p_type, p_size, 'rs' || cast(p_partkey as string) as marker_id,
   {_chrom("p_partkey")} as chromosome, 1000+10*p_partkey as position,
   {_ref("p_partkey")} as ref, {_alt("p_partkey")} as alt,
-  {_alt("(p_partkey+1)").replace("((p_partkey+1)+1+(p_partkey+1)%3)", "(p_partkey+1+(p_partkey+1)%3)")} as alt2
+  substr('ACGT', cast(1 + (p_partkey+1+(p_partkey+1)%3)%4 as int), 1) as alt2
 from {{part}}
 """
 
@@ -161,6 +171,77 @@ from {part} where p_partkey%5<>0
 
 RELEASE_DATE = "2003-01-01"
 
+# Score models: two neighbouring autosomal parts form one model.
+PGS_VARIANTS = f"""
+select 'PGS' || lpad(cast(p-p%2 as string),9,'0') as pgs_id, p, 'var-' || cast(p as string) as variant_id,
+  'GRCh38' as assembly, chromosome, position, ref as reference, alt as alternate,
+  case when p%4<2 then ref else alt end as effect_allele,
+  cast(cast(p%2001-1000 as decimal(9,3))/1000 as decimal(9,3)) as weight from ({PARTS}) a
+where chromosome <> 'X'
+"""
+PGS_MODELS = f"""
+select pgs_id, min(p) as key, case when min(p)%10=4 then '2' else '1' end as model_version,
+  count(*) + case when min(p)%26=8 then 1 else 0 end as declared_variant_count,
+  case when min(p)%14=2 then 'partial_allowed' else 'all_supported_variants_required' end
+    as completeness_policy from ({PGS_VARIANTS}) v group by pgs_id
+"""
+PGS_REQUESTS = f"""
+select distinct sample_id, 'PGS' || lpad(cast(p-p%2 as string),9,'0') as pgs_id
+from ({CALLS}) c where source_chromosome <> 'X'
+"""
+PGS_REFERENCE = """
+select 'PGS' || lpad(cast(o_custkey-o_custkey%2 as string),9,'0') as pgs_id, '1' as model_version,
+  cast(o_orderkey%4001-2000 as double)/1000 as score from {orders}
+"""
+
+# Pharmacogenes: three neighbouring parts form one gene.
+PGX_GENES = f"""
+select distinct 'G' || lpad(cast(p-p%3 as string),9,'0') as gene_id, p-p%3 as g,
+  case when (p-p%3)%39=6 then 'external_validated_call_required'
+    else 'star_haplotype_small_variant' end as strategy from ({PARTS}) a
+"""
+PGX_LOCI = f"""
+select 'L' || lpad(cast(p as string),9,'0') as locus_id,
+  'G' || lpad(cast(p-p%3 as string),9,'0') as gene_id, p, 'var-' || cast(p as string) as variant_id,
+  'GRCh38' as assembly, chromosome, position, ref as reference, alt as alternate
+from ({PARTS}) a where chromosome <> 'X'
+"""
+PGX_ALLELES = f"""
+select gene_id, g, a, gene_id || '*' || lpad(cast(a as string),3,'0') as allele_id,
+  case when a=3 then 'retired' else 'active' end as status, 'src' || cast(g%2 as string) as source_id,
+  case when a=2 and g%57=3 then 'v2' else 'v1' end as source_version
+from (select gene_id, g, d*10+e as a from ({PGX_GENES}) t
+  cross join (select 0 as d union all select 1 union all select 2 union all select 3 union all
+    select 4 union all select 5 union all select 6 union all select 7 union all select 8 union all
+    select 9 union all select 10 union all select 11 union all select 12 union all select 13) u
+  cross join (select 0 as e union all select 1 union all select 2 union all select 3 union all
+    select 4 union all select 5 union all select 6 union all select 7 union all select 8 union all
+    select 9) v
+  where d*10+e < case when g%291=9 then 135 else 4 end) w
+"""
+PGX_CONSTRAINTS = f"""
+select allele_id, locus_id, case when (p+a)%5=0 then 'not_constraining'
+    when (a=1 and p%3=0) or (a>=2 and p%3=1) then 'required_alternate'
+    else 'required_reference' end as state
+from ({PGX_ALLELES}) al join ({PGX_LOCI}) lo on lo.gene_id=al.gene_id where (p+a)%7<>0
+"""
+PGX_REQUESTS = f"""
+select distinct sample_id, 'G' || lpad(cast(p-p%3 as string),9,'0') as gene_id from ({CALLS}) c
+"""
+
+# One projection model over all autosomal parts with two components.
+PCA_LOADINGS = f"""
+select 'pca1' as model_id, 'mv-' || cast(p as string) as model_variant_id, p,
+  'var-' || cast(p as string) as variant_id, 'GRCh38' as assembly, chromosome, position,
+  ref as reference, alt as alternate, alt as effect_allele,
+  cast(p%3 as double)/2 as mean, cast(1 as double) as scale,
+  cast(p%7-3 as double) as l1, cast(p%5-2 as double) as l2 from ({PARTS}) a where chromosome <> 'X'
+"""
+PCA_SCORES = """
+select vec_id, 'r' || lpad(cast(vec_id as string),9,'0') as reference_sample_id,
+  'g' || cast(label as string) as reference_group_id, embedding from {embeddings}
+"""
+
 MEMBERS = """
 select 'm' || cast(s_suppkey as string) as member_id,
   'subject-' || lpad(cast(s_suppkey as string),10,'0') as subject_id,
@@ -189,6 +270,17 @@ VIEWS = {
     "sample_calls": SAMPLE_CALLS,
     "variants": VARIANTS,
     "representations": REPRESENTATIONS,
+    "pgs_variants": PGS_VARIANTS,
+    "pgs_models": PGS_MODELS,
+    "pgs_requests": PGS_REQUESTS,
+    "pgs_reference": PGS_REFERENCE,
+    "pgx_genes": PGX_GENES,
+    "pgx_loci": PGX_LOCI,
+    "pgx_alleles": PGX_ALLELES,
+    "pgx_constraints": PGX_CONSTRAINTS,
+    "pgx_requests": PGX_REQUESTS,
+    "pca_loadings": PCA_LOADINGS,
+    "pca_scores": PCA_SCORES,
     "members": MEMBERS,
     "parent_edges": PARENT_EDGES,
 }

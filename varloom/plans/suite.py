@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_DOMAINS = ("qc", "normalize", "review")
+_DOMAINS = ("qc", "normalize", "review", "scoring")
 
 QUERIES: dict = {}
 ORACLE: dict = {}
