@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_DOMAINS = ("qc", "normalize", "review", "scoring")
+_DOMAINS = ("qc", "normalize", "review", "scoring", "models")
 
 QUERIES: dict = {}
 ORACLE: dict = {}
