@@ -242,6 +242,35 @@ select vec_id, 'r' || lpad(cast(vec_id as string),9,'0') as reference_sample_id,
   'g' || cast(label as string) as reference_group_id, embedding from {embeddings}
 """
 
+# Requested markers of a source file and extract rows (BED4+) of two lookup tracks.
+SOURCE_MARKERS = f"""
+select p, case when p%43=6 then 'i' else 'rs' end || cast(p as string) as marker_id, chromosome,
+  position from ({PARTS}) a
+"""
+BED_ROWS = f"""
+select track, p, 'chr' || chromosome as chrom, position-1 as start0, position-1+length(r) as end0,
+  name, r as ref, length(alts)-length(replace(alts,',','')) as alt_count, alts
+from (
+  select case when p%5=0 then 'clinvar' else 'common' end as track, p, chromosome,
+    case when p%41=3 then position+3 else position end as position, marker_id as name,
+    case when p%53=7 then ref||alt else ref end as r,
+    case when p%3=1 then alt||','||alt2||',' else alt||',' end as alts
+  from ({PARTS}) a where p%37<>8
+  union all
+  select 'common', p, chromosome, position, marker_id, ref, alt2||',' from ({PARTS}) b where p%47=5
+  union all
+  select 'clinvar', p, chromosome, position, marker_id, ref, alt||',' from ({PARTS}) c where p%5=1
+) d
+"""
+TARGET_ROWS = f"""
+select 'chr' || chromosome as chrom, position-1 as start0, position as end0, marker_id as name,
+  case when p%29=6 then alt else ref end as ref, 1 as alt_count, alt||',' as alts
+from ({PARTS}) a where p%3<>0
+union all
+select 'chr' || chromosome, position+9, position+10, marker_id, ref, 2, alt2||','||alt||','
+from ({PARTS}) b where p%3=2
+"""
+
 MEMBERS = """
 select 'm' || cast(s_suppkey as string) as member_id,
   'subject-' || lpad(cast(s_suppkey as string),10,'0') as subject_id,
@@ -281,6 +310,9 @@ VIEWS = {
     "pgx_requests": PGX_REQUESTS,
     "pca_loadings": PCA_LOADINGS,
     "pca_scores": PCA_SCORES,
+    "source_markers": SOURCE_MARKERS,
+    "bed_rows": BED_ROWS,
+    "target_rows": TARGET_ROWS,
     "members": MEMBERS,
     "parent_edges": PARENT_EDGES,
 }
