@@ -111,3 +111,63 @@ def packed(df: DataFrame, item: Column, limit: int, label: str) -> Column:
     )
     rows = df.where(counted.scalar()).agg(F.array_sort(F.collect_list(item)).alias("rows"))
     return rows.scalar()
+
+
+def filled_forward(
+    df: DataFrame, keys: list[str], order: str, value: str, width: int, name: str
+) -> DataFrame:
+    """Last non-NULL ``value`` at or before each row along the integer column ``order``."""
+    cut = df.withColumn("_bucket", F.floor(F.col(order) / width))
+    inner = (
+        Window.partitionBy(*keys, "_bucket")
+        .orderBy(order)
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    before = (
+        Window.partitionBy(*keys)
+        .orderBy("_bucket")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    carried = (
+        cut.groupBy(*keys, "_bucket")
+        .agg(
+            F.max_by(value, F.when(F.col(value).isNotNull(), F.col(order))).alias("_last"),
+        )
+        .select(*keys, "_bucket", F.last("_last", ignorenulls=True).over(before).alias("_carried"))
+    )
+    return (
+        cut.withColumn("_seen", F.last(value, ignorenulls=True).over(inner))
+        .join(carried, [*keys, "_bucket"])
+        .withColumn(name, F.coalesce("_seen", "_carried"))
+        .drop("_bucket", "_seen", "_carried")
+    )
+
+
+def running_total(
+    df: DataFrame, keys: list[str], bucket: Column, order: list, amount: str, name: str
+) -> DataFrame:
+    """Sum of ``amount`` over the rows before each row inside its key group."""
+    cut = df.withColumn("_bucket", bucket)
+    inner = (
+        Window.partitionBy(*keys, "_bucket")
+        .orderBy(*order)
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    before = (
+        Window.partitionBy(*keys)
+        .orderBy("_bucket")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    offsets = (
+        cut.groupBy(*keys, "_bucket")
+        .agg(F.sum(amount).alias("_total"))
+        .select(
+            *keys, "_bucket", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset")
+        )
+    )
+    return (
+        cut.withColumn("_within", F.coalesce(F.sum(amount).over(inner), F.lit(0)))
+        .join(offsets, [*keys, "_bucket"])
+        .withColumn(name, F.col("_within") + F.col("_offset"))
+        .drop("_bucket", "_within", "_offset")
+    )
