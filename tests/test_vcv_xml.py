@@ -59,6 +59,25 @@ def test_header(spark, write):
     assert other["violation"] == "override_contradicts_release"
     nothing = vx.release_header(spark, write("n.xml", "<Other/>\n")).first()
     assert nothing["violation"] == "unsupported_root"
+    cut_off = vx.release_header(spark, write("t.xml", DOCUMENT[: DOCUMENT.rindex("</ReleaseSet>")])).first()
+    assert cut_off["violation"] == "truncated_document"
+
+
+def test_one_file_is_read_in_parallel(spark, write):
+    body = "".join(
+        f'<VariationArchive Accession="VCV{i:09d}" Version="1" VariationID="{i}">\n<ClassifiedRecord>'
+        f"<SimpleAllele/></ClassifiedRecord></VariationArchive>\n"
+        for i in range(2000)
+    )
+    path = write("big.xml", f'<ReleaseSet Dated="2026-01-01">\n{body}</ReleaseSet>\n')
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        arc = vx.scan_archives(spark, path, "s")
+        assert arc.rdd.getNumPartitions() > 4
+        assert arc.select("vcv_accession").distinct().count() == 2000 == arc.count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
 def test_representations_plain_and_gz(spark, write):

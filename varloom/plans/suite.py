@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_DOMAINS = ("qc", "normalize", "review", "scoring", "models", "structure", "resources")
+_DOMAINS = ("qc", "normalize", "review", "scoring", "models", "structure", "resources", "files")
 
 QUERIES: dict = {}
 ORACLE: dict = {}

@@ -2,7 +2,7 @@
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from varloom import vocab
 from varloom.functions.tokens import canonical_chromosome
@@ -34,8 +34,18 @@ def liftover_json(spark: SparkSession, paths) -> DataFrame:
     """``{"chrom:pos0": [[chrom, pos0], ...]}`` objects as candidate rows."""
     whole = spark.read.text(paths, wholetext=True)
     entries = F.from_json("value", "map<string,array<array<string>>>", {"mode": "FAILFAST"})
-    rows = whole.select(F.explode(entries).alias("key", "targets"))
-    return rows.select("key", F.explode("targets").alias("t")).select(
+    return liftover_rows(whole.select(F.explode(entries).alias("key", "targets")))
+
+
+def liftover_lines(spark: SparkSession, paths) -> DataFrame:
+    """The same mapping as JSON lines (one or more coordinates per line), read in parallel."""
+    entries = F.from_json("value", "map<string,array<array<string>>>", {"mode": "FAILFAST"})
+    return liftover_rows(spark.read.text(paths).select(F.explode(entries).alias("key", "targets")))
+
+
+def liftover_rows(entries: DataFrame) -> DataFrame:
+    """(key, targets) entries as 0-based candidate rows."""
+    return entries.select("key", F.explode("targets").alias("t")).select(
         canonical_chromosome(F.split("key", ":")[0]).alias("chromosome"),
         F.split("key", ":")[1].cast("bigint").alias("pos0"),
         canonical_chromosome(F.col("t")[0]).alias("cand_chromosome"),

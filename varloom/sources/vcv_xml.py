@@ -72,6 +72,9 @@ def release_header(spark: SparkSession, paths, override: str | None = None) -> D
         ]
         return F.coalesce(*found)
 
+    closed = lines.where(F.col("value").rlike("</(" + "|".join(ROOTS) + r")\s*>")).agg(
+        F.count(F.lit(1)).alias("closed")
+    )
     first = roots.select(
         "root",
         attribute("Dated", "ReleaseDate", "releaseDate").alias("raw_date"),
@@ -89,6 +92,7 @@ def release_header(spark: SparkSession, paths, override: str | None = None) -> D
             "override_contradicts_release",
         )
         .when(identity.isNull() | date.isNull(), "release_identity_or_date_absent")
+        .when(closed.scalar() < F.col("roots"), "truncated_document")
     )
     return first.select(
         F.col("r.root").alias("xml_format"),
@@ -101,13 +105,21 @@ def release_header(spark: SparkSession, paths, override: str | None = None) -> D
 
 
 def scan_archives(spark: SparkSession, paths, snapshot_id: str) -> DataFrame:
-    """One row per archive (plain files are read in parallel; .gz files one task each)."""
+    """One row per archive.
+
+    Files are read as text records that end at the archive's closing tag, so one
+    large plain file is split over many tasks (.gz files are one task each); each
+    record is then parsed on its own.
+    """
+    close = "</VariationArchive>"
+    # NULL (never parsed) for the text around the archives, whatever order filters run in.
+    start = F.regexp_extract("value", r"(?s)(<VariationArchive[\s>].*)$", 1)
+    body = F.when(start != "", F.concat(start, F.lit(close)))
     rows = (
-        spark.read.format("xml")
-        .option("rowTag", "VariationArchive")
-        .option("mode", "FAILFAST")
-        .schema(ARCHIVE_SCHEMA)
-        .load(paths)
+        spark.read.text(paths, lineSep=close)
+        .select(F.from_xml(body, ARCHIVE_SCHEMA, {"mode": "FAILFAST"}).alias("archive"))
+        .where("archive is not null")
+        .select("archive.*")
     )
     record = F.coalesce("ClassifiedRecord", "IncludedRecord")
     return rows.withColumns(
