@@ -65,14 +65,18 @@ def standardized(dosage: Column, mean: Column, scale: Column) -> Column:
 
 
 def foreign_code(alleles: Column, reference: Column, alternate: Column) -> Column:
-    """Integer naming an SNV allele multiset that leaves {REF, ALT}; NULL when it stays inside."""
-    outside = F.exists(alleles, lambda a: (a != reference) & (a != alternate))
-    code = F.aggregate(
-        F.array_sort(alleles),
-        F.lit(0),
-        lambda acc, a: acc * 5 + base_index(a),
-    )
-    return F.when(outside, code + 64)
+    """Integer naming an SNV allele multiset that leaves {REF, ALT}; NULL when it stays inside.
+
+    Written over the at most two array slots, so it stays in generated code.
+    """
+    first, second = F.get(alleles, F.lit(0)), F.get(alleles, F.lit(1))
+
+    def outside(allele):
+        return F.coalesce((allele != reference) & (allele != alternate), F.lit(False))
+
+    i, j = base_index(first), base_index(second)
+    code = F.when(second.isNull(), 25 + i).otherwise(F.least(i, j) * 5 + F.greatest(i, j))
+    return F.when(outside(first) | outside(second), code + 64)
 
 
 def base_index(base: Column) -> Column:

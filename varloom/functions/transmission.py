@@ -16,7 +16,7 @@ def assignments(
     A NULL ``parent_2`` ranges over ``alphabet`` (a duo).
     """
     second = F.array_distinct(F.coalesce(parent_2, alphabet))
-    wanted = F.array_sort(child)
+    wanted = F.sort_array(child)
     pairs = F.flatten(
         F.transform(
             F.array_distinct(parent_1),
@@ -28,7 +28,7 @@ def assignments(
     return F.array_sort(
         F.filter(
             pairs,
-            lambda p: F.array_sort(F.array(p["parent_1_allele"], p["parent_2_allele"])) == wanted,
+            lambda p: F.sort_array(F.array(p["parent_1_allele"], p["parent_2_allele"])) == wanted,
         )
     )
 

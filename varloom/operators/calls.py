@@ -56,10 +56,12 @@ def genotype_state() -> Column:
 
 
 def sorted_alleles(ploidy: Column, alt_count: Column, reference: Column, alternate: Column) -> Column:
-    """Allele multiset of a collapsed call, in sorted order."""
-    return F.array_sort(
-        F.concat(
-            F.array_repeat(reference, (ploidy - alt_count).cast("int")),
-            F.array_repeat(alternate, alt_count.cast("int")),
-        )
+    """Allele multiset of a collapsed one- or two-allele call, in sorted order."""
+    return F.when(
+        ploidy == 1, F.array(F.when(alt_count == 1, alternate).otherwise(reference))
+    ).when(
+        ploidy == 2,
+        F.when(alt_count == 0, F.array(reference, reference))
+        .when(alt_count == 2, F.array(alternate, alternate))
+        .otherwise(F.array(F.least(reference, alternate), F.greatest(reference, alternate))),
     )

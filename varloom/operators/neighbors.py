@@ -114,7 +114,7 @@ def nearest(
         "query_id",
         "reference_sample_id",
         "reference_group_id",
-        distance(F.col("z"), F.col("u")).alias("distance"),
+        distance(F.col("z"), F.col("u"), k).alias("distance"),
     )
     order = Window.partitionBy("query_id").orderBy(
         "distance", "reference_group_id", "reference_sample_id"

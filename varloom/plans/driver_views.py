@@ -62,13 +62,19 @@ from ({CALLS}) c
 # Canonical genotypes (one- and two-letter tokens, already on the canonical strand).
 # Markers with p%41=7 read their ALT as a third base, i.e. an allele outside REF/ALT.
 GENOTYPES = f"""
-select sample_id, s, p, 'var-' || cast(p as string) as variant_id, 'GRCh38' as assembly,
-  source_chromosome as chromosome, source_position as position, ref as reference,
-  alt as alternate, pair, length(pair) as ploidy,
-  length(pair) - length(replace(pair, alt, '')) as alt_count,
-  replace(replace(pair, alt, ''), ref, '') as foreign_bases, {LINE_ORDER}
-from (select *, case when p%41=7 then replace(token, alt, {_third('p')}) else token end as pair
-  from ({CALLS}) c where length(token) <= 2 and token <> '--') d
+select sample_id, s, p, variant_id, 'GRCh38' as assembly, chromosome, position, reference, alternate,
+  case when k=1 then reference when k<8 then reference||reference when k=10 then seen||reference
+    when k<13 then reference||seen else seen||seen end as pair,
+  case when k=1 then 1 else 2 end as ploidy,
+  case when p%41=7 or k<8 then 0 when k<13 then 1 else 2 end as alt_count,
+  case when p%41<>7 or k<8 then '' when k<13 then seen else seen||seen end as foreign_bases
+from (select 'subject-' || lpad(cast(l_suppkey as string),10,'0') as sample_id, l_suppkey as s,
+    l_partkey as p, 'var-' || cast(l_partkey as string) as variant_id,
+    {_chrom("l_partkey")} as chromosome, 1000+10*l_partkey as position,
+    {_ref("l_partkey")} as reference, {_alt("l_partkey")} as alternate,
+    case when l_partkey%41=7 then {_third("l_partkey")} else {_alt("l_partkey")} end as seen,
+    (l_orderkey+l_linenumber)%16 as k
+  from {{lineitem}} where (l_orderkey+l_linenumber)%16 not in (0,2)) a
 """
 
 PARTS = f"""
@@ -113,12 +119,12 @@ select chromosome, position-1, chromosome, position+9 from ({PARTS}) b where p%3
 """
 
 # All calls with the canonical variant they are about; no usable allele -> NULL counts.
-SAMPLE_CALLS = f"""
+SAMPLE_CALLS = """
 select sample_id, s, p, 'var-' || cast(p as string) as variant_id,
-  case when length(token) <= 2 and token <> '--' then length(token) end as ploidy,
-  case when length(token) <= 2 and token <> '--'
-    then length(token) - length(replace(token, alt, '')) end as alt_count, {LINE_ORDER}
-from ({CALLS}) c
+  case when k in (0,2) then null when k=1 then 1 else 2 end as ploidy,
+  case when k in (0,2) then null when k<8 then 0 when k<13 then 1 else 2 end as alt_count
+from (select 'subject-' || lpad(cast(l_suppkey as string),10,'0') as sample_id, l_suppkey as s,
+    l_partkey as p, (l_orderkey+l_linenumber)%16 as k from {lineitem}) a
 """
 
 VARIANTS = f"""

@@ -115,7 +115,7 @@ def ingest_assertion_xml(
     snapshot = header.first()["snapshot_id"]
     archives = vx.scan_archives(spark, paths, snapshot)
     ck.require_none(vx.archive_violations(archives), "archives")
-    assertions = vx.assertions(archives)
+    assertions = cut(vx.assertions(archives))
     traits = vx.condition_rows(archives)
     return {
         "external_snapshot": header.drop("violation"),

@@ -9,7 +9,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from varloom.operators import qc
-from varloom.operators.materialize import checkpoint_root
+from varloom.operators.materialize import checkpoint_root, cut
 from varloom.plans import catalog, flows, reports
 from varloom.plans.driver_views import TILE, ctes, table, view
 from varloom.sources import genotype_text as gt, reference_files as rf, vcv_xml as vx
@@ -203,7 +203,12 @@ def vcv_assertions(spark, sf_dir):
 
 def scv_relationships(spark, sf_dir):
     """Submitted × aggregate pairs, shown by accession."""
-    rows = vx.assertions(_archives(spark, sf_dir))
+    # Parsed once: the pairs and both name lookups read the materialised assertions.
+    rows = cut(
+        vx.assertions(_archives(spark, sf_dir)).select(
+            "assertion_id", "representation_id", "snapshot_id", "assertion_level", "source_accession"
+        )
+    )
     pairs = vx.relationships(rows)
     name = rows.select("assertion_id", "source_accession")
     return (

@@ -11,7 +11,9 @@ from varloom.plans.driver_views import ctes, view
 def genotypes(spark, sf_dir):
     """Canonical genotypes with the code of any allele outside REF/ALT."""
     rows = view(spark, sf_dir, "genotypes").withColumn(
-        "alleles", F.filter(F.split("pair", ""), lambda a: a != "")
+        "alleles",
+        F.when(F.col("ploidy") == 2, F.array(F.substring("pair", 1, 1), F.substring("pair", 2, 1)))
+        .otherwise(F.array("pair")),
     )
     return rows.withColumn(
         "foreign_code", foreign_code(F.col("alleles"), F.col("reference"), F.col("alternate"))
