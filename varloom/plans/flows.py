@@ -339,11 +339,10 @@ def infer_pharmacogenes(
     evidence = pgx.locus_evidence(calls, loci, requests)
     bounds = pgx.gene_limits(genes, alleles, loci, **limits)
     needs = pgx.pair_requirements(alleles, constraints, bounds)
-    candidates = pgx.diplotype_candidates(evidence, needs, bounds, requests)
     return {
         "locus_evidence": evidence,
-        "diplotype_candidates": candidates,
-        "gene_evaluability": pgx.gene_outcomes(evidence, candidates, bounds, requests),
+        "diplotype_candidates": pgx.diplotype_candidates(evidence, needs, bounds, requests),
+        "gene_evaluability": pgx.gene_outcomes(evidence, needs, bounds, requests),
     }
 
 
