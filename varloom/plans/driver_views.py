@@ -44,8 +44,8 @@ select sample_id, s, source_marker_id, source_chromosome, source_position, p, re
   {LINE_ORDER}
 from (select 'subject-' || lpad(cast(l_suppkey as string),10,'0') as sample_id, l_suppkey as s,
     'rs' || cast(l_partkey as string) as source_marker_id,
-    {_chrom("l_partkey")} as source_chromosome, 1000+10*l_partkey as source_position,
-    l_partkey as p, ref, alt, {LINE_ORDER},
+    case when l_partkey%53=9 then 'contig_9' else {_chrom("l_partkey")} end as source_chromosome,
+    1000+10*l_partkey as source_position, l_partkey as p, ref, alt, {LINE_ORDER},
     case (l_orderkey+l_linenumber)%16 when 0 then '--' when 1 then ref when 2 then 'DEL'
       when 3 then ref||ref when 4 then ref||ref when 5 then ref||ref when 6 then ref||ref
       when 7 then ref||ref when 8 then ref||alt when 9 then ref||alt when 10 then alt||ref
@@ -229,9 +229,9 @@ PGX_REQUESTS = f"""
 select distinct sample_id, 'G' || lpad(cast(p-p%3 as string),9,'0') as gene_id from ({CALLS}) c
 """
 
-# One projection model over all autosomal parts with two components.
+# Two projection models over the autosomal parts (even and odd keys), two components each.
 PCA_LOADINGS = f"""
-select 'pca1' as model_id, 'mv-' || cast(p as string) as model_variant_id, p,
+select 'pca' || cast(1+p%2 as string) as model_id, 'mv-' || cast(p as string) as model_variant_id, p,
   'var-' || cast(p as string) as variant_id, 'GRCh38' as assembly, chromosome, position,
   ref as reference, alt as alternate, alt as effect_allele,
   cast(p%3 as double)/2 as mean, cast(1 as double) as scale,

@@ -382,10 +382,11 @@ ORACLE = {
  (select count(*) from pgs_variants v where v.pgs_id=m.pgs_id) as actual from pgs_models m
  where declared_variant_count<>(select count(*) from pgs_variants v where v.pgs_id=m.pgs_id)""",
     "gram_violations": ctes("pca_loadings")
-    + """, g as (select sum(l1*l1) a, sum(l1*l2) b, sum(l2*l2) d from pca_loadings),
- e as (select 0 as "row", 0 as "column", a as value, 1 as one from g union all
-   select 0,1,b,0 from g union all select 1,0,b,0 from g union all select 1,1,d,1 from g)
- select 'pca1' as model_id, "row", "column", value from e where abs(value-one)>1e-6""",
+    + """, g as (select model_id, sum(l1*l1) a, sum(l1*l2) b, sum(l2*l2) d from pca_loadings group by 1),
+ e as (select model_id, 0 as "row", 0 as "column", a as value, 1 as one from g union all
+   select model_id,0,1,b,0 from g union all select model_id,1,0,b,0 from g
+   union all select model_id,1,1,d,1 from g)
+ select model_id, "row", "column", value from e where abs(value-one)>1e-6""",
     "summary_mismatches": "select 4 as component_index, 0.5 as shift from (select count(*) c from embeddings) where c>0",
     "bundle_rule_violations": ctes("pgx_genes", "pgx_loci", "pgx_alleles", "pgx_constraints")
     + """, c as (select allele_id, case when right(locus_id,2)='17' then 'unsupported_structural_requirement'
