@@ -10,7 +10,21 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-HEADLINE = ("call_rate_by_chromosome",)
+HEADLINE = (
+    "call_rate_by_chromosome",
+    "assay_qc",
+    "normalize_mappings",
+    "canonical_genotypes",
+    "genotype_states",
+    "review_queue",
+    "pgs_scores",
+    "gene_outcomes",
+    "family_segregation",
+    "pca_projection",
+    "nearest_samples",
+    "masked_selection",
+    "two_tier_lookup",
+)
 
 
 def session(cpus: str | None = None) -> SparkSession:

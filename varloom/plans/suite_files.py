@@ -135,6 +135,60 @@ def liftover_scan(spark, sf_dir):
     return rf.liftover_lines(spark, path)
 
 
+def _part_lines(spark, sf_dir, value, name):
+    """One text file per chromosome with the parts in key order."""
+    path = _fresh(spark, name)
+    (
+        view(spark, sf_dir, "parts")
+        .select(F.col("chromosome").alias("contig"), "p", value.alias("value"))
+        .repartition("contig")
+        .sortWithinPartitions("contig", "p")
+        .drop("p")
+        .write.partitionBy("contig")
+        .text(path)
+    )
+    return path
+
+
+def _contig():
+    return F.regexp_extract("source_uri", r"contig=([^/]+)", 1).alias("contig")
+
+
+def phasing_sites(spark, sf_dir):
+    """Site index files with some broken and some unordered rows."""
+    p = F.col("p")
+    value = F.concat_ws(
+        "\t",
+        "chromosome",
+        (F.col("position") - F.when(p % 29 == 4, 1000).otherwise(0)).cast("string"),
+        "ref",
+        F.when(p % 19 == 3, F.col("ref")).otherwise(F.col("alt")),
+        (p % 10).cast("string"),
+        F.when(p % 17 == 5, F.lit("4")).otherwise(F.lit("10")),
+    )
+    sites = rf.phasing_sites(spark, _part_lines(spark, sf_dir, value, "sites"))
+    late = rf.site_order_violations(sites.where("violation is null")).select(
+        "source_uri", "line_number", F.lit(True).alias("unordered")
+    )
+    return sites.join(late, ["source_uri", "line_number"], "left").select(
+        _contig(), "line_number", "position", "ac", "an", "violation",
+        F.coalesce("unordered", F.lit(False)).alias("unordered"),
+    )
+
+
+def genetic_map_rules(spark, sf_dir):
+    """Map files whose positions or cM fall for some chromosomes."""
+    p = F.col("p")
+    chrom = F.expr("try_cast(chromosome as int)")
+    value = F.concat_ws(
+        " ",
+        (F.col("position") - F.when((chrom % 3 == 1) & (p % 29 == 4), 1000).otherwise(0)).cast("string"),
+        (p - F.when((chrom % 4 == 2) & (p % 31 == 5), 100).otherwise(0)).cast("string"),
+    )
+    points = rf.genetic_map(spark, _part_lines(spark, sf_dir, value, "map"))
+    return rf.genetic_map_violations(points).select(_contig(), "rule")
+
+
 def _archive_files(spark, sf_dir):
     """One archive per order, with one submission each, behind a release header file."""
     rows = view(spark, sf_dir, "assertions").where("assertion_level = 'source_submitted'")
@@ -296,6 +350,8 @@ QUERIES = {
         fasta_tiles,
         bed_extract_scan,
         liftover_scan,
+        phasing_sites,
+        genetic_map_rules,
         vcv_representations,
         vcv_assertions,
         scv_relationships,
@@ -347,6 +403,25 @@ ORACLE = {
     + """ select replace(chrom,'chr','') as chromosome, start0+1 as position, name as marker_id,
  ref as reference, rtrim(alts,',') as alternates, null::varchar as violation from bed_rows""",
     "liftover_scan": ctes("liftover") + " select * from liftover",
+    "phasing_sites": ctes("parts")
+    + """, r as (select chromosome as contig, p, row_number() over (partition by chromosome order by p) as line_number,
+   position - case when p%29=4 then 1000 else 0 end as position, ref,
+   case when p%19=3 then ref else alt end as alt, p%10 as ac, case when p%17=5 then 4 else 10 end as an
+   from parts),
+ v as (select *, case when ref=alt or ac>an then 'INVALID_ALLELE_OR_COUNT' end as violation from r),
+ o as (select contig, line_number, (position, ref, alt) <= lag((position, ref, alt)) over
+   (partition by contig order by line_number) as unordered from v where violation is null)
+ select v.contig, v.line_number, position, ac, an, violation, coalesce(o.unordered, false) as unordered
+ from v left join o using (contig, line_number)""",
+    "genetic_map_rules": ctes("parts")
+    + """, r as (select chromosome as contig, p,
+   position - case when try_cast(chromosome as int)%3=1 and p%29=4 then 1000 else 0 end as position,
+   p - case when try_cast(chromosome as int)%4=2 and p%31=5 then 100 else 0 end as cm from parts),
+ l as (select *, lag(position) over w as p0, lag(cm) over w as c0 from r
+   window w as (partition by contig order by p))
+ select contig, 'fewer_than_two_points' as rule from r group by 1 having count(*)<2
+ union select contig, 'position_not_sorted' from l where position<p0 or (position=p0 and cm<c0)
+ union select contig, 'cm_decreasing' from l where cm<c0""",
     "vcv_representations": _XML
     + """ select vcv as vcv_accession, 1 as vcv_version, cast(substr(vcv,4) as bigint) as variation_id,
  variation_type, assembly, chromosome, position, reference, alternate from x""",
