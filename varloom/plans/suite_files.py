@@ -392,7 +392,8 @@ ORACLE = {
     + """ select distinct src as sample_id, 3 as source_line_number, 'INVALID_POSITION' as reason_code,
  'Source position must be a positive integer.' as safe_explanation from fl""",
     "source_markers": _FILES
-    + """ select source_marker_id as marker_id, source_chromosome as chromosome,
+    + """ select source_marker_id as marker_id,
+ case when upper(source_chromosome)='M' then 'MT' else upper(source_chromosome) end as chromosome,
  source_position as position, count(*) as rows from fl group by all""",
     "fasta_tiles": """with s as (select 'CHRC'||p_partkey as c0, upper(translate(p_brand,'Brand#0123456789',
   'ACGTNACGTACGTACG')||translate(lower(p_type),'abcdefghijklmnopqrstuvwxyz ',
