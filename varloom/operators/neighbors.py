@@ -20,7 +20,7 @@ def nearest(
     scores: DataFrame,
     k: int,
     count: int = vocab.NEIGHBOURS,
-    per_unit: float = 2.0,
+    per_unit: float = 1.0,
     grid_dims: int = 2,
 ) -> DataFrame:
     """The ``count`` nearest reference samples, ties by group then sample.
