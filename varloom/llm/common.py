@@ -44,16 +44,22 @@ def shown_id(name: str = "_id") -> Column:
     return F.when(F.col(name) != NO_ID, F.col(name))
 
 
-def kept_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """Rows of ``docs``, all columns, whose (_id, _mark) is in ``kept``."""
-    names = docs.columns
-    packed = docs.select(
+def packed(docs: DataFrame) -> DataFrame:
+    """_row (all columns of ``docs``), _id and _mark: a form in which no column name can clash."""
+    return docs.select(
         F.struct("*").alias("_row"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id"),
         F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("_mark"),
     )
-    chosen = packed.join(kept.select("_id", "_mark"), ["_id", "_mark"], "left_semi")
-    return chosen.select(*[F.col("_row").getField(n).alias(n) for n in names])
+
+
+def kept_rows(docs: DataFrame, kept: DataFrame, on: list[str] | None = None, distinct: bool = False) -> DataFrame:
+    """Rows of ``docs``, all columns, whose keys (_id and _mark unless told) are in ``kept``; ``distinct``: repeated rows once."""
+    on = on or ["_id", "_mark"]
+    chosen = packed(docs).join(kept.select(*on), on, "left_semi")
+    if distinct:
+        chosen = chosen.dropDuplicates(["_id", "_mark"])
+    return chosen.select(*[F.col("_row").getField(n).alias(n) for n in docs.columns])
 
 
 def gapless(df: DataFrame, keys: list[str], order: list[str], out: str, rows_per_bucket: int = 50_000) -> DataFrame:
@@ -87,10 +93,10 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     )
     last = None
     for _ in range(rounds):
-        print_ = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(print_) == last or not print_[0]:
+        state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if tuple(state) == last or not state[0]:
             break
-        last = tuple(print_)
+        last = tuple(state)
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = (

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varloom.llm.common import keyed
+from varloom.llm.common import keyed, packed
 
 WIDTH = 10
 #: Words of one automaton: some 25 MB in a task, 2 MB as broadcast.
@@ -256,11 +256,6 @@ def without_spans(
     of at least ``min_words`` words is cut out of the text, from its first to its last word.
     """
     names = docs.columns
-    packed = docs.select(
-        F.struct("*").alias("_row"),
-        F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("_id"),
-        F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("_mark"),
-    )
     hit = (
         marked.filter("n_hit > 0")
         .select("_id", "_mark", "spans", (F.col("n_hit") / F.col("n_words")).alias("share"))
@@ -290,7 +285,7 @@ def without_spans(
             out.append(b"".join([*kept, raw[last:]]).decode())
         return pd.Series(out, dtype=object)
 
-    joined = packed.join(hit, ["_id", "_mark"], "left").filter(F.coalesce("share", F.lit(0.0)) <= max_coverage)
+    joined = packed(docs).join(hit, ["_id", "_mark"], "left").filter(F.coalesce("share", F.lit(0.0)) <= max_coverage)
     row = F.col("_row")
     return joined.select(
         *[(cut(row["text"], F.col("spans")) if n == "text" else row.getField(n)).alias(n) for n in names]

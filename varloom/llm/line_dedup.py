@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from varloom.llm.common import ascii_lower, keyed
+from varloom.llm.common import ascii_lower, keyed, packed
 
 SALTS = 64
 #: ASCII white space, fixed by the line contract.
@@ -95,25 +95,39 @@ def _keep_runs(runs: Column, n: Column) -> Column:
     )
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10) -> DataFrame:
-    """Per row of ``docs``: _id, _mark, n_lines, n_dropped, keep_runs (run-length coded bitmap), kept (text)."""
-    base = keyed(docs, id_col, text_col)
-    bitmaps = drop_runs(dropped_lines(base, min_chars))
+def _applied(rows: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """``rows`` (_id, _mark, _text and others) with n_lines, n_dropped, keep_runs and kept."""
     none = F.array().cast("array<struct<start:int,length:int>>")
     joined = (
-        base.join(bitmaps, ["_id", "_mark"], "left")
+        rows.join(bitmaps, ["_id", "_mark"], "left")
         .withColumn("lines", F.split("_text", "\n", -1))
         .withColumn("runs", F.coalesce("runs", none))
         .withColumn("keep_runs", _keep_runs(F.col("runs"), F.size("lines")))
     )
-    kept = F.array_join(
-        F.flatten(F.transform("keep_runs", lambda r: F.slice("lines", r["start"] + 1, r["length"]))), "\n"
-    )
+    kept = F.flatten(F.transform("keep_runs", lambda r: F.slice("lines", r["start"] + 1, r["length"])))
     return joined.select(
-        "_id",
-        "_mark",
+        *rows.columns,
         F.size("lines").cast("long").alias("n_lines"),
         F.aggregate("runs", F.lit(0).cast("long"), lambda s, r: s + r["length"]).alias("n_dropped"),
         "keep_runs",
-        kept.alias("kept"),
+        F.array_join(kept, "\n").alias("kept"),
     )
+
+
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10) -> DataFrame:
+    """Per row of ``docs``: _id, _mark, n_lines, n_dropped, keep_runs (run-length coded bitmap), kept (text)."""
+    base = keyed(docs, id_col, text_col)
+    return _applied(base, drop_runs(dropped_lines(base, min_chars))).drop("_text")
+
+
+def rewritten(docs: DataFrame, min_chars: int = 10) -> DataFrame:
+    """``docs`` (doc_id, text and any columns) with the dropped lines taken out; rows that lose all their lines go.
+
+    Unchanged texts stay as they are, null ones included; n_chars, where the table has it, follows the text.
+    """
+    rows = packed(docs).withColumn("_text", F.coalesce(F.col("_row").getField("text"), F.lit("")))
+    found = _applied(rows, drop_runs(dropped_lines(keyed(docs), min_chars))).filter("n_dropped < n_lines")
+    changed = F.col("n_dropped") > 0
+    new = {"text": F.col("kept"), "n_chars": F.char_length("kept").cast("long")}
+    old = {n: F.col("_row").getField(n) for n in docs.columns}
+    return found.select(*[(F.when(changed, new[n]).otherwise(old[n]) if n in new else old[n]).alias(n) for n in old])

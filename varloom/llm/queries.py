@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varloom.llm import chat, decontaminate, jaccard, language_id, line_dedup, packing, quality, secrets, sharding
+from varloom.llm import chat, decontaminate, jaccard, language_id, line_dedup, neighbours, packing, quality, secrets, sharding
 from varloom.llm.common import shown_id, table
 
 QUERIES: dict = {}
@@ -244,3 +244,8 @@ with recursive words as (
 select d.doc_id, coalesce(n, 0) as n_shingles, coalesce(c, d.doc_id) as component_id
 from documents d left join sizes using (doc_id) left join (select doc_id, min(other) as c from reach group by doc_id) using (doc_id)
 """
+
+
+@_query
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
