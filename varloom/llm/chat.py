@@ -75,7 +75,8 @@ def best_paths(messages: DataFrame, per_tree: int = 1) -> DataFrame:
     nodes = messages.groupBy("tree", "id").agg(
         F.min(F.struct("parent", "role", "text", "score")).alias("m")
     ).select(F.struct("tree").alias("t"), "id", "m.*")
-    nodes = stored(nodes.withColumn("score", F.coalesce("score", F.lit(0.0))), "messages")
+    plain = {"score": F.coalesce("score", F.lit(0.0)), "role": F.coalesce("role", F.lit("")), "text": F.coalesce("text", F.lit(""))}
+    nodes = stored(nodes.withColumns(plain), "messages")
     ids = nodes.select("t", F.col("id").alias("parent"), F.lit(True).alias("known"))
     linked = nodes.select("t", "id", "parent", "score").join(ids, ["t", "parent"], "left")
     # up: the ancestor ``steps`` above, null once the root is passed; path: score of the messages from here up to it
