@@ -36,12 +36,11 @@ def test_publish_verify_and_tamper(spark, folder):
     }
 
 
-def test_digests_inline_and_streamed(spark, write):
+def test_digests(spark, write):
     path = write("d/one.bin", b"hello" * 1000)
     want = hashlib.sha256(b"hello" * 1000).hexdigest()
-    for limit in (1 << 20, 10):
-        row = catalog.file_digests(spark, os.path.dirname(path), limit).first()
-        assert (row["sha256"], row["byte_size"]) == (want, 5000)
+    row = catalog.file_digests(spark, os.path.dirname(path)).first()
+    assert (row["sha256"], row["byte_size"]) == (want, 5000)
 
 
 def test_import_is_idempotent(spark, write):
@@ -70,9 +69,9 @@ def test_run_catalog(spark, folder):
     known = spark.read.parquet(path)
     assert known.count() == 2
     assert catalog.resolve_latest(known, "M2", {"assembly": "GRCh38"})["run_id"] == "r2"
-    with pytest.raises(ValueError, match="incompatible"):
+    with pytest.raises(ValueError, match="other constraints"):
         catalog.resolve_latest(known, "M2", {"assembly": "GRCh37"})
-    with pytest.raises(ValueError, match="no completed"):
+    with pytest.raises(ValueError, match="holds no run"):
         catalog.resolve_latest(known, "M9", {})
     with pytest.raises(ValueError, match="conflict"):
         catalog.register(path, entry("r2", "other"))
@@ -106,7 +105,7 @@ def test_ingest_flow_and_report(spark, write):
     out = flows.ingest_genotype_text(spark, path)
     assert out["observations"].first()["source_build"] == "GRCh38"
     lines = [r["line"] for r in reports.qc_report(out["assay_qc"]).orderBy("ordinal").collect()]
-    assert "- Parsed / malformed records: 2 / 0" in lines and "- Call rate: 1.000000" in lines
+    assert [x.split()[-1] for x in lines if x.startswith(("records read", "lines not", "share called"))] == ["2", "0", "1.000000"]
     bad = write("bad.txt", "rs1\t1\n")
     with pytest.raises(ValueError, match="line 1"):
         flows.ingest_genotype_text(spark, bad)

@@ -207,6 +207,17 @@ def test_pedigree_rules_and_cycles(spark):
     assert check(("a", "d"), ("b", "d"), ("c", "d")) == {"more_than_two_parents"}
 
 
+def test_edges_between_two_cycles_are_on_none(spark):
+    cycles = [("a", "b"), ("b", "a"), ("d", "e"), ("e", "f"), ("f", "d")]
+    others = [("b", "c"), ("c", "d"), ("x", "a"), ("f", "y"), ("z", "z")]
+    edges = spark.createDataFrame(cycles + others, "parent_member_id string, child_member_id string")
+    from varloom.operators import family
+    from varloom.operators.materialize import cut
+
+    assert rows(family.cycle_edges(edges, cut), "parent_member_id", "child_member_id") == sorted(cycles)
+    assert family.cycle_edges(edges.limit(0), cut).count() == 0
+
+
 def test_projection_against_numpy(spark):
     rng = np.random.default_rng(3)
     k, m = 3, 40
@@ -252,8 +263,8 @@ def test_gates_only_tighten():
         pj.effective_gates(model, {"components": 4})
 
 
-@pytest.mark.parametrize("per_unit", [0.5, 3.0])
-def test_neighbours_and_support_match_brute_force(spark, per_unit):
+@pytest.mark.parametrize("cell_rows", [20, 5000])
+def test_neighbours_and_support_match_brute_force(spark, cell_rows):
     rng = np.random.default_rng(11)
     ref = rng.normal(size=(300, 3)) * [1, 5, 0.3]
     ref[:120] = ref[0]  # a hot cell of identical samples
@@ -268,13 +279,13 @@ def test_neighbours_and_support_match_brute_force(spark, per_unit):
     )
     sd = ref.std(axis=0)
     got = {}
-    for r in nb.nearest(points, scores, 3, 7, per_unit).collect():
+    for r in nb.nearest(points, scores, 7, cell_rows).collect():
         got.setdefault(r["query_id"], {})[r["rank"]] = r["reference_sample_id"]
     for i in range(len(q)):
         d = np.sqrt((((q[i] - ref) / sd) ** 2).sum(1))
         want = [n for _, _, n in sorted((round(d[j], 12), group[j], f"r{j:03d}") for j in range(300))[:7]]
         assert [got[i][n] for n in range(1, 8)] == want
-    radii = {r["reference_group_id"]: r["envelope_radius"] for r in pj.support_radii(scores, 3, 0.8, 5).collect()}
+    radii = {r["reference_group_id"]: r["envelope_radius"] for r in pj.support_radii(scores, 0.8, 5).collect()}
     for g in set(group):
         own = ref[[x == g for x in group]]
         r = np.linalg.norm((own - own.mean(0)) / sd, axis=1)

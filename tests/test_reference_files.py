@@ -82,16 +82,31 @@ def test_phasing_sites_and_map(spark, write):
 
 
 def test_policy(spark, write):
-    policy = rf.load_policy(spark, write("p.json", json.dumps(vocab.DEFAULT_POLICY)))
-    assert policy == vocab.DEFAULT_POLICY
-    bad = json.loads(json.dumps(policy))
-    bad["term_routes"]["uncertain"].append(" PATHOGENIC ")
-    with pytest.raises(ValueError, match="more than one route"):
-        rf.checked_policy(bad)
-    bad = json.loads(json.dumps(policy))
-    bad["record_status_behavior"]["deleted"] = "active"
-    with pytest.raises(ValueError, match="inactive"):
-        rf.checked_policy(bad)
+    assert rf.load_policy(spark, write("p.json", json.dumps(vocab.DEFAULT_POLICY))) == vocab.DEFAULT_POLICY
+    changes = {
+        "term_in_two_routes": lambda p: p["term_routes"]["uncertain"].append(" PATHOGENIC "),
+        "gone_records_active": lambda p: p["record_status_behavior"].update(deleted="active"),
+        "record_behaviours": lambda p: p["record_status_behavior"].update(unknown="maybe"),
+        "record_statuses": lambda p: p["record_status_behavior"].pop("unknown"),
+        "version_parts": lambda p: p.update(version="1.x.0"),
+        "schema_version": lambda p: p.update(schema_version=2),
+        "fields": lambda p: p.update(more=1),
+        "routes": lambda p: p["term_routes"].pop("uncertain"),
+        "type_handling": lambda p: p["classification_type_handling"].update(germline="context_only"),
+        "priority_rules": lambda p: p["priority_rules"].append(p["priority_rules"][0]),
+        "review_levels": lambda p: p["source_review_status_mappings"].update(x="no such level"),
+        "last_tie_breaker": lambda p: p["tie_breaking"].append("other"),
+        "bands": lambda p: p["priority_rules"][0].update(band="no such band"),
+    }
+    documents = []
+    for rule, change in changes.items():
+        policy = json.loads(json.dumps(vocab.DEFAULT_POLICY))
+        change(policy)
+        documents.append((rule, json.dumps(policy)))
+    got = rf.policy_violations(spark.createDataFrame(documents, "policy string, document string"))
+    assert rows(got) == sorted((rule, rule) for rule in changes)
+    with pytest.raises(ValueError, match="last_tie_breaker"):
+        rf.load_policy(spark, write("bad.json", documents[-2][1]))
 
 
 def test_pedigree_descriptor(spark, write):

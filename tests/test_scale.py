@@ -46,11 +46,10 @@ def test_filled_forward_and_running_total(skewed):
         assert rows(got, "k", "i", "t") == rows(total, "k", "i", "t")
 
 
-def test_listed_keeps_count_of_large_groups(skewed):
-    got = {r["k"]: (r["ids_count"], r["ids"]) for r in scale.listed(skewed, ["k"], F.col("i"), "ids", 60).collect()}
-    assert got["hot"] == (400, None)
-    sizes = {r["k"]: sorted(x["i"] for x in skewed.where(F.col("k") == r["k"]).collect()) for r in skewed.select("k").distinct().collect() if r["k"] != "hot"}
-    assert {k: v for k, v in got.items() if k != "hot"} == {k: (len(v), v) for k, v in sizes.items()}
+def test_lists_are_complete_at_any_size(spark):
+    big = spark.range(5003).selectExpr("if(id < 5000, 'hot', 'cold') as k", "id as i")
+    got = {r["k"]: (r["ids_count"], r["ids"]) for r in scale.listed(big, ["k"], F.col("i"), "ids").collect()}
+    assert got == {"hot": (5000, list(range(5000))), "cold": (3, [5000, 5001, 5002])}
 
 
 def test_sharded_join(spark):
@@ -60,9 +59,9 @@ def test_sharded_join(spark):
     assert rows(got, "s", "v") == rows(left.join(right, "model"), "s", "v")
 
 
-def test_packed_refuses_oversized_tables(spark):
-    small = scale.packed(spark.range(3), F.col("id"), 3, "t")
+def test_one_value_and_blocks(spark):
+    small = scale.one_value(spark.range(3), F.col("id"))
     assert spark.range(1).select(small.alias("a")).first()["a"] == [0, 1, 2]
-    large = scale.packed(spark.range(4), F.col("id"), 3, "t")
-    with pytest.raises(Exception, match="more than 3 rows"):
-        spark.range(1).select(large.alias("a")).collect()
+    left = spark.range(3).select(F.col("id").alias("q"))
+    met = scale.in_blocks(left, spark.range(50), "id", F.col("id"), 7).select("q", F.explode("block").alias("t"))
+    assert sorted(tuple(r) for r in met.collect()) == [(q, t) for q in range(3) for t in range(50)]

@@ -97,8 +97,7 @@ def summary_mismatches(scores: DataFrame, declared: DataFrame, tolerance: float)
     """Components whose score mean or deviation differs from the declared metadata."""
     from varloom.operators.projection import component_spread
 
-    k = 1 << 20
-    actual = component_spread(scores, k)
+    actual = component_spread(scores)
     joined = actual.join(declared, "component_index", "full")
     bad = (
         F.abs(F.col("score_mean") - F.col("declared_mean")) > tolerance

@@ -235,28 +235,42 @@ def pedigree_violations(members: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def cycle_edges(edges: DataFrame, cut) -> DataFrame:
-    """Edges left after repeatedly removing those that cannot lie on a cycle.
+    """Edges whose child is also an ancestor of their parent: those on a cycle.
 
-    An edge stays only while its parent is someone's child and its child is
-    someone's parent.  Each round is two semi-joins over the shrinking edge set
-    and drops a generation from both ends, so the number of rounds is about half
-    the depth of the pedigree; ``cut`` materialises a round (checkpoint).
+    First edges that cannot lie on a cycle are trimmed away (their parent is nobody's child or their child nobody's
+    parent).  What is left, people on or between declared cycles, is closed under ancestry by doubling: each round joins the
+    paths found so far, so a cycle of length n takes log2(n) rounds.  ``cut`` materialises a round.
     """
-    left = edges.select("parent_member_id", "child_member_id").where(
-        "parent_member_id <> child_member_id"
-    ).distinct()
-    left = cut(left)
+    core = _trimmed(edges, cut)
+    paths = core
+    size = paths.count()
+    while size:
+        onward = paths.select(F.col("parent_member_id").alias("child_member_id"), F.col("child_member_id").alias("next"))
+        longer = paths.join(onward, "child_member_id").select("parent_member_id", F.col("next").alias("child_member_id"))
+        paths = cut(paths.unionByName(longer).distinct())
+        grown = paths.count()
+        if grown == size:
+            break
+        size = grown
+    back = paths.select(
+        F.col("child_member_id").alias("parent_member_id"), F.col("parent_member_id").alias("child_member_id")
+    )
+    return core.join(back, ["parent_member_id", "child_member_id"], "left_semi")
+
+
+def _trimmed(edges: DataFrame, cut) -> DataFrame:
+    left = cut(
+        edges.select("parent_member_id", "child_member_id").where("parent_member_id <> child_member_id").distinct()
+    )
     size = left.count()
     while size:
         children = left.select(F.col("child_member_id").alias("parent_member_id")).distinct()
         parents = left.select(F.col("parent_member_id").alias("child_member_id")).distinct()
         kept = cut(
-            left.join(children, "parent_member_id", "left_semi").join(
-                parents, "child_member_id", "left_semi"
-            )
+            left.join(children, "parent_member_id", "left_semi").join(parents, "child_member_id", "left_semi")
         )
         smaller = kept.count()
         if smaller == size:
             break
         left, size = kept, smaller
-    return left if size else left.limit(0)
+    return left

@@ -1,122 +1,120 @@
-"""Exact k nearest reference samples without pairing every query with every reference."""
+"""Exact k nearest reference samples: cells of bounded size, visited only where a box can be close enough."""
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from varloom import vocab
-from varloom.operators.projection import distance, scaled
-from varloom.operators.scale import packed
+from varloom.operators.projection import scaled
 
-CELL_LIMIT = 4096
+#: Reference samples a cell aims at, and the sample that the cell cuts are fitted on.
+CELL_ROWS, SAMPLE = 2_000, 20_000
+#: Queries that meet a cell in one group.
+QUERIES = 2_000
 
 
-def _cell(vector: str, dims: int, per_unit: float):
-    return F.concat_ws(
-        ":", *[F.floor(F.col(vector)[i] * per_unit).cast("string") for i in range(dims)]
-    )
+def _cuts(points: np.ndarray, cells: int) -> list[tuple[int, float]]:
+    """Quantiles of the widest axes, one axis after the other, until there are ``cells`` cells."""
+    order = np.argsort(-np.ptp(points, axis=0), kind="stable") if len(points) else []
+    depth = min(max(0, int(np.ceil(np.log2(max(1, cells))))), len(order), 12)
+    return [(int(axis), float(np.median(points[:, axis]))) for axis in order[:depth]]
 
 
-def nearest(
-    points: DataFrame,
-    scores: DataFrame,
-    k: int,
-    count: int = vocab.NEIGHBOURS,
-    per_unit: float = 1.0,
-    grid_dims: int = 2,
-) -> DataFrame:
-    """The ``count`` nearest reference samples, ties by group then sample.
+def nearest(points: DataFrame, scores: DataFrame, count: int = vocab.NEIGHBOURS, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """The ``count`` nearest reference samples of each point, ties by group then sample.
 
-    1. References fall into grid cells; each cell is summarised by its size and
-       bounding box (a size-checked table that travels as one array value).
-    2. Each query bounds its ``count``-th distance from the boxes alone and keeps
-       only the cells whose box can be that close.
-    3. Queries meet references by an equi-join on the cell.
-
-    Of identical reference vectors only the first ``count`` in tie order can be
-    an answer, so further copies are dropped before the join; the rank filters
-    prune inside each map task before their shuffle.
+    References are cut at medians of a bounded sample into at most 4,096 cells; a cell of more than ``cell_rows`` rows is
+    dealt to parts by hash, so no group depends on how the vectors cluster.  Each query first bounds its ``count``-th
+    distance in its own cell, then visits only cells whose bounding box can be closer.  Of identical reference
+    vectors only the first ``count`` in tie order can be answers; further copies are dropped first.
     """
-    dims = min(grid_dims, k)
-    refs = scaled(scores, "scores", scores, k, "u").select(
-        "reference_sample_id", "reference_group_id", "u"
-    )
+    refs = scaled(scores, "scores", scores, "u").select("reference_sample_id", "reference_group_id", "u")
     copies = Window.partitionBy("u").orderBy("reference_group_id", "reference_sample_id")
-    refs = (
-        refs.withColumn("copy", F.row_number().over(copies))
-        .where(F.col("copy") <= count)
-        .drop("copy")
-        .withColumn("cell", _cell("u", dims, per_unit))
-    )
-    corners = [F.min(F.col("u")[i]).alias(f"lo{i}") for i in range(k)]
-    corners += [F.max(F.col("u")[i]).alias(f"hi{i}") for i in range(k)]
-    cells = refs.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), *corners)
-    summary = cells.select(
-        F.struct(
-            "cell",
-            "n",
-            F.array(*[F.col(f"lo{i}") for i in range(k)]).alias("lo"),
-            F.array(*[F.col(f"hi{i}") for i in range(k)]).alias("hi"),
-        ).alias("box")
-    )
-    boxes = packed(summary, F.col("box"), CELL_LIMIT, "reference cells")
-    zero = F.lit(0.0)
-
-    def gap(z, box, far):
-        def one(i):
-            v, lo, hi = z[i], box["lo"][i], box["hi"][i]
-            side = (
-                F.greatest(F.abs(v - lo), F.abs(v - hi))
-                if far
-                else F.greatest(lo - v, v - hi, zero)
-            )
-            return side * side
-
-        total = one(0)
-        for i in range(1, k):
-            total = total + one(i)
-        return F.sqrt(total)
-
-    z = scaled(points, "coordinates", scores, k, "z").select("query_id", "z")
-    bounds = z.withColumn("boxes", boxes).withColumn(
-        "bounds",
-        F.transform(
-            "boxes",
-            lambda b: F.struct(
-                gap(F.col("z"), b, True).alias("far"),
-                b["n"].alias("n"),
-                gap(F.col("z"), b, False).alias("near"),
-                b["cell"].alias("cell"),
-            ),
-        ),
-    )
-    start = F.struct(F.lit(0).cast("bigint").alias("seen"), zero.alias("r"))
-    reach = F.aggregate(
-        F.array_sort("bounds"),
-        start,
-        lambda acc, b: F.when(
-            acc["seen"] < count,
-            F.struct((acc["seen"] + b["n"]).alias("seen"), b["far"].alias("r")),
-        ).otherwise(acc),
-        lambda acc: acc["r"],
-    )
-    # A relative margin keeps cells whose box touches the bound up to rounding.
-    visits = (
-        bounds.withColumn("r", reach)
-        .select(
-            "query_id",
-            "z",
-            F.explode(
-                F.filter("bounds", lambda b: b["near"] <= F.col("r") * (1 + 1e-9))
-            ).alias("b"),
+    refs = refs.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= count).drop("copy")
+    total = refs.count()
+    sample = refs.select("reference_sample_id", "u").orderBy(F.xxhash64("reference_sample_id")).limit(SAMPLE).collect()
+    cuts = _cuts(np.array([r["u"] for r in sample], dtype=float), -(-total // cell_rows)) if sample else []
+
+    def cell(vector: str):
+        bits = [F.when(F.get(vector, F.lit(axis)) >= value, F.lit(1 << i)).otherwise(0) for i, (axis, value) in enumerate(cuts)]
+        return sum(bits, F.lit(0)).cast("int")
+
+    placed = refs.withColumn("cell", cell("u"))
+    sizes = {r["cell"]: r["count"] for r in placed.groupBy("cell").count().collect()}  # at most 4,096 rows
+    corners = placed.select("cell", F.posexplode("u").alias("i", "x")).groupBy("cell", "i").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    boxes: dict[int, list] = {}
+    for r in corners.orderBy("cell", "i").toLocalIterator():
+        boxes.setdefault(r["cell"], []).append((r["lo"], r["hi"]))
+    names = np.array(sorted(boxes), dtype=np.int32)
+    shape = np.array([boxes[int(c)] for c in names], dtype=float).reshape(len(names), -1, 2)
+    parts = {c: -(-n // cell_rows) for c, n in sizes.items()}
+    most = max(parts.values(), default=1)
+    n_parts = F.lit(1)
+    if most > 1:
+        pairs = [F.lit(v) for c, n in parts.items() if n > 1 for v in (c, n)]
+        n_parts = F.coalesce(F.try_element_at(F.create_map(*pairs), F.col("cell")), F.lit(1))
+    placed = placed.withColumn("part", F.pmod(F.xxhash64("reference_sample_id"), n_parts).cast("int"))
+
+    kind = points.schema["query_id"].dataType.simpleString()
+    found = f"query_id {kind}, reference_sample_id string, reference_group_id string, distance double"
+    z = scaled(points, "coordinates", scores, "z").select("query_id", "z")
+    z = z.withColumn("reach", F.lit(float("inf"))).withColumn("own", cell("z"))
+    chunks = max(1, -(-points.count() // QUERIES))
+
+    def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(left) and len(right):
+            # ties are settled by the order of the rows
+            right = right.sort_values(["reference_group_id", "reference_sample_id"], kind="stable")
+            u = np.array(right["u"].tolist(), dtype=float)
+            q = np.array(left["z"].tolist(), dtype=float)
+            step = max(1, 8_000_000 // max(1, u.size))
+            for start in range(0, len(q), step):
+                gap = q[start : start + step, None, :] - u[None, :, :]
+                far = np.sqrt((gap * gap).sum(axis=2))
+                top = np.argsort(far, axis=1, kind="stable")[:, :count]
+                near = right.iloc[top.ravel()]
+                out.append(
+                    pd.DataFrame(
+                        {
+                            "query_id": np.repeat(left["query_id"].to_numpy()[start : start + step], top.shape[1]),
+                            "reference_sample_id": near["reference_sample_id"].to_numpy(),
+                            "reference_group_id": near["reference_group_id"].to_numpy(),
+                            "distance": np.take_along_axis(far, top, axis=1).ravel(),
+                        }
+                    )
+                )
+        return pd.concat(out) if out else pd.DataFrame({c.split()[0]: [] for c in found.split(", ")})
+
+    def searched(queries: DataFrame) -> DataFrame:
+        """``queries``: query_id, z, cell."""
+        asks = queries.withColumn("part", F.explode(F.sequence(F.lit(0), n_parts - 1))).withColumn(
+            "chunk", F.pmod(F.xxhash64("query_id"), F.lit(chunks)).cast("int")
         )
-        .select("query_id", "z", F.col("b.cell").alias("cell"))
-    )
-    met = visits.join(refs, "cell").select(
-        "query_id",
-        "reference_sample_id",
-        "reference_group_id",
-        distance(F.col("z"), F.col("u"), k).alias("distance"),
-    )
-    order = Window.partitionBy("query_id").orderBy(
-        "distance", "reference_group_id", "reference_sample_id"
-    )
-    return met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= count)
+        sides = placed.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+        keys = ["cell", "part", "chunk"]
+        return asks.groupBy(*keys).cogroup(sides.groupBy(*keys)).applyInPandas(search, found)
+
+    order = Window.partitionBy("query_id").orderBy("distance", "reference_group_id", "reference_sample_id")
+    first = searched(z.select("query_id", "z", F.col("own").alias("cell")))
+    first = first.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= count)
+    bound = first.where(F.col("rank") == count).select("query_id", F.col("distance").alias("bound"))
+    known = z.join(bound, "query_id", "left").withColumn("reach", F.coalesce("bound", "reach"))
+
+    def visits(batches):
+        for frame in batches:
+            for start in range(0, len(frame), 200):
+                some = frame.iloc[start : start + 200]
+                q = np.array(some["z"].tolist(), dtype=float)[:, None, :]
+                off = np.maximum(0, np.maximum(shape[None, :, :, 0] - q, q - shape[None, :, :, 1]))
+                # a relative margin keeps cells that touch the bound up to rounding
+                close = np.sqrt((off * off).sum(axis=2)) <= some["reach"].to_numpy()[:, None] * (1 + 1e-9)
+                close &= names[None, :] != some["own"].to_numpy()[:, None]
+                at, which = np.nonzero(close)
+                yield some.iloc[at][["query_id", "z"]].assign(cell=names[which])
+
+    if len(names) > 1:
+        others = known.select("query_id", "z", "own", "reach").mapInPandas(visits, f"query_id {kind}, z array<double>, cell int")
+        first = first.drop("rank").unionByName(searched(others))
+        first = first.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= count)
+    return first

@@ -8,7 +8,6 @@ from varloom.operators.scale import listed, previous_value
 
 RECORD = ["source_marker_id", "source_chromosome", "source_position", "raw_genotype"]
 LINE_BUCKET = 65536
-LIST_LIMIT = 1024
 
 
 def _n(condition=None):
@@ -315,13 +314,11 @@ def finding_lines(observations: DataFrame) -> DataFrame:
     return out
 
 
-def related_lines(observations: DataFrame, limit: int = LIST_LIMIT) -> DataFrame:
-    """Line list per duplicate marker (NULL list beyond ``limit``; see finding_lines)."""
-    pairs = finding_lines(observations).where("code = 'DUPLICATE_MARKER_ID'")
+def related_lines(observations: DataFrame) -> DataFrame:
+    """Complete line list of every duplicate finding: code, its key columns, count and sorted lines."""
     return listed(
-        pairs,
-        ["sample_id", "source_marker_id"],
+        finding_lines(observations),
+        ["sample_id", "code", *RECORD],
         F.col("source_line_number"),
         "related_source_line_numbers",
-        limit,
     )

@@ -59,22 +59,11 @@ def previous_value(
     )
 
 
-def listed(
-    members: DataFrame, keys: list[str], item: Column, name: str, limit: int
-) -> DataFrame:
-    """Sorted list per group for groups of at most ``limit`` members.
-
-    Larger groups keep their exact size in ``<name>_count`` and a NULL list; the
-    long table ``members`` stays the complete answer for them.
-    """
-    sizes = members.groupBy(*keys).agg(F.count(F.lit(1)).alias(name + "_count"))
-    small = sizes.where(F.col(name + "_count") <= limit).select(*keys)
-    lists = (
-        members.join(small, keys, "left_semi")
-        .groupBy(*keys)
-        .agg(F.array_sort(F.collect_list(item)).alias(name))
+def listed(members: DataFrame, keys: list[str], item: Column, name: str) -> DataFrame:
+    """Complete sorted list of every group, with its size in ``<name>_count``."""
+    return members.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias(name + "_count"), F.array_sort(F.collect_list(item)).alias(name)
     )
-    return sizes.join(lists, keys, "left")
 
 
 def sharded_join(
@@ -90,27 +79,25 @@ def sharded_join(
     return left.join(right, [on, "_shard"]).drop("_shard")
 
 
-def broadcast_if_bounded(df: DataFrame, bound: int | None, limit: int) -> DataFrame:
-    """Hint a broadcast only when a known row bound is within ``limit``."""
-    return F.broadcast(df) if bound is not None and bound <= limit else df
+def one_value(df: DataFrame, item: Column) -> Column:
+    """The rows of ``df`` as one sorted array value (scalar subquery).
 
+    Only for tables whose size is fixed by a schema, such as one row per vector component.
+    """
+    return df.agg(F.array_sort(F.collect_list(item)).alias("rows")).scalar()
 
-def packed(df: DataFrame, item: Column, limit: int, label: str) -> Column:
-    """A small table as one array value (scalar subquery), refused beyond ``limit`` rows.
 
-    The size is checked on a count before the rows are listed, so an oversized
-    table fails without being gathered.
+def in_blocks(rows: DataFrame, table: DataFrame, order: str, item: Column, block_rows: int = 1000) -> DataFrame:
+    """Each row of ``rows`` with each block of ``table`` (column ``block``: an array of at most ``block_rows`` items).
+
+    A stated set of rows against all rows of a table: blocks meet the rows through an equi-join on
+    their number, so neither side travels as a whole.
     """
-    counted = df.agg(
-        F.when(
-            F.count(F.lit(1)) > limit,
-            F.raise_error(F.lit(f"{label}: more than {limit} rows")).cast("boolean"),
-        )
-        .otherwise(F.lit(True))
-        .alias("ok")
-    )
-    rows = df.where(counted.scalar()).agg(F.array_sort(F.collect_list(item)).alias("rows"))
-    return rows.scalar()
+    blocks = max(1, -(-table.count() // block_rows))
+    at = F.pmod(F.xxhash64(order), F.lit(blocks)).cast("int")
+    packed = table.withColumn("_part", at).groupBy("_part").agg(F.array_sort(F.collect_list(item)).alias("block"))
+    spread = rows.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    return spread.join(packed, "_part").drop("_part")
 
 
 def filled_forward(

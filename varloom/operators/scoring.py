@@ -5,7 +5,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from varloom.functions.alleles import effect_dosage
 from varloom.operators.scale import sharded_join
 
-WEIGHT = "decimal(28,18)"
+WEIGHT = "decimal(38,18)"
 SHARDS = 16
 
 
@@ -77,6 +77,8 @@ def scores(
             model_variants.select("pgs_id", "variant_id", "weight", "effect_allele", "alternate"),
             "variant_id",
         )
+        .join(requests.select("sample_id", "pgs_id").distinct(), ["sample_id", "pgs_id"], "left_semi")
+        .where(F.col("weight").isNotNull())
         .withColumn("d", _dosage())
         .groupBy("sample_id", "pgs_id")
         .agg(

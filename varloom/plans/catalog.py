@@ -1,15 +1,10 @@
 """Publication of runs: typed write-once tables, artifact inventory, run catalog."""
 
-import hashlib
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from varloom.functions.ids import stable_id
 
-# Largest file hashed from one in-memory column value; longer files are hashed as a stream.
-INLINE_BYTES = 256 << 20
 MANIFEST = "_manifest"
 
 INVENTORY_SCHEMA = "artifact string, sha256 string, byte_size bigint"
@@ -27,42 +22,17 @@ def write_table(df: DataFrame, path: str, schema: str | None = None, partition_b
     df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
 
 
-def _digest_stream(batches):
-    """SHA-256 of whole files, read in fixed chunks inside the task."""
-    import pyarrow.fs as pafs
-
-    for batch in batches:
-        digests = []
-        for uri in batch["uri"]:
-            where = uri.replace("file:", "", 1) if uri.startswith("file:/") else uri
-            fs, path = pafs.FileSystem.from_uri(uri) if "://" in where else (pafs.LocalFileSystem(), where)
-            digest = hashlib.sha256()
-            with fs.open_input_stream(path) as handle:
-                while chunk := handle.read(8 << 20):
-                    digest.update(chunk)
-            digests.append(digest.hexdigest())
-        yield pd.DataFrame(
-            {"uri": batch["uri"], "sha256": digests, "byte_size": batch["byte_size"]}
-        )
-
-
-def file_digests(spark: SparkSession, paths, inline_bytes: int = INLINE_BYTES) -> DataFrame:
-    """(uri, sha256, byte_size) of every file below the paths, one file per record."""
+def file_digests(spark: SparkSession, paths) -> DataFrame:
+    """(uri, sha256, byte_size) of every file below the paths, one file per record, through Spark's own reader."""
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*")
         .load(paths)
     )
-    small = files.where(F.col("length") <= inline_bytes).select(
+    return files.select(
         F.col("path").alias("uri"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("byte_size")
     )
-    large = (
-        files.where(F.col("length") > inline_bytes)
-        .select(F.col("path").alias("uri"), F.col("length").alias("byte_size"))
-        .mapInPandas(_digest_stream, "uri string, sha256 string, byte_size bigint")
-    )
-    return small.unionByName(large)
 
 
 def inventory(spark: SparkSession, root: str) -> DataFrame:
@@ -175,11 +145,7 @@ def resolve_latest(catalog: DataFrame, milestone: str, constraints: dict[str, st
         .collect()
     )
     if not rows:
-        raise ValueError(f"no completed {milestone} run is registered")
+        raise ValueError(f"{milestone}: the catalog holds no run")
     if not rows[0]["ok"]:
-        raise ValueError("latest run is incompatible with requested constraints")
+        raise ValueError(f"{milestone}: the newest run was made under other constraints than {constraints}")
     return rows[0]
-
-
-def catalog_ids(catalog: DataFrame) -> DataFrame:
-    return catalog.select(stable_id("completion", "milestone", "run_id").alias("id"), "*")

@@ -238,7 +238,6 @@ def infer_structure(
     neighbours: int = vocab.NEIGHBOURS,
 ) -> dict[str, DataFrame]:
     """Projection, distances, neighbours, support and leave-one-chromosome-out sensitivity."""
-    k = gates["components"]
     used = pj.used_markers(calls, loadings, requests)
     fits = pj.project(used, loadings, requests, gates)
     points = fits.where("coordinates is not null").select(
@@ -248,8 +247,8 @@ def infer_structure(
         "coordinates",
     )
     full = points.where("omitted_chromosome is null")
-    distances = pj.group_distances(points, scores, k)
-    radii = pj.support_radii(scores, k, quantile, minimum_group)
+    distances = pj.group_distances(points, scores)
+    radii = pj.support_radii(scores, quantile, minimum_group)
     support = pj.support_envelope(distances, radii)
     rank_one = distances.where("rank = 1").select(
         "query_id", F.col("reference_group_id").alias("rank_one_group_id")
@@ -265,7 +264,7 @@ def infer_structure(
         "marker_alignment": pj.marker_alignment(calls, loadings, requests),
         "projection": fits.where("omitted_chromosome is null"),
         "group_distances": distances.join(own, "query_id", "left_semi"),
-        "neighbors": nb.nearest(full, scores, k, neighbours),
+        "neighbors": nb.nearest(full, scores, neighbours),
         "support": support.join(own, "query_id", "left_semi"),
         "support_status": pj.support_status(support).join(own, "query_id", "left_semi"),
         "sensitivity": sensitivity,

@@ -390,7 +390,7 @@ ORACLE = {
   else 'unknown' end as build_provenance from fl group by src""",
     "genotype_text_malformed": _FILES
     + """ select distinct src as sample_id, 3 as source_line_number, 'INVALID_POSITION' as reason_code,
- 'Source position must be a positive integer.' as safe_explanation from fl""",
+ 'The position must be a whole number above zero.' as safe_explanation from fl""",
     "source_markers": _FILES
     + """ select source_marker_id as marker_id,
  case when upper(source_chromosome)='M' then 'MT' else upper(source_chromosome) end as chromosome,
@@ -462,19 +462,20 @@ def _late_oracles():
  from mapped group by 1"""
     qc_sql = sq.ORACLE["assay_qc"]
     head, body = qc_sql.split("\nselect b.sample_id", 1)
-    boundary = reports.QC_BOUNDARY
     ORACLE["qc_report"] = f"""{head}, qcs as (select b.sample_id{body}),
- l as (select sample_id, ['# Source-file assay QC', '> **{boundary}**',
- '- Parsed / malformed records: '||parsed_record_count||' / '||malformed_record_count,
- '- Called / no-call records: '||called_record_count||' / '||no_call_record_count,
- '- Call rate: '||printf('%.6f', called_record_count/parsed_record_count),
- '- Duplicate marker occurrences: '||duplicate_marker_id_count,
- '- Duplicate coordinate occurrences: '||duplicate_coordinate_count,
- '- Exact duplicate occurrences: '||exact_duplicate_record_count,
- '- Conflicting duplicate marker occurrences: '||conflicting_duplicate_marker_count,
- '- Unrecognized chromosome-token records: '||unrecognized_chromosome_token_count,
- '- Out-of-order records: '||out_of_order_record_count] as ls from qcs)
- select sample_id, i-1 as ordinal, ls[i] as line from l, range(1,12) t(i)"""
+ l as (select sample_id, ['ASSAY '||sample_id, '{reports.SCOPE}',
+ rpad('records read',28,' ')||parsed_record_count,
+ rpad('lines not readable',28,' ')||malformed_record_count,
+ rpad('with a call',28,' ')||called_record_count,
+ rpad('without a call',28,' ')||no_call_record_count,
+ rpad('share called',28,' ')||printf('%.6f', called_record_count/parsed_record_count),
+ rpad('repeated marker names',28,' ')||duplicate_marker_id_count,
+ rpad('repeated places',28,' ')||duplicate_coordinate_count,
+ rpad('repeated lines',28,' ')||exact_duplicate_record_count,
+ rpad('markers that disagree',28,' ')||conflicting_duplicate_marker_count,
+ rpad('unknown chromosome names',28,' ')||unrecognized_chromosome_token_count,
+ rpad('positions going backwards',28,' ')||out_of_order_record_count] as ls from qcs)
+ select sample_id, i-1 as ordinal, ls[i] as line from l, range(1,14) t(i)"""
 
 
 _late_oracles()

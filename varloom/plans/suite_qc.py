@@ -104,6 +104,16 @@ groups as (
   from records where n > 1)
 """
 
+_FINDING_LINES = f""",
+{_GROUPS}
+select g.sample_id, g.code, g.source_marker_id, g.source_chromosome, g.source_position,
+  g.raw_genotype, c.source_line_number
+from groups g join numbered_calls c on c.sample_id=g.sample_id
+  and (g.source_marker_id is null or g.source_marker_id=c.source_marker_id)
+  and (g.source_chromosome is null or (g.source_chromosome=c.source_chromosome
+    and g.source_position=cast(c.source_position as varchar)))
+  and (g.raw_genotype is null or g.raw_genotype=c.raw_genotype)"""
+
 ORACLE = {
     "call_rate_by_chromosome": ctes("calls")
     + f"""
@@ -170,31 +180,23 @@ single as (select sample_id, 'OUT_OF_ORDER_RECORD' as code, source_line_number f
 select sample_id, code, null::bigint as source_line_number, source_marker_id, source_chromosome,
   source_position, raw_genotype, related_line_count, first_line, last_line, 'warning' as severity,
   case code when 'CONFLICTING_DUPLICATE_MARKER'
-      then 'Marker ''' || source_marker_id || ''' has conflicting source records.'
-    when 'DUPLICATE_MARKER_ID' then 'Marker ''' || source_marker_id || ''' occurs more than once.'
-    when 'DUPLICATE_COORDINATE' then 'A source chromosome/position pair occurs more than once.'
-    else 'An exact source record occurs more than once.' end as message
+      then 'Records of marker ' || source_marker_id || ' contradict each other.'
+    when 'DUPLICATE_MARKER_ID' then 'Marker ' || source_marker_id || ' stands on several lines.'
+    when 'DUPLICATE_COORDINATE' then 'Several records share this chromosome and position.'
+    else 'Several lines repeat this record unchanged.' end as message
 from groups
 union all select sample_id, code, source_line_number, null, null, null, null, 0, null, null,
   case code when 'OUT_OF_ORDER_RECORD' then 'info' else 'warning' end,
   case code when 'OUT_OF_ORDER_RECORD'
-    then 'Source position decreased within this chromosome token.'
-    else 'Source chromosome token is outside the lexical recognition set.' end
+    then 'The position is lower than that of the record before it on this chromosome.'
+    else 'This chromosome name is not one of the known spellings.' end
 from single""",
-    "qc_finding_lines": ctes("numbered_calls")
-    + f""",
-{_GROUPS}
-select g.sample_id, g.code, g.source_marker_id, g.source_chromosome, g.source_position,
-  g.raw_genotype, c.source_line_number
-from groups g join numbered_calls c on c.sample_id=g.sample_id
-  and (g.source_marker_id is null or g.source_marker_id=c.source_marker_id)
-  and (g.source_chromosome is null or (g.source_chromosome=c.source_chromosome
-    and g.source_position=cast(c.source_position as varchar)))
-  and (g.raw_genotype is null or g.raw_genotype=c.raw_genotype)""",
+    "qc_finding_lines": ctes("numbered_calls") + _FINDING_LINES,
     "qc_related_lines": ctes("numbered_calls")
-    + """
-select sample_id, source_marker_id, count(*) as related_source_line_numbers_count,
-  case when count(*)<=1024 then string_agg(source_line_number, ',' order by source_line_number) end
-    as related_source_line_numbers
-from numbered_calls group by sample_id, source_marker_id having count(*)>1""",
+    + f"""
+, found as (with base as (select 1){_FINDING_LINES})
+select sample_id, code, source_marker_id, source_chromosome, source_position, raw_genotype,
+  count(*) as related_source_line_numbers_count,
+  string_agg(source_line_number, ',' order by source_line_number) as related_source_line_numbers
+from found group by all""",
 }

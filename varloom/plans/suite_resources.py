@@ -137,17 +137,19 @@ def gram_violations(spark, sf_dir):
 
 
 def summary_mismatches(spark, sf_dir):
-    """Score summaries against metadata that is right for every component but the last."""
-    from varloom.operators.projection import component_spread
-
+    """Score summaries of all components against metadata that says mean 0 and deviation 0.125 of each."""
     scores = suite_structure._scores(spark, sf_dir)
-    declared = component_spread(scores, 4).select(
+    declared = spark.range(1, suite_structure.K + 1).select(
+        F.col("id").cast("int").alias("component_index"),
+        F.lit(0.0).alias("declared_mean"),
+        F.lit(0.125).alias("declared_sd"),
+    )
+    out = ck.summary_mismatches(scores, declared, 0.004)
+    return out.select(
         "component_index",
-        (F.col("score_mean") + F.when(F.col("component_index") == 4, 0.5).otherwise(0.0)).alias("declared_mean"),
-        F.col("score_sd").alias("declared_sd"),
+        F.round("score_mean", 6).alias("score_mean"),
+        F.round("score_sd", 6).alias("score_sd"),
     )
-    out = ck.summary_mismatches(scores, declared, 1e-9)
-    return out.select("component_index", F.round(F.col("declared_mean") - F.col("score_mean"), 6).alias("shift"))
 
 
 def bundle_rule_violations(spark, sf_dir):
@@ -387,7 +389,10 @@ ORACLE = {
    select model_id,0,1,b,0 from g union all select model_id,1,0,b,0 from g
    union all select model_id,1,1,d,1 from g)
  select model_id, "row", "column", value from e where abs(value-one)>1e-6""",
-    "summary_mismatches": "select 4 as component_index, 0.5 as shift from (select count(*) c from embeddings) where c>0",
+    "summary_mismatches": """select component_index, round(m,6) as score_mean, round(s,6) as score_sd from (
+  select i as component_index, avg(cast(embedding[i] as double)) as m, stddev_pop(cast(embedding[i] as double)) as s
+  from embeddings, range(1,65) t(i) group by 1)
+ where abs(m)>0.004 or abs(s-0.125)>0.004""",
     "bundle_rule_violations": ctes("pgx_genes", "pgx_loci", "pgx_alleles", "pgx_constraints")
     + """, c as (select allele_id, case when right(locus_id,2)='17' then 'unsupported_structural_requirement'
    else state end as state from pgx_constraints where right(allele_id,3)<>'002')

@@ -2,10 +2,6 @@
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from varloom.operators.scale import broadcast_if_bounded
-
-BLOCK_LIMIT = 500_000
-
 
 def scan_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(source_uri, line_number, value) of every line; LF, CRLF and CR all end a line.
@@ -36,11 +32,7 @@ def scan_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
             F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"),
         )
     )
-    # A block is a file or a full split of one, so files + splits bounds the block count.
-    bound = len(base.inputFiles()) + base.rdd.getNumPartitions()
-    return raw.join(
-        broadcast_if_bounded(blocks, bound, BLOCK_LIMIT), ["source_uri", "block"]
-    ).select(
+    return raw.join(blocks, ["source_uri", "block"]).select(
         "source_uri",
         (F.col("offset") + F.col("serial") - F.col("first_serial") + 1).alias("line_number"),
         "value",

@@ -230,53 +230,58 @@ def pedigree_json(spark: SparkSession, paths) -> tuple[DataFrame, DataFrame, Dat
     return members, edges, bad
 
 
-def load_policy(spark: SparkSession, path: str) -> dict:
-    """A review policy document (a few kilobytes), checked before use."""
-    text = spark.read.text(path, wholetext=True).first()["value"]
-    return checked_policy(json.loads(text))
+_POLICY = (
+    "schema_version int, version string, term_routes map<string,array<string>>, "
+    "classification_type_handling map<string,string>, record_status_behavior map<string,string>, "
+    "priority_rules array<struct<rule_id:string,band:string>>, "
+    "source_review_status_mappings map<string,string>, tie_breaking array<string>"
+)
+_TERMS = "transform(flatten(map_values(p.term_routes)), t -> lower(trim(regexp_replace(t, '[ ]+', ' '))))"
+_IDS, _BANDS = "transform(p.priority_rules, r -> r.rule_id)", "transform(p.priority_rules, r -> r.band)"
+
 
+def _names(values) -> str:
+    return "array(" + ", ".join(f"'{v}'" for v in sorted(values)) + ")"
 
-def checked_policy(policy: dict) -> dict:
-    """Refuse policies with missing routes or statuses, overlapping terms or odd handling."""
+
+def policy_rules() -> list[tuple[str, str]]:
+    """(rule, condition under which a parsed policy ``p`` with top-level ``fields`` breaks it)."""
     expected = vocab.DEFAULT_POLICY
-    if set(policy) != set(expected) or policy["schema_version"] != 1:
-        raise ValueError("unknown policy fields or schema version")
-    version = policy["version"].split(".")
-    if len(version) != 3 or not all(part.isdigit() for part in version):
-        raise ValueError("policy version must have three numeric parts")
-    if set(policy["term_routes"]) != set(vocab.TERM_ROUTES):
-        raise ValueError("policy must define every source-term route")
-    if policy["classification_type_handling"] != expected["classification_type_handling"]:
-        raise ValueError("unsupported classification-type handling")
-    behaviour = policy["record_status_behavior"]
-    if set(behaviour) != {"current", "replaced", "deleted", "unknown"} or not set(
-        behaviour.values()
-    ) <= {"active", "inactive"}:
-        raise ValueError("policy must define every record status as active or inactive")
-    if behaviour["replaced"] != "inactive" or behaviour["deleted"] != "inactive":
-        raise ValueError("replaced and deleted assertions must be inactive")
-    folded = [
-        " ".join(t.lower().split()) for terms in policy["term_routes"].values() for t in terms
+    handling = expected["classification_type_handling"]
+    same = " and ".join(f"p.classification_type_handling['{k}'] = '{v}'" for k, v in handling.items())
+    return [
+        ("fields", f"array_sort(fields) <> {_names(expected)}"),
+        ("schema_version", "p.schema_version <> 1"),
+        ("version_parts", "not p.version rlike '^[0-9]+[.][0-9]+[.][0-9]+$'"),
+        ("routes", f"array_sort(map_keys(p.term_routes)) <> {_names(vocab.TERM_ROUTES)}"),
+        ("term_in_two_routes", f"size({_TERMS}) <> size(array_distinct({_TERMS}))"),
+        ("type_handling", f"not (size(p.classification_type_handling) = {len(handling)} and {same})"),
+        ("record_statuses", f"array_sort(map_keys(p.record_status_behavior)) <> {_names(['current', 'replaced', 'deleted', 'unknown'])}"),
+        ("record_behaviours", "exists(map_values(p.record_status_behavior), b -> b not in ('active', 'inactive'))"),
+        ("gone_records_active", "'active' in (p.record_status_behavior['replaced'], p.record_status_behavior['deleted'])"),
+        ("priority_rules", f"size({_IDS}) = 0 or size({_IDS}) <> size(array_distinct({_IDS}))"),
+        ("bands", f"array_sort(array_distinct({_BANDS})) <> {_names(vocab.BAND_ORDER)}"),
+        ("review_levels", f"size(array_except(map_values(p.source_review_status_mappings), {_names(vocab.REVIEW_LEVELS)})) > 0"),
+        ("last_tie_breaker", "try_element_at(p.tie_breaking, -1) <> 'profile_id'"),
     ]
-    if len(folded) != len(set(folded)):
-        raise ValueError("a source term appears in more than one route")
-    rules = [r["rule_id"] for r in policy["priority_rules"]]
-    if not rules or len(rules) != len(set(rules)):
-        raise ValueError("priority rule ids must be present and unique")
-    if {r["band"] for r in policy["priority_rules"]} != set(vocab.BAND_ORDER):
-        raise ValueError("policy must have a rule for every band")
-    levels = set(policy["source_review_status_mappings"].values())
-    if not levels <= set(vocab.REVIEW_LEVELS):
-        raise ValueError("unknown review level")
-    if policy["tie_breaking"][-1:] != ["profile_id"]:
-        raise ValueError("profile_id must be the final tie-breaker")
-    return policy
-
-
-def policy_terms(spark: SparkSession, policy: dict) -> DataFrame:
-    """Route rows (term, route) of a policy."""
-    rows = [(t, r) for r, terms in policy["term_routes"].items() for t in terms]
-    return spark.createDataFrame(rows, "term string, route string")
+
+
+def policy_violations(documents: DataFrame) -> DataFrame:
+    """(policy, rule) for every rule that a policy document (JSON text) breaks; what cannot be read breaks its rule."""
+    parsed = documents.select(
+        "policy", F.from_json("document", _POLICY).alias("p"), F.json_object_keys("document").alias("fields")
+    )
+    broken = F.array(*[F.when(F.coalesce(F.expr(c), F.lit(True)), F.lit(r)) for r, c in policy_rules()])
+    return parsed.select("policy", F.explode(F.array_compact(broken)).alias("rule"))
+
+
+def load_policy(spark: SparkSession, path: str) -> dict:
+    """A review policy document (a few kilobytes), refused when it breaks a rule."""
+    documents = spark.read.text(path, wholetext=True).select(F.lit(path).alias("policy"), F.col("value").alias("document"))
+    broken = sorted(r["rule"] for r in policy_violations(documents).collect())
+    if broken:
+        raise ValueError(f"{path}: policy breaks {', '.join(broken)}")
+    return json.loads(documents.first()["document"])
 
 
 def typed_parquet(spark: SparkSession, path: str, schema: str) -> DataFrame:

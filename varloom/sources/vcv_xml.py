@@ -188,7 +188,7 @@ def representations(archives: DataFrame) -> DataFrame:
         "*",
         F.col("loc._Assembly").alias("assembly"),
         F.col("loc._Chr").alias("chromosome"),
-        _digits(F.coalesce("loc._positionVCF", "loc._start")).alias("position"),
+        _digits(F.coalesce(F.nullif(F.trim("loc._positionVCF"), F.lit("")), F.col("loc._start"))).alias("position"),
         F.col("loc._referenceAlleleVCF").alias("reference"),
         F.col("loc._alternateAlleleVCF").alias("alternate"),
     )
