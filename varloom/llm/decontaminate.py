@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varloom.llm.common import keyed, packed
+from varloom.llm.common import keyed, packed, slices
 
 WIDTH = 10
 #: Words of one automaton: some 25 MB in a task, 2 MB as broadcast.
@@ -183,7 +183,7 @@ def item_blocks(items: DataFrame, id_col: str, text_col: str, width: int, block_
 def _scan(base: DataFrame, automaton) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher: Automaton = automaton.value
-        for batch in batches:
+        for batch in slices(batches):
             counts, spans, items = [], [], []
             for text in batch.column("_bytes").to_pylist():
                 words = words_of(text)

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from varloom.llm.common import slices
+
 BUCKETS, ORDER, PIECE = 1 << 16, 3, 1 << 16
 #: Languages x buckets of the broadcast matrix: 64 million floats, 256 MB.
 MOST_CELLS = 1 << 26
@@ -49,7 +51,7 @@ def ngram_buckets(text: str, buckets: int = BUCKETS) -> Iterator[np.ndarray]:
 
 def _counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     totals: dict[str, np.ndarray] = {}
-    for batch in batches:
+    for batch in slices(batches):
         for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
             total = totals.setdefault(lang, np.zeros(BUCKETS, dtype=np.int64))
             for buckets in ngram_buckets(text):

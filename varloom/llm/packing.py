@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from varloom.llm.common import NO_ID, gapless
+from varloom.llm.common import NO_ID, gapless, slices
 from varloom.operators.materialize import stored
 
 CAPACITY, END_ID = 2048, 0
@@ -106,7 +106,7 @@ def tokenized(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> Data
         if encoder is None:
             encoder = _ENCODERS[tokenizer] = Encoder(tokenizer)
         end = END_ID.to_bytes(4, "little")
-        for batch in batches:
+        for batch in slices(batches):
             out: list[list] = [[], [], [], [], [], []]
             for i, mark, text in zip(*(batch.column(c).to_pylist() for c in ("_id", "_mark", "_bytes"))):
                 ids = encoder.encode(text) + end
