@@ -20,7 +20,7 @@ def scanned(spark, path, **kw):
 def test_normal_file(spark, write):
     parsed, obs = scanned(spark, write("s1.txt", NORMAL))
     summary = qc.assay_qc(obs).first()
-    assert summary["sample_id"] == "s1"
+    assert summary["sample_id"].startswith("s1-")
     assert summary["parsed_record_count"] == 3 and summary["called_record_count"] == 2
     assert summary["call_rate"] == pytest.approx(2 / 3)
     one = qc.chromosome_qc(obs).where("source_chromosome = '1'").first()
@@ -138,3 +138,14 @@ def test_order_lag_matches_plain_window_for_any_bucket_width(spark):
     )
     wide = rows(qc.out_of_order(df, width=100000))
     assert wide == rows(qc.out_of_order(df, width=7)) and wide
+
+
+def test_equal_names_in_two_folders_stay_apart(spark, write, folder):
+    write("a/genome.txt", "rs1\t1\t101\tAG\n")
+    write("b/genome.txt", "rs1\t1\t101\tCC\n")
+    _, obs = scanned(spark, [f"{folder}/a/genome.txt", f"{folder}/b/genome.txt"])
+    assert obs.select("sample_id").distinct().count() == 2
+    assert qc.findings(obs).where("code = 'CONFLICTING_DUPLICATE_MARKER'").count() == 0
+    uris = [r[0] for r in scan_lines(spark, f"{folder}/a").select("source_uri").collect()]
+    named = gt.scan(spark, f"{folder}/a", spark.createDataFrame([(uris[0], "p1")], "source_uri string, sample_id string"))
+    assert {r["sample_id"] for r in named.collect()} == {"p1"}

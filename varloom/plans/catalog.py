@@ -1,5 +1,7 @@
 """Publication of runs: typed write-once tables, artifact inventory, run catalog."""
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from varloom import vocab
 from varloom.functions.tokens import canonical_assembly, canonical_chromosome, classify
-from varloom.sources.lines import file_stem, scan_lines
+from varloom.sources.lines import scan_lines, source_sample
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
@@ -33,11 +33,12 @@ def scan(
 ) -> DataFrame:
     """Parsed lines with their sample.
 
-    ``sources`` maps source_uri to sample_id; without it the file stem is the sample.
+    ``sources`` maps source_uri to sample_id (rows without a match keep NULL).  Without it every file is a sample of its own,
+    named by its stem and the digest of its full location, so equal names in different folders stay apart.
     """
     parsed = parse_lines(scan_lines(spark, paths))
     if sources is None:
-        named = parsed.withColumn("sample_id", file_stem())
+        named = parsed.withColumn("sample_id", source_sample("source_uri"))
     else:
         named = parsed.join(sources.select("source_uri", "sample_id"), "source_uri", "left")
     return named.withColumn("ingestion_run_id", F.lit(run_id))

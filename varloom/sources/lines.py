@@ -39,5 +39,7 @@ def scan_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     )
 
 
-def file_stem(uri: str = "source_uri"):
-    return F.regexp_extract(uri, r"([^/]+?)(?:\.[A-Za-z0-9]+)*$", 1)
+def source_sample(uri: str):
+    """A sample id for a file without a declared subject: its stem and the digest of its location."""
+    stem = F.regexp_extract(uri, r"([^/]+?)(?:\.[A-Za-z0-9]+)*$", 1)
+    return F.concat_ws("-", stem, F.substring(F.sha2(uri, 256), 1, 32))

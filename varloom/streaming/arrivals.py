@@ -9,11 +9,13 @@ from varloom.sources import genotype_text as gt
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def ingest_batch(spark: SparkSession, uris: list[str], batch_id: int, target: str) -> None:
+def ingest_batch(
+    spark: SparkSession, uris: list[str], batch_id: int, target: str, subjects: DataFrame | None = None
+) -> None:
     """Ingest the files of one micro-batch whose content was not stored by another batch.
 
     Every table is written under ``batch=<id>`` with overwrite, so a retried batch
-    replaces its own output instead of repeating it.
+    replaces its own output instead of repeating it.  ``subjects`` (source_uri, sample_id) names the sample of each file.
     """
     sources = f"{target}/sources"
     digests = file_digests(spark, uris).groupBy("sha256", "byte_size").agg(F.min("uri").alias("uri"))
@@ -26,7 +28,7 @@ def ingest_batch(spark: SparkSession, uris: list[str], batch_id: int, target: st
     fresh = [r["uri"] for r in spark.read.parquet(f"{sources}/batch={batch_id}").select("uri").collect()]
     if not fresh:
         return
-    parsed = gt.scan(spark, fresh, run_id=f"stream-{batch_id}")
+    parsed = gt.scan(spark, fresh, subjects, run_id=f"stream-{batch_id}")
     obs = gt.observations(parsed)
     tables = {
         "observations": obs,
@@ -40,7 +42,12 @@ def ingest_batch(spark: SparkSession, uris: list[str], batch_id: int, target: st
 
 
 def stream(
-    spark: SparkSession, folder: str, target: str, checkpoint: str, files_per_batch: int = 1000
+    spark: SparkSession,
+    folder: str,
+    target: str,
+    checkpoint: str,
+    files_per_batch: int = 1000,
+    subjects: DataFrame | None = None,
 ):
     """Start the file stream; ``files_per_batch`` bounds the paths a batch handles."""
     files = (
@@ -54,7 +61,7 @@ def stream(
     def handle(batch: DataFrame, batch_id: int) -> None:
         uris = [r["path"] for r in batch.collect()]
         if uris:
-            ingest_batch(batch.sparkSession, uris, batch_id, target)
+            ingest_batch(batch.sparkSession, uris, batch_id, target, subjects)
 
     return (
         files.writeStream.foreachBatch(handle)
