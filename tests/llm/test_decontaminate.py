@@ -3,6 +3,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from llm_fixtures import documents, prose  # noqa: F401
 from varloom.llm import decontaminate as d
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")

@@ -1,5 +1,6 @@
 import random
 
+from llm_fixtures import documents, prose  # noqa: F401
 from varloom.llm import jaccard as j
 from varloom.llm.common import NO_ID, components, gapless
 from varloom.operators.materialize import stored

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 
+from llm_fixtures import documents  # noqa: F401
 from varloom.llm import language_id as m
 
 SYLLABLES = {"en": ["th", "er", "ing", "and", "of", "wh"], "de": ["sch", "ung", "ein", "ü", "ich", "tz"], "fr": ["eau", "é", "que", "oi", "ê", "lle"]}

@@ -6,6 +6,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from llm_fixtures import documents  # noqa: F401
 from varloom.llm import packing as p
 
 PATH = public_tokenizers.path("word_bpe_49k.json")

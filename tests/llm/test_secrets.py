@@ -1,6 +1,7 @@
 import random
 import re
 
+from llm_fixtures import documents  # noqa: F401
 from varloom.llm import secrets as s
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)

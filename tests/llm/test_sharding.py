@@ -1,6 +1,7 @@
 import zlib
 from collections import Counter, defaultdict
 
+from llm_fixtures import documents  # noqa: F401
 from varloom.llm import sharding
 
 
