@@ -94,13 +94,14 @@ def best_paths(messages: DataFrame, per_tree: int = 1) -> DataFrame:
         above = ways.select(
             "t", F.col("id").alias("up"), F.col("up").alias("next"), F.col("path").alias("more"), F.col("steps").alias("far")
         )
-        ways = ways.join(above, ["t", "up"], "left").select(
+        longer = open_.join(above, ["t", "up"]).select(  # paths that have reached their root take no part
             "t",
             "id",
             F.col("next").alias("up"),
-            (F.col("path") + F.coalesce("more", F.lit(0.0))).alias("path"),
-            (F.col("steps") + F.coalesce("far", F.lit(0))).alias("steps"),
+            (F.col("path") + F.col("more")).alias("path"),
+            (F.col("steps") + F.col("far")).alias("steps"),
         )
+        ways = ways.filter("up is null").unionByName(longer)
         reach *= 2
     parents = linked.filter("known").select("t", F.col("parent").alias("id")).distinct()
     leaves = ways.filter("up is null").join(parents, ["t", "id"], "left_anti")

@@ -8,6 +8,8 @@ row per bucket carries what crosses the cut.
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from varloom.operators.materialize import stored
+
 
 def numbered(
     df: DataFrame, keys: list[str], bucket: Column, order: list[Column], name: str
@@ -38,6 +40,16 @@ def numbered(
     )
 
 
+def in_ranges(df: DataFrame, keys: list[str], order: list, name: str = "_range") -> DataFrame:
+    """``df`` with the number of its range partition along (keys, order): buckets that follow the rows, not their values.
+
+    Numbers grow along the order inside each key, so they serve as ``bucket`` of :func:`numbered`.  The table is
+    stored, because partition numbers hold for one run only.
+    """
+    ranged = df.repartitionByRange(*keys, *order).withColumn(name, F.spark_partition_id())
+    return stored(ranged, "ranges")
+
+
 def previous_value(
     df: DataFrame, keys: list[str], order: str, value: str, width: int, name: str
 ) -> DataFrame:

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from varloom.functions.alleles import effect_dosage
-from varloom.operators.scale import sharded_join
+from varloom.operators.scale import in_ranges, sharded_join
 
 WEIGHT = "decimal(38,18)"
 SHARDS = 16
@@ -125,12 +125,12 @@ IDENTITY = ["pgs_id", "model_version", "assembly", "matching_pipeline", "missing
 
 
 def compare_reference(
-    results: DataFrame, reference: DataFrame, identity: list[str] | None = None, buckets: int = 4096
+    results: DataFrame, reference: DataFrame, identity: list[str] | None = None
 ) -> DataFrame:
     """z-score and midrank percentile of evaluable scores in their reference distribution.
 
     ``reference`` is long: identity columns plus ``score``.  Ranks come from
-    running counts over distinct values, cut into value buckets; no score is
+    running counts over distinct values, cut into range partitions; no score is
     ever paired with each reference value.
     """
     identity = identity or IDENTITY
@@ -140,8 +140,6 @@ def compare_reference(
         F.count_if(F.col("score").isNull() | F.isnan("score") | (F.abs("score") == float("inf"))).alias("bad"),
         F.avg("score").alias("mean"),
         F.var_pop("score").alias("variance"),
-        F.min("score").alias("low"),
-        F.max("score").alias("high"),
     )
     known = reference.select(key).distinct().withColumn("has_reference", F.lit(True))
     asked = results.withColumn("value", F.col("raw_partial_score").cast("double"))
@@ -160,11 +158,9 @@ def compare_reference(
         .unionByName(ready.select(*identity, "value", F.lit(0).alias("w")))
         .groupBy(*identity, "value")
         .agg(F.sum("w").alias("w"))
-        .join(spread.where("variance > 0 and bad = 0").select(*identity, "low", "high"), identity)
+        .join(spread.where("variance > 0 and bad = 0").select(*identity), identity)
     )
-    share = (F.col("value") - F.col("low")) / (F.col("high") - F.col("low"))
-    bucket = F.greatest(F.lit(-1), F.least(F.lit(buckets), F.floor(share * buckets)))
-    cut = points.withColumn("_bucket", bucket)
+    cut = in_ranges(points, identity, ["value"], "_bucket")
     inner = Window.partitionBy(*identity, "_bucket").orderBy("value")
     before = (
         Window.partitionBy(*identity)

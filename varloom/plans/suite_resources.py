@@ -179,7 +179,7 @@ def order_violations(spark, sf_dir):
     rows = view(spark, sf_dir, "pgs_variants").select(
         F.lit("bundle").alias("bundle"), "p", "pgs_id", "chromosome", "position"
     )
-    return ck.order_violations(rows, ["bundle"], "p", ["chromosome", "position"], width=512).select(
+    return ck.order_violations(rows, ["bundle"], "p", ["chromosome", "position"]).select(
         "p", "pgs_id", "chromosome", "position"
     )
 
