@@ -52,11 +52,29 @@ def test_lists_are_complete_at_any_size(spark):
     assert got == {"hot": (5000, list(range(5000))), "cold": (3, [5000, 5001, 5002])}
 
 
-def test_sharded_join(spark):
-    left = spark.createDataFrame([(f"s{i}", "m") for i in range(5)], "s string, model string")
+def test_sharded_join(spark, monkeypatch):
+    left = spark.createDataFrame([(f"s{i}", "m") for i in range(50)], "s string, model string")
     right = spark.createDataFrame([("m", f"v{i}") for i in range(40)], "model string, v string")
-    got = scale.sharded_join(left, right, "model", "v", 8)
-    assert rows(got, "s", "v") == rows(left.join(right, "model"), "s", "v")
+    for most in (7, 10_000):
+        monkeypatch.setattr(scale, "PART_ROWS", most)
+        got = scale.sharded_join(left, right, "model", "v", 8)
+        assert rows(got, "s", "v") == rows(left.join(right, "model"), "s", "v")
+
+
+def test_one_hot_key_is_spread_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(scale, "PART_ROWS", 50)
+    left = spark.range(2000).selectExpr("id as s", "'m' as model")
+    right = spark.range(400).selectExpr("'m' as model", "id as v")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        per_task = scale.sharded_join(left, right, "model", "v", 8).groupBy(F.spark_partition_id().alias("t")).count()
+        assert max(r["count"] for r in per_task.collect()) < 0.15 * 2000 * 400
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
 def test_one_value_and_blocks(spark):

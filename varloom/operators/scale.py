@@ -78,17 +78,27 @@ def listed(members: DataFrame, keys: list[str], item: Column, name: str) -> Data
     )
 
 
+#: Rows of the wide side that one part of a popular key should hold.
+PART_ROWS = 10_000
+
+
 def sharded_join(
     wide: DataFrame, model: DataFrame, on: str, shard_key: str, shards: int
 ) -> DataFrame:
-    """Equi-join on a key that few values share, spread over ``shards`` partitions.
+    """Equi-join on a key that few values share, spread evenly however popular a key is.
 
-    Each ``model`` row falls in one shard by hash of ``shard_key``; each ``wide``
-    row is repeated once per shard, so one popular key is split evenly.
+    Each ``model`` row falls in one shard by hash of ``shard_key``, and each ``wide`` row in one part by its own
+    hash; a row is repeated once per shard, a model row once per part.  The number of parts follows the rows of ``wide``, so
+    one key that everybody asks for is spread over shards x parts tasks at any scale.
     """
-    left = wide.withColumn("_shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    right = model.withColumn("_shard", F.pmod(F.xxhash64(shard_key), F.lit(shards)).cast("int"))
-    return left.join(right, [on, "_shard"]).drop("_shard")
+    parts = max(1, -(-wide.count() // PART_ROWS))
+    left = wide.withColumn("_shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).withColumn(
+        "_piece", F.pmod(F.xxhash64(*wide.columns), F.lit(parts)).cast("int")
+    )
+    right = model.withColumn("_shard", F.pmod(F.xxhash64(shard_key), F.lit(shards)).cast("int")).withColumn(
+        "_piece", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+    )
+    return left.join(right, [on, "_shard", "_piece"]).drop("_shard", "_piece")
 
 
 def one_value(df: DataFrame, item: Column) -> Column:
