@@ -106,22 +106,31 @@ def best_paths(messages: DataFrame, per_tree: int = 1) -> DataFrame:
     parents = linked.filter("known").select("t", F.col("parent").alias("id")).distinct()
     leaves = ways.filter("up is null").join(parents, ["t", "id"], "left_anti")
     best = Window.partitionBy("t").orderBy(F.desc("path"), "id")
-    chosen = (
-        leaves.withColumn("path_rank", F.row_number().over(best))
-        .filter(F.col("path_rank") <= per_tree)
-        .select("t", "id", "path_rank")
-    )
-    for link in reversed(links):  # from the longest links to the shortest: every set covers twice as many ancestors
-        up = chosen.join(link.filter("up is not null"), ["t", "id"]).select("t", F.col("up").alias("id"), "path_rank")
-        chosen = stored(chosen.unionByName(up).distinct(), "chosen")
+    chosen = leaves.select(
+        "t", "id", F.row_number().over(best).alias("path_rank"), F.count("*").over(Window.partitionBy("t")).alias("leaves")
+    ).filter(F.col("path_rank") <= per_tree)
     depths = ways.filter("up is null").select("t", "id", (F.col("steps") - 1).alias("depth"))
+    # a tree with one leaf is one path: all its messages that reach the root
+    chosen = stored(chosen, "chosen")
+    whole = depths.join(chosen.filter("leaves = 1").select("t", "path_rank"), "t").select("t", "id", "path_rank")
+    branched = chosen.filter("leaves > 1").select("t", "id", "path_rank")
+    if branched.limit(1).count():
+        whole = whole.unionByName(_ancestors(branched, links))
     return (
-        chosen.join(depths, ["t", "id"])
+        whole.join(depths, ["t", "id"])
         .join(nodes.select("t", "id", "role", "text"), ["t", "id"])
         .select("t.tree", "path_rank", "depth", "role", "text")
     )
 
 
+def _ancestors(chosen: DataFrame, links: list[DataFrame]) -> DataFrame:
+    """``chosen`` (t, id, path_rank) with all ancestors, handed down the doubled links."""
+    for link in reversed(links):  # from the longest links to the shortest: every set covers twice as many ancestors
+        up = chosen.join(link.filter("up is not null"), ["t", "id"]).select("t", F.col("up").alias("id"), "path_rank")
+        chosen = stored(chosen.unionByName(up).distinct(), "chosen")
+    return chosen
+
+
 def write_conversations(paths: DataFrame, trained_role: str = "assistant") -> DataFrame:
     """One row per path: tree, path_rank, formatted, loss_spans (start, stop in code points of formatted)."""
     turn = F.struct(
