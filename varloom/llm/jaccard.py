@@ -8,11 +8,13 @@ similarity is at least 0.8.  The join is exact and returns components, never the
    steers the order; any bitmap gives the same links).  A set's prefix in that order, a fifth of it, must meet the prefix of every partner.
 3. Prefixes become index lists.  A list is skipped unless it has two sets and at least one of them within the positions that the
    smaller set of a linked pair can have (a ninth of the set).
-4. Each set is verified against one leader, the first set of most of its lists.  These answers are reused: sets linked to
-   one leader are in one component without being compared, and for all others the distance to a common leader bounds the distance
-   of two sets (triangle inequality).
-5. Only lists that still hold several components are joined again, the sets outside the largest component against the list,
-   under the size, position and triangle bounds; what remains is verified exactly.
+4. Each set is verified against one leader, the most central set of most of its lists: the one whose position says that it has
+   the fewest rare shingles of its own.  Sets linked to one leader are in one component without being compared.  In ``ROUNDS`` more
+   rounds the sets outside the largest component of their lists meet the most central set of that component.
+5. Only lists that still hold several components are joined, the sets outside the largest component against the list, under
+   the size and position bounds and a bound from parity bitmaps of the whole sets; earlier answers are reused here: if two
+   sets were verified against one leader, the distances to it bound theirs (triangle inequality).  What no bound rules
+   out is verified exactly.
 
 Long lists are salted when leaders are chosen, and joins split skewed keys.  Sets are made from the text where they are needed and
 only for documents in a candidate pair (another fixed-size bitmap, exact join after it).
@@ -33,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from varloom.llm.common import components, keyed
+from varloom.llm.common import components, keyed, slices
 from varloom.operators.materialize import stored
 
 SHINGLE = 5
@@ -44,11 +46,14 @@ COUNTED, SMALL = 0.24, 64
 #: Bits of the order and id bitmaps: 1 MB each.
 BITS = 1 << 23
 SALTS = 16
+#: Words of 64 bits of a set's parity bitmap.
+PARITY = 4
+#: Rounds in which sets outside a list's largest component meet its most central set, before pairs are formed.
+ROUNDS = 2
 
 _LOW = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-_CACHE = 400_000
+_SIGN = np.uint64(1 << 63)
 _MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F)]
-_words: dict[bytes, int] = {}
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -62,13 +67,7 @@ def shingle_set(text: bytes) -> np.ndarray:
     words = text.translate(_LOW).split()
     if not words:
         return np.empty(0, dtype=np.int64)
-    missing = set(words).difference(_words)
-    if len(_words) + len(missing) > _CACHE:
-        _words.clear()
-        missing = set(words)
-    for word in missing:
-        _words[word] = xxhash.xxh3_64_intdigest(word)
-    h = np.array([_words[w] for w in words], dtype=np.uint64)
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
     width = min(SHINGLE, len(h))
     total = np.full(len(h) - width + 1, width, dtype=np.uint64)
     for j in range(width):
@@ -97,7 +96,7 @@ def _has(bitmap: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 def _frequencies(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     limit = int(-(2**63) + COUNTED * 2**64)
-    for batch in batches:
+    for batch in slices(batches, 2_000):
         parts = []
         for text in batch.column("_bytes").to_pylist():
             found = shingle_set(text)
@@ -114,34 +113,42 @@ def _texts(base: DataFrame) -> DataFrame:
 
 
 def _sets(base: DataFrame) -> DataFrame:
-    """(_id, n, s1, s2, prefix, cold): size, two digests of the whole set, prefix in the global order, its rare part."""
+    """(_id, n, s1, s2, prefix, cold, parity): size, two digests and parity bitmap of the whole set, prefix in the global
+    order and the length of its rare part."""
     counted = _texts(base).mapInArrow(_frequencies, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     frequent = counted.filter(F.col("n") >= FREQUENT).select(F.pmod("token", F.lit(BITS)).alias("at"))
     order = base.sparkSession.sparkContext.broadcast(_bitmap(frequent, "at"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[list] = [[], [], [], [], []]
+        for batch in slices(batches):
+            out: list[list] = [[], [], [], [], [], []]
             for text in batch.column("_bytes").to_pylist():
                 found = shingle_set(text)
                 n = len(found)
                 size = n - (4 * n + 4) // 5 + 1 if n else 0
                 hot = _has(order.value, found & (BITS - 1))
-                rare = found[~hot][:size]
                 digests = found.view(np.uint64)
+                # a shingle's place in the global order, 62 bits of its digest under the frequent bit
+                keys = (((digests ^ _SIGN) >> np.uint64(2)) | (hot.astype(np.uint64) << np.uint64(62))).view(np.int64)
+                rare = keys[~hot][:size]
                 out[0].append(n)
                 out[1].append(int(_mixed(digests + _MIX[3]).sum().view(np.int64)) if n else 0)
                 out[2].append(int(_mixed(digests ^ _MIX[4]).sum().view(np.int64)) if n else 0)
-                out[3].append(np.concatenate((rare, found[hot][: size - len(rare)])))
+                out[3].append(np.concatenate((rare, keys[hot][: size - len(rare)])))
                 out[4].append(len(rare))
-            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32())
+                odd = np.bincount((_mixed(digests) & np.uint64(64 * PARITY - 1)).astype(np.int64), minlength=64 * PARITY) & 1
+                out[5].append(np.packbits(odd.astype(np.uint8)).view(np.int64))
+            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_id"), *(pa.array(c, k) for c, k in zip(out, kinds))],
-                ["_id", "n", "s1", "s2", "prefix", "cold"],
+                ["_id", "n", "s1", "s2", "prefix", "cold", "parity"],
             )
 
     return stored(
-        _texts(base).mapInArrow(run, "_id long, n int, s1 long, s2 long, prefix array<long>, cold int"), "sets"
+        _texts(base).mapInArrow(
+            run, "_id long, n int, s1 long, s2 long, prefix array<long>, cold int, parity array<long>"
+        ),
+        "sets",
     )
 
 
@@ -153,9 +160,7 @@ def _whole_sets(base: DataFrame, ids: DataFrame) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = np.flatnonzero(_has(wanted.value, batch.column("_at").to_numpy()))
-            picked = batch.take(pa.array(rows))
-            for start in range(0, len(rows), 500):
-                part = picked.slice(start, 500)
+            for part in slices([batch.take(pa.array(rows))]):
                 tokens = [shingle_set(t) for t in part.column("_bytes").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("_id"), pa.array(tokens, pa.list_(pa.int64()))], ["_id", "tokens"]
@@ -184,6 +189,47 @@ def _sizes_fit(a: str, b: str):
     return (F.col(a) * 5 >= F.col(b) * 4) & (F.col(b) * 5 >= F.col(a) * 4)
 
 
+def _central():
+    """Orders the sets of a list by how early its shingle comes: the set with the fewest rare shingles of its own is first."""
+    return F.struct((F.col("pos") / F.col("n")).alias("place"), "rep", "n")
+
+
+def _edges(roots: DataFrame) -> DataFrame:
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+
+
+def _asked(base: DataFrame, asks: DataFrame, answers: DataFrame | None) -> DataFrame:
+    """(a, b, j, same, total): each set b verified against the leader a that most of its ``asks`` name and ``answers`` lack."""
+    named = (
+        asks.filter((F.col("rep") != F.col("lead")) & _sizes_fit("n", "lead_n"))
+        .groupBy("rep", "lead")
+        .agg(F.count("*").alias("k"))
+    )
+    if answers is not None:
+        named = named.join(answers.select(F.col("b").alias("rep"), F.col("a").alias("lead")), ["rep", "lead"], "left_anti")
+    most = named.groupBy("rep").agg(F.max(F.struct("k", (-F.col("lead")).alias("minus"))).alias("m"))
+    pairs = stored(most.select((-F.col("m.minus")).alias("a"), F.col("rep").alias("b")), "pairs")
+    likeness = F.col("same") / (F.col("total") - F.col("same"))
+    found = _verified(base, pairs).groupBy("a", "b").agg(F.max(F.struct(likeness.alias("j"), "same", "total")).alias("m"))
+    return stored(found.select("a", "b", "m.*"), "answers")
+
+
+def _open_lists(lists: DataFrame, roots: DataFrame) -> DataFrame:
+    """(token, rep, n, pos, root, main) of the lists with several components; main is the largest."""
+    members = lists.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").withColumn(
+        "root", F.coalesce("root", "rep")
+    )
+    several = (
+        members.groupBy("token", "root")
+        .agg(F.count("*").alias("k"))
+        .groupBy("token")
+        .agg(F.count("*").alias("roots"), F.max(F.struct("k", "root")).alias("m"))
+        .filter("roots > 1")
+        .select("token", F.col("m.root").alias("main"))
+    )
+    return stored(members.join(several, "token"), "open")
+
+
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: _id, n_shingles, component (smallest id reachable by links)."""
     base = keyed(docs, id_col, text_col)
@@ -191,7 +237,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     key = ["n", "s1", "s2"]
     some = sets.filter("n > 0")
     classes = some.groupBy(*key).agg(F.min("_id").alias("rep"))
-    firsts = some.join(classes, key).filter("_id = rep")
+    firsts = some.join(classes.withColumnRenamed("rep", "_id"), [*key, "_id"], "left_semi").withColumnRenamed("_id", "rep")
     postings = firsts.select("rep", "n", "cold", F.posexplode("prefix").alias("pos", "token")).select(
         "token",
         "rep",
@@ -204,81 +250,68 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     lists = (
         postings.withColumn("size", F.count("*").over(group))
         .withColumn("usable", F.max(indexed).over(group))
-        .withColumn("lead", F.min(F.struct("rep", "n")).over(group))
+        .withColumn("lead", F.min(_central()).over(group))
         .filter((F.col("salt") >= 0) | ((F.col("size") > 1) & F.col("usable")))
         .select("token", "salt", "rep", "n", "pos", F.col("lead.rep").alias("lead"), F.col("lead.n").alias("lead_n"))
     )
     lists = stored(lists, "lists")
 
-    # leaders: the first of each list (or of each salted part), and the first of all parts of a salted list
-    heads = lists.filter("salt >= 0").groupBy("token", "salt").agg(F.min(F.struct("rep", "n")).alias("m"))
-    over = Window.partitionBy("token")
-    heads = heads.select("token", F.col("m.rep").alias("rep"), F.col("m.n").alias("n")).withColumn(
-        "first", F.min(F.struct("rep", "n")).over(over)
-    )
-    stars = lists.select("rep", "n", "lead", "lead_n").unionByName(
-        heads.select("rep", "n", F.col("first.rep").alias("lead"), F.col("first.n").alias("lead_n"))
-    )
-    most = (
-        stars.filter((F.col("rep") != F.col("lead")) & _sizes_fit("n", "lead_n"))
-        .groupBy("rep", "lead")
-        .agg(F.count("*").alias("k"))
-        .groupBy("rep")
-        .agg(F.max(F.struct("k", (-F.col("lead")).alias("minus"))).alias("m"))
-    )
-    pairs = stored(most.select((-F.col("m.minus")).alias("a"), F.col("rep").alias("b")), "pairs")
-    likeness = F.col("same") / (F.col("total") - F.col("same"))
-    answers = stored(
-        _verified(base, pairs)
-        .groupBy("a", "b")
-        .agg(F.max(F.struct(likeness.alias("j"), "same", "total")).alias("m"))
-        .select("a", "b", "m.*"),
-        "answers",
+    # round 1: every set against the most central set of most of its lists
+    heads = lists.filter("salt >= 0").groupBy("token", "salt").agg(F.min(_central()).alias("m"))
+    first = F.min(F.struct("m.place", "m.rep", "m.n")).over(Window.partitionBy("token"))
+    heads = heads.withColumn("first", first).select(
+        F.col("m.rep").alias("rep"), F.col("m.n").alias("n"), F.col("first.rep").alias("lead"), F.col("first.n").alias("lead_n")
     )
-    links = answers.filter(_linked()).select("a", "b")
+    answers = _asked(base, lists.select("rep", "n", "lead", "lead_n").unionByName(heads), None)
     again = classes.join(some.select(*key, "_id"), key).select("rep", "_id").distinct()
     repeated = again.groupBy("_id").agg(F.count("*").alias("k"), F.min("rep").alias("one")).filter("k > 1")
     same_id = again.join(repeated, "_id").filter("rep <> one").select(F.col("one").alias("a"), F.col("rep").alias("b"))
-    first_roots = components(links.unionByName(same_id))
-
-    # lists that still hold several components
-    known = answers.select(F.col("b").alias("rep"), F.col("a").alias("leader"), (1 - F.col("j")).alias("far"))
-    members = (
-        lists.select("token", "rep", "n", "pos")
-        .join(first_roots.select(F.col("node").alias("rep"), "root"), "rep", "left")
-        .withColumn("root", F.coalesce("root", "rep"))
-        .join(known, "rep", "left")
-        # a leader is at distance 0 from itself
-        .withColumn("leader", F.coalesce("leader", "rep"))
-        .withColumn("far", F.coalesce("far", F.lit(0.0)))
+    roots = components(answers.filter(_linked()).select("a", "b").unionByName(same_id))
+    left = _open_lists(lists.select("token", "rep", "n", "pos"), roots)
+
+    # further rounds: sets outside a list's largest component against the most central set of that component
+    for _ in range(ROUNDS):
+        if not left.limit(1).count():
+            break
+        centre = left.filter("root = main").groupBy("token").agg(F.min(_central()).alias("m"))
+        asks = left.filter("root <> main").join(
+            centre.select("token", F.col("m.rep").alias("lead"), F.col("m.n").alias("lead_n")), "token"
+        )
+        more = _asked(base, asks.select("rep", "n", "lead", "lead_n"), answers)
+        answers = answers.unionByName(more)
+        roots = components(more.filter(_linked()).select("a", "b").unionByName(_edges(roots)))
+        left = _open_lists(left.select("token", "rep", "n", "pos"), roots)
+
+    # what is left of the lists: all pairs across components that no bound rules out
+    known = answers.groupBy(F.col("b").alias("rep")).agg(
+        F.map_from_entries(F.collect_list(F.struct("a", 1 - F.col("j")))).alias("far")
     )
-    open_lists = (
-        members.groupBy("token", "root")
-        .agg(F.count("*").alias("k"))
-        .groupBy("token")
-        .agg(F.count("*").alias("roots"), F.max(F.struct("k", "root")).alias("m"))
-        .filter("roots > 1")
-        .select("token", F.col("m.root").alias("main"))
+    left = stored(
+        left.join(known, "rep", "left").withColumn(
+            "far", F.map_concat(F.coalesce("far", F.expr("map()").cast("map<bigint,double>")), F.create_map("rep", F.lit(0.0)))
+        ),
+        "open",
     )
-    left = members.join(open_lists, "token")
-    left = stored(left, "open")
-    x, y = left.filter("root <> main").alias("x"), left.alias("y")
-    reach = F.expr("least(x.n - x.pos, y.n - y.pos) * 9 >= (x.n + y.n) * 4")
-    near = F.expr("x.leader <> y.leader or abs(x.far - y.far) <= 0.2 + 1e-9")
-    once = F.expr("y.root = y.main or x.rep < y.rep")
+    left = stored(left.join(firsts.select("rep", "parity"), "rep"), "open")
+    fits = [
+        "x.token = y.token and x.root <> y.root and (y.root = y.main or x.rep < y.rep)",
+        "x.n * 5 >= y.n * 4 and y.n * 5 >= x.n * 4",
+        "least(x.n - x.pos, y.n - y.pos) * 9 >= (x.n + y.n) * 4",
+        # triangle inequality over every set both were verified against
+        "not exists(map_keys(x.far), k -> abs(x.far[k] - coalesce(y.far[k], x.far[k])) > 0.2 + 1e-9)",
+        # every shingle in one set only flips one parity bit, so as many bits differ as shingles at most
+        " + ".join(f"bit_count(x.parity[{i}] ^ y.parity[{i}])" for i in range(PARITY))
+        + " <= x.n + y.n - 2 * ((4 * (x.n + y.n) + 8) div 9)",
+    ]
     rest = (
-        x.join(
-            y,
-            F.expr("x.token = y.token and x.root <> y.root") & F.expr("x.n * 5 >= y.n * 4 and y.n * 5 >= x.n * 4") & reach & near & once,
-        )
+        left.filter("root <> main").alias("x")
+        .join(left.alias("y"), F.expr(" and ".join(f"({f})" for f in fits)))
         .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
         .distinct()
     )
     rest = stored(rest, "rest")
-    roots = first_roots
     if rest.limit(1).count():
-        more = _verified(base, rest).filter(_linked()).select("a", "b")
-        roots = components(more.unionByName(first_roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+        roots = components(_verified(base, rest).filter(_linked()).select("a", "b").unionByName(_edges(roots)))
     whole = (
         sets.select("_id", *key)
         .join(classes, key, "left")
