@@ -66,3 +66,60 @@ def test_spans_are_cut_and_covered_documents_go(spark, documents, prose):
     left = {r.doc_id: r.text for r in d.without_spans(docs, d.contamination(docs, bench)).collect()}
     assert left == {1: "Before it, ; after it " + " ".join(prose(2, 60)), 3: "clean", 4: None}
     assert d.without_spans(docs, d.contamination(docs, bench)).columns == docs.columns
+
+
+def brute_cleaned(text, windows, limit=0.5):
+    while True:
+        found = list(WORD.finditer("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")))
+        ws, hit = [m.group() for m in found], set()
+        for win in windows:
+            for i in range(len(ws) - len(win) + 1):
+                if tuple(ws[i : i + len(win)]) == win:
+                    hit.update(range(i, i + len(win)))
+        if not hit:
+            return True, text
+        if len(hit) / len(ws) > limit:
+            return False, None
+        for i in sorted(hit, reverse=True):
+            # up to the next word where that is hit too
+            stop = found[i + 1].start() if i + 1 in hit else found[i].end()
+            text = text[: found[i].start()] + text[stop:]
+
+
+def test_cleaned_against_brute_force(spark, documents, prose):
+    for seed, block in ((3, d.BLOCK_WORDS), (4, 30)):
+        rng = random.Random(seed)
+        items = [(f"i{k}", " ".join(prose(100 * seed + k, n, 3000))) for k, n in enumerate([25, 12, 10, 40, 3, 1])] + [("null", None)]
+        long = items[0][1].split()
+        # the same words again in another block, and an item inside another one: what is left around it is an item
+        items += [("part", " ".join(long[:14])), ("inner", "in the middle")]
+        docs = [(0, None), (1, ""), (2, items[3][1]), (None, "no item here")]
+        docs += [(3, " ".join(prose(9, 40, 3000) + long[:6] + ["in", "the", "middle"] + long[6:20] + prose(8, 30, 3000)))]
+        for k in range(10, 40):
+            ws = prose(k + 1000 * seed, rng.randrange(5, 80), 3000)
+            for _ in range(rng.randrange(3)):
+                at = rng.randrange(len(ws))
+                ws[at:at] = rng.choice(items[:6])[1].upper().split()
+            docs.append((k, "".join(w + rng.choice([" ", ", é; ", "\n"]) for w in ws)))
+        windows = set()
+        for _, text in items:
+            ws = words(text)
+            n = min(d.WIDTH, len(ws))
+            windows |= {tuple(ws[i : i + n]) for i in range(len(ws) - n + 1)} if ws else set()
+        want = [(i, b, None if b is None else len(b)) for i, t in docs for kept, b in [brute_cleaned(t, windows)] if kept]
+        assert 3 in {w[0] for w in want} and 2 not in {w[0] for w in want} and sum(len(w[1] or "") for w in want) < sum(len(t or "") for _, t in docs)
+        frame = documents(docs)
+        got = d.cleaned(frame, spark.createDataFrame(items, "item_id string, text string"), block_words=block)
+        assert got.columns == frame.columns
+        assert sorted(((r.doc_id, r.text, r.n_chars) for r in got.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_pipeline_stage_keeps_documents_with_a_short_hit(spark, documents, prose, tmp_path):
+    import corpus_pipeline
+
+    item = " ".join(prose(1, 20))
+    spark.createDataFrame([("t", item), ("u", "word")], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rest = " ".join(prose(2, 300))
+    docs = documents([(1, f"{item} {rest}"), (2, item), (3, f"word {rest}"), (4, None)])
+    left = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.without_benchmark(spark, docs, str(tmp_path)).collect()}
+    assert left == {1: (f" {rest}", len(rest) + 1), 3: (f" {rest}", len(rest) + 1), 4: (None, None)}

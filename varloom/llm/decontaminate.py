@@ -24,7 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varloom.llm.common import keyed, packed, slices
+from varloom.llm.common import kept_rows, keyed, packed, slices
+from varloom.operators.materialize import stored
 
 WIDTH = 10
 #: Words of one automaton: some 25 MB in a task, 2 MB as broadcast.
@@ -247,13 +248,24 @@ def contamination(
     return found.select("_id", "_mark", "n_words", covered.alias("n_hit"), "spans", "items")
 
 
+def _merged(spans) -> list[tuple[int, int]]:
+    """Sorted spans, which may overlap where they come from several blocks, as stretches apart from one another."""
+    out: list[tuple[int, int]] = []
+    for span in spans:
+        if out and span["start"] <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], span["stop"]))
+        else:
+            out.append((span["start"], span["stop"]))
+    return out
+
+
 def without_spans(
     docs: DataFrame, marked: DataFrame, max_coverage: float = 0.5, min_words: int = 1
 ) -> DataFrame:
     """Rows of ``docs`` (columns doc_id, text and any others) after removal, all columns kept.
 
     A document whose hit words make up more than ``max_coverage`` of its words goes as a whole.  In the others every span
-    of at least ``min_words`` words is cut out of the text, from its first to its last word.
+    of at least ``min_words`` words is cut out of the text, from its first to its last word.  A column n_chars follows the text.
     """
     names = docs.columns
     hit = (
@@ -268,7 +280,7 @@ def without_spans(
 
         out = []
         for text, parts in zip(texts, spans):
-            parts = [] if parts is None else [(p["start"], p["stop"]) for p in parts if p["stop"] - p["start"] >= min_words]
+            parts = [] if parts is None else [x for x in _merged(parts) if x[1] - x[0] >= min_words]
             if text is None or not len(parts):
                 out.append(text)
                 continue
@@ -287,6 +299,24 @@ def without_spans(
 
     joined = packed(docs).join(hit, ["_id", "_mark"], "left").filter(F.coalesce("share", F.lit(0.0)) <= max_coverage)
     row = F.col("_row")
-    return joined.select(
-        *[(cut(row["text"], F.col("spans")) if n == "text" else row.getField(n)).alias(n) for n in names]
-    )
+    texts = joined.select("_row", cut(row["text"], F.col("spans")).alias("_new"))
+    new = {"text": F.col("_new")}
+    if "n_chars" in names:
+        same = F.col("_new").eqNullSafe(row["text"])
+        new["n_chars"] = F.when(same, row["n_chars"]).otherwise(F.char_length("_new").cast(docs.schema["n_chars"].dataType))
+    return texts.select(*[new.get(n, row.getField(n)).alias(n) for n in names])
+
+
+def cleaned(docs: DataFrame, benchmark: DataFrame, max_coverage: float = 0.5, **how) -> DataFrame:
+    """``without_spans`` until no window is left: where a span is cut out, the words around it may make up another window.
+
+    Only rows that were cut are scanned again, and each round takes words from every one of them; ``how`` goes to ``contamination``.
+    """
+    done = []
+    while True:
+        marked = stored(contamination(docs, benchmark, **how), "marked")
+        hit = marked.filter("n_hit > 0")
+        done.append(kept_rows(docs, marked.filter("n_hit = 0")))
+        if not hit.limit(1).count():
+            return reduce(DataFrame.unionByName, done)
+        docs = stored(without_spans(kept_rows(docs, hit), hit, max_coverage), "cut")
