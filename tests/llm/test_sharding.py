@@ -39,3 +39,15 @@ def test_all_linked_few_rows_and_none(spark, documents):
     check(rows, documents(rows))
     check([(1, "a"), (2, "a"), (3, "b")], documents([(1, "a"), (2, "a"), (3, "b")]))
     assert sharding.shard(documents([])).count() == 0
+
+
+def test_full_shards_of_linked_rows_cut_no_group_that_fits(spark, documents):
+    for rows in (
+        [(i, f"pair {i // 2}") for i in range(800)],
+        [(i, f"pair {i // 2}") for i in range(760)] + [(1000 + i, f"own {i}") for i in range(40)],
+        [(i, f"twenty {i // 20}") for i in range(760)] + [(1000 + i, f"own {i}") for i in range(40)],
+    ):
+        assert set(check(rows, documents(rows)).values()) == {1}
+    # 134 groups of 3 in shards of 50: 128 fit whole
+    rows = [(i, f"three {i // 3}") for i in range(400)]
+    assert sum(n > 1 for n in check(rows, documents(rows)).values()) <= 5

@@ -1,7 +1,8 @@
 """Sharding by balanced label propagation.
 
-Rows with equal texts are linked (through one hub per text, never as pairs).  Labels start from a hash of the row.  In each
-round a hub tallies the shards of its members, its best shard calls the others, and moves into a shard are taken in the
+Rows with equal texts are linked (through one hub per text, never as pairs).  Labels start from a plan over the histogram of
+group sizes, largest first: as many groups of a size as fit go whole into the shards with most room, and what fits nowhere
+whole fills shard after shard.  So full shards are no obstacle, however many rows are linked.  In each following round a hub tallies the shards of its members, its best shard calls the others, and moves into a shard are taken in the
 order of their gain as far as the shard's quota of rows goes; the cut is found on a histogram of bounded size (shards x gains x
 cells), so no window ever orders the movers of a shard.  A group larger than a quota fills shard after shard.  Rows without
 links have no edges to cut: they fill every shard up to its exact quota, so counts differ by one at most.
@@ -36,10 +37,71 @@ def _loads(labels: DataFrame, shards: int) -> list[int]:
     return [found.get(s, 0) for s in range(shards)]
 
 
-def propagate(linked: DataFrame, quotas: list[int], rounds: int) -> DataFrame:
-    """Labels (row, h1, h2, shard) after up to ``rounds`` rounds; ``linked``: row, h1, h2."""
+def _plan(sizes: list[tuple[int, int]], quotas: list[int]) -> list[tuple[int, list, list]]:
+    """Per size n of ``sizes`` (n, groups): (upto, shard) of whole groups by rank, and of the rows of the groups left, by place."""
+    room, out = list(quotas), []
+    for n, groups in sorted(sizes, reverse=True):
+        whole = min(groups, sum(r // n for r in room))
+        # the highest level down to which the shards are filled for all of them
+        low, high = 0, max(room)
+        while low < high:
+            level = (low + high + 1) // 2
+            low, high = (level, high) if sum(max(0, r - level) // n for r in room) >= whole else (low, level - 1)
+        taken = [max(0, r - low) // n for r in room]
+        over = sum(taken) - whole
+        for s in range(len(room)):
+            if over and taken[s]:
+                taken[s] -= 1
+                over -= 1
+        upto, places = 0, []
+        for s, k in enumerate(taken):
+            if k:
+                upto += k
+                places.append((upto, s))
+                room[s] -= k * n
+        left, upto, parts = (groups - whole) * n, 0, []
+        for s in sorted(range(len(room)), key=lambda s: -room[s]):
+            k = min(left, room[s])
+            if k:
+                left, upto = left - k, upto + k
+                parts.append((upto, s))
+                room[s] -= k
+        out.append((n, places, parts))
+    return out
+
+
+def _into(upto: str, at: Column) -> Column:
+    """The shard of the first stretch of ``upto`` that ends beyond ``at``."""
+    return F.get(F.filter(upto, lambda x: x["upto"] > at), F.lit(0))["shard"]
+
+
+def planned(linked: DataFrame, groups: DataFrame, quotas: list[int]) -> DataFrame:
+    """Labels (row, h1, h2, shard) to start from; ``linked``: row, h1, h2, ``groups``: h1, h2, n."""
+    spark = linked.sparkSession
+    # distinct sizes of groups: at most the root of twice the number of rows
+    sizes = [(r["n"], r["k"]) for r in groups.groupBy("n").agg(F.count("*").alias("k")).collect()]
+    stretch = "array<struct<upto:bigint,shard:int>>"
+    plan = spark.createDataFrame(_plan(sizes, quotas), f"n bigint, whole {stretch}, parts {stretch}")
+    ranked = gapless(groups, ["n"], ["h1", "h2"], "rank").join(plan, "n")
+    placed = stored(
+        ranked.select(
+            "h1", "h2", "n", _into("whole", F.col("rank")).alias("shard"), "parts",
+            (F.col("rank") - F.coalesce(F.get("whole", F.size("whole") - 1)["upto"], F.lit(0))).alias("nth"),
+        ),
+        "placed",
+    )
+    labels = linked.join(placed.filter("shard is not null").select("h1", "h2", "shard"), ["h1", "h2"]).select("row", "h1", "h2", "shard")
+    rest = stored(linked.join(placed.filter("shard is null").select("h1", "h2", "n", "nth", "parts"), ["h1", "h2"]), "rest")
+    split = gapless(rest, ["h1", "h2"], ["row"], "at").select(
+        "row", "h1", "h2", _into("parts", F.col("nth") * F.col("n") + F.col("at")).alias("shard")
+    )
+    return labels.unionByName(split)
+
+
+def propagate(start: DataFrame, quotas: list[int], rounds: int) -> DataFrame:
+    """Labels (row, h1, h2, shard) after up to ``rounds`` rounds from the labels of ``start``."""
     shards = len(quotas)
-    labels = stored(linked.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int")), "labels")
+    labels = stored(start, "labels")
     for _ in range(rounds):
         free = [max(0, q - n) for q, n in zip(quotas, _loads(labels, shards))]
         tally = labels.groupBy("h1", "h2", "shard").agg(F.count("*").alias("n"))
@@ -88,8 +150,9 @@ def shard(docs: DataFrame, shards: int = 8, rounds: int = 6) -> DataFrame:
     )
     total = rows.count()
     quotas = _quotas(total, shards)
-    groups = rows.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1").select("h1", "h2")
-    labels = propagate(rows.select("row", "h1", "h2").join(groups, ["h1", "h2"], "left_semi"), quotas, rounds)
+    groups = stored(rows.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1"), "groups")
+    linked = rows.select("row", "h1", "h2").join(groups.select("h1", "h2"), ["h1", "h2"], "left_semi")
+    labels = propagate(planned(linked, groups, quotas), quotas, rounds)
     joined = stored(
         rows.drop("h1", "h2")
         .join(labels.select("row", "shard"), "row", "left")
