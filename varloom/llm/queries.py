@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varloom.llm import chat, decontaminate, jaccard, language_id, line_dedup, neighbours, packing, quality, secrets, sharding
+from varloom.llm import chat, decontaminate, jaccard, language_id, line_dedup, neighbours, packing, quality, secrets, sharding, target_sampling, whitening
 from varloom.llm.common import shown_id, table
 
 QUERIES: dict = {}
@@ -249,3 +249,50 @@ from documents d left join sizes using (doc_id) left join (select doc_id, min(ot
 @_query
 def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op13_target_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = target_sampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+_BUCKETED = f"""
+  select w, xor(list_reduce([4294967295::bigint] || list_transform(range(0, octet_length(encode(w))), lambda i: ('0x' || substr(hex(encode(w)), 2 * i + 1, 2))::bigint),
+    lambda c, b: list_reduce([xor(c, b)] || range(0, 8), lambda d, step: case when d & 1 = 1 then xor(d >> 1, 3988292384) else d >> 1 end)), 4294967295) % {target_sampling.BUCKETS} as bucket
+  from (select distinct w from features)"""
+ORACLE["op13_target_sampling"] = f"""
+with words as materialized (
+  select doc_id, {_WORDS} as ws from documents
+), features as materialized (
+  select doc_id, false as target, unnest(ws) as w from words
+  union all select null, true, unnest({_WORDS}) from benchmark
+), bucketed as materialized ({_BUCKETED}
+), placed as materialized (
+  select doc_id, target, bucket from features join bucketed using (w)
+), sizes as (
+  select cast(count(*) filter (where not target) as double) as s_all, cast(count(*) filter (where target) as double) as t_all from placed
+), gains as (
+  select bucket, cast(floor(1000 * ln((count(*) filter (where target) + 1.0::double) * (any_value(s_all) + {target_sampling.BUCKETS})
+    / ((count(*) filter (where not target) + 1.0::double) * (any_value(t_all) + {target_sampling.BUCKETS})))) as bigint) as gain
+  from placed, sizes group by bucket
+), weighed as (
+  select doc_id, count(*) as n_features, cast(floor(sum(gain) / count(*)) as bigint) as weight
+  from placed join gains using (bucket) where not target group by doc_id
+), scored as (
+  select doc_id, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight,
+    coalesce(weight, 0) + cast(floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::bigint + 0.5::double) / 4294967296))) as bigint) as score
+  from documents left join weighed using (doc_id)
+), placed_rows as (
+  select *, row_number() over (partition by n_features >= 20 order by score desc, doc_id) as r,
+    count(*) filter (where n_features >= 20) over () as n from scored
+)
+select doc_id, n_features, weight, score, case when n_features >= 20 and r <= n * 10 // 100 then r end as rank from placed_rows
+"""
+
+
+@_query
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.components(table(spark, sf_dir, "embeddings"))
+    # the contract's type; exact decimals beyond it are null
+    return found.withColumn("deviation", F.expr("try_cast(deviation as long)"))
