@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varloom.llm import chat, decontaminate, jaccard, language_id, line_dedup, neighbours, packing, quality, secrets, sharding, target_sampling, whitening
+from varloom.llm import (
+    chat,
+    decontaminate,
+    jaccard,
+    language_id,
+    line_dedup,
+    neighbours,
+    packing,
+    pii,
+    quality,
+    secrets,
+    sharding,
+    target_sampling,
+    whitening,
+)
 from varloom.llm.common import shown_id, table
 
 QUERIES: dict = {}
@@ -296,3 +310,21 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = whitening.components(table(spark, sf_dir, "embeddings"))
     # the contract's type; exact decimals beyond it are null
     return found.withColumn("deviation", F.expr("try_cast(deviation as long)"))
+
+
+@_query
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.fit(pii.labelled_windows(docs))).select("doc_id", F.coalesce("pii", F.array()).alias("pii"))
+    base = F.filter("pii", lambda s: s["origin"] == "pattern")
+
+    def shown(spans):
+        places = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+        return F.array_join(places, ",")
+
+    def counted(kind):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *[counted(kind) for kind in pii.KINDS], F.sha2(shown(base), 256).alias("base_sha256"), shown(F.col("pii")).alias("spans")
+    )
