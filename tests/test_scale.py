@@ -52,13 +52,29 @@ def test_lists_are_complete_at_any_size(spark):
     assert got == {"hot": (5000, list(range(5000))), "cold": (3, [5000, 5001, 5002])}
 
 
-def test_sharded_join(spark, monkeypatch):
-    left = spark.createDataFrame([(f"s{i}", "m") for i in range(50)], "s string, model string")
-    right = spark.createDataFrame([("m", f"v{i}") for i in range(40)], "model string, v string")
-    for most in (7, 10_000):
+def test_balanced_join_equals_the_plain_join(spark, monkeypatch):
+    rnd = random.Random(3)
+    left = spark.createDataFrame([(f"s{i}", "m" if i < 50 else f"m{i % 7}") for i in range(120)] + [("s", None)] * 3, "s string, model string")
+    right = spark.createDataFrame([("m" if i < 40 else f"m{rnd.randrange(9)}", f"v{i}") for i in range(90)] + [(None, "v")], "model string, v string")
+    for most in (1, 7, 10_000):
         monkeypatch.setattr(scale, "PART_ROWS", most)
-        got = scale.sharded_join(left, right, "model", "v", 8)
-        assert rows(got, "s", "v") == rows(left.join(right, "model"), "s", "v")
+        assert rows(scale.balanced_join(left, right, ["model"]), "s", "v") == rows(left.join(right, "model"), "s", "v")
+    none = scale.balanced_join(left.limit(0), right, ["model"])
+    assert none.count() == 0 and none.columns == ["model", "s", "v"]
+
+
+def test_copies_of_a_model_follow_its_own_requests(spark):
+    """1,000 models of 50 rows; one is asked for by 5,000 samples, the others by one each."""
+    left = spark.range(5000).selectExpr("id as s", "0 as model").union(spark.range(1, 1000).selectExpr("id as s", "cast(id as int) as model"))
+    right = spark.range(50_000).selectExpr("cast(id % 1000 as int) as model", "id as v")
+    a, b, keys = scale.balanced_sides(left, right, ["model"], 100, 20)
+    assert keys == ["model", "_left_part", "_right_part"]
+    # every model has 50 rows, so 3 parts; the hot one has 50 parts of requests
+    assert a.count() == 3 * 5999
+    assert b.count() == 50_000 + 49 * 50 and b.where("model <> 0").count() == 999 * 50
+    sizes = a.groupBy(*keys).count().join(b.groupBy(*keys).agg(F.count("*").alias("m")), keys)
+    assert sizes.agg(F.max("count")).first()[0] < 200 and sizes.agg(F.max("m")).first()[0] < 60
+    assert sizes.agg(F.sum(F.col("count") * F.col("m"))).first()[0] == 5999 * 50
 
 
 def test_one_hot_key_is_spread_over_tasks(spark, monkeypatch):
@@ -69,7 +85,7 @@ def test_one_hot_key_is_spread_over_tasks(spark, monkeypatch):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.shuffle.partitions", "16")
     try:
-        per_task = scale.sharded_join(left, right, "model", "v", 8).groupBy(F.spark_partition_id().alias("t")).count()
+        per_task = scale.balanced_join(left, right, ["model"]).groupBy(F.spark_partition_id().alias("t")).count()
         assert max(r["count"] for r in per_task.collect()) < 0.15 * 2000 * 400
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

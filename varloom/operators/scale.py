@@ -78,27 +78,46 @@ def listed(members: DataFrame, keys: list[str], item: Column, name: str) -> Data
     )
 
 
-#: Rows of the wide side that one part of a popular key should hold.
+#: Rows of one side that one part of a popular key should hold.
 PART_ROWS = 10_000
 
 
-def sharded_join(
-    wide: DataFrame, model: DataFrame, on: str, shard_key: str, shards: int
-) -> DataFrame:
-    """Equi-join on a key that few values share, spread evenly however popular a key is.
+def balanced_sides(
+    left: DataFrame, right: DataFrame, on: list[str], left_rows: int | None = None, right_rows: int | None = None
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides of an equi-join or cogroup on ``on``, cut so that no group is large, and the keys to bring them together on.
 
-    Each ``model`` row falls in one shard by hash of ``shard_key``, and each ``wide`` row in one part by its own
-    hash; a row is repeated once per shard, a model row once per part.  The number of parts follows the rows of ``wide``, so
-    one key that everybody asks for is spread over shards x parts tasks at any scale.
+    A key's rows on either side are dealt to as many parts as its own count asks for, by the hash of the row; each row goes once
+    to every part of the other side.  Keys of fewer than ``left_rows`` and ``right_rows`` rows stay one group and no row of
+    theirs is repeated, so a side is sent at most its own rows plus the rows (or pairs) of the other side over that bound.
+    Counts stay a table; only keys with several parts are in it.
     """
-    parts = max(1, -(-wide.count() // PART_ROWS))
-    left = wide.withColumn("_shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).withColumn(
-        "_piece", F.pmod(F.xxhash64(*wide.columns), F.lit(parts)).cast("int")
-    )
-    right = model.withColumn("_shard", F.pmod(F.xxhash64(shard_key), F.lit(shards)).cast("int")).withColumn(
-        "_piece", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+    left_rows, right_rows = left_rows or PART_ROWS, right_rows or PART_ROWS
+
+    def parts(side: DataFrame, rows: int, name: str) -> DataFrame:
+        counted = side.groupBy(*on).agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias(name))
+        return counted.where(F.col(name) > 1)
+
+    heavy = parts(left, left_rows, "_left_parts").join(parts(right, right_rows, "_right_parts"), on, "full")
+
+    def dealt(side: DataFrame, own: str, other: str, own_part: str, other_part: str) -> DataFrame:
+        known = side.join(heavy, on, "left")
+        one = F.lit(1)
+        at = F.pmod(F.xxhash64(*side.columns), F.coalesce(own, one)).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.coalesce(other, one) - 1))
+        return known.withColumn(own_part, at).withColumn(other_part, every).drop("_left_parts", "_right_parts")
+
+    return (
+        dealt(left, "_left_parts", "_right_parts", "_left_part", "_right_part"),
+        dealt(right, "_right_parts", "_left_parts", "_right_part", "_left_part"),
+        [*on, "_left_part", "_right_part"],
     )
-    return left.join(right, [on, "_shard", "_piece"]).drop("_shard", "_piece")
+
+
+def balanced_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on keys that may be popular on either side: see :func:`balanced_sides`."""
+    a, b, keys = balanced_sides(left, right, on)
+    return a.join(b, keys, how).drop("_left_part", "_right_part")
 
 
 def one_value(df: DataFrame, item: Column) -> Column:

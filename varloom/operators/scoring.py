@@ -1,17 +1,15 @@
-"""Polygenic scores: exact decimal sums over requested (sample, model) pairs."""
+"""Polygenic scores: exact fixed-point sums over requested (sample, model) pairs."""
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from varloom.functions.alleles import effect_dosage
-from varloom.operators.scale import in_ranges, sharded_join
-
-WEIGHT = "decimal(38,18)"
-SHARDS = 16
+from varloom.functions.fixed import EXACT as WEIGHT, exact_number, fraction, magnitude, settled, times, whole
+from varloom.operators.scale import balanced_join, in_ranges
 
 
 def parsed_weights(model_variants: DataFrame) -> DataFrame:
-    """Keep the original weight text and add its exact decimal (NULL when it does not fit)."""
-    return model_variants.withColumn("weight", F.col("effect_weight").try_cast(WEIGHT))
+    """Keep the original weight text and add its exact decimal (NULL when it is none or would lose digits)."""
+    return model_variants.withColumn("weight", exact_number(F.col("effect_weight")))
 
 
 def call_reason() -> Column:
@@ -29,19 +27,17 @@ def _dosage() -> Column:
     )
 
 
-def alignment(
-    calls: DataFrame, model_variants: DataFrame, requests: DataFrame, shards: int = SHARDS
-) -> DataFrame:
+def alignment(calls: DataFrame, model_variants: DataFrame, requests: DataFrame) -> DataFrame:
     """Status of every model variant for every requesting sample.
 
-    The fan-out over a model's variants is sharded, so a model that every
-    sample requests does not sit in one partition.
+    The fan-out over a model's variants follows the requests and rows of each model, so a model that every
+    sample requests does not sit in one partition and a rare one is not copied.  A variant whose weight is no exact number is
+    excluded here and in :func:`scores`.
     """
-    wanted = sharded_join(requests, model_variants, "pgs_id", "variant_id", shards)
+    wanted = balanced_join(requests, model_variants, ["pgs_id"])
     slim = calls.select("sample_id", "variant_id", "diploid_low", "diploid_high")
-    rows = wanted.join(slim, ["sample_id", "variant_id"], "left").withColumn(
-        "reason", call_reason()
-    )
+    invalid = F.when(F.col("weight").isNull(), "MODEL_WEIGHT_INVALID")
+    rows = wanted.join(slim, ["sample_id", "variant_id"], "left").withColumn("reason", F.coalesce(invalid, call_reason()))
     ok = F.col("reason").isNull()
     return rows.select(
         "sample_id",
@@ -53,7 +49,7 @@ def alignment(
         "reason",
         F.when(ok, "observed").alias("input_source"),
         F.when(ok, _dosage()).alias("effect_dosage"),
-        F.when(ok, F.col("weight") * _dosage()).cast("decimal(30,18)").alias("contribution"),
+        F.when(ok, times(F.col("weight"), _dosage())).alias("contribution"),
     )
 
 
@@ -63,15 +59,19 @@ def scores(
     """Score, coverage and evaluability per requested (sample, model).
 
     Only observed calls are joined; what a sample misses is the model total
-    minus what contributed, so absent markers are never materialised.
+    minus what contributed, so absent markers are never materialised.  A sum of more than 20 whole digits has no score:
+    ``score_reason`` says SCORE_OVERFLOW and the pair is not evaluable.
     """
+    size_whole, size_rest = magnitude(F.col("weight"))
     totals = model_variants.groupBy("pgs_id").agg(
-        F.count(F.lit(1)).alias("supported"), F.sum(F.abs("weight")).alias("total_abs")
+        F.count(F.lit(1)).alias("supported"),
+        (F.sum(size_whole).cast("double") + F.sum(size_rest).cast("double")).alias("total_abs"),
     )
     info = models.select("pgs_id", "model_version", "completeness_policy").join(
         totals, "pgs_id", "left"
     )
     usable = calls.where(call_reason().isNull()).select("sample_id", "variant_id", "diploid_low")
+    dose = _dosage().cast("decimal(1,0)")
     parts = (
         usable.join(
             model_variants.select("pgs_id", "variant_id", "weight", "effect_allele", "alternate"),
@@ -79,12 +79,19 @@ def scores(
         )
         .join(requests.select("sample_id", "pgs_id").distinct(), ["sample_id", "pgs_id"], "left_semi")
         .where(F.col("weight").isNotNull())
-        .withColumn("d", _dosage())
+        .select(
+            "sample_id",
+            "pgs_id",
+            (whole(F.col("weight")) * dose).alias("w"),
+            (fraction(F.col("weight")) * dose).alias("f"),
+            size_whole.alias("aw"),
+            size_rest.alias("af"),
+        )
         .groupBy("sample_id", "pgs_id")
         .agg(
             F.count(F.lit(1)).alias("contributed"),
-            F.sum((F.col("weight") * F.col("d")).cast(WEIGHT)).alias("score"),
-            F.sum(F.abs("weight")).alias("matched_abs"),
+            settled(F.sum("w"), F.sum("f")).alias("score"),
+            (F.sum("aw").cast("double") + F.sum("af").cast("double")).alias("matched_abs"),
         )
     )
     rows = requests.join(info, "pgs_id").join(parts, ["sample_id", "pgs_id"], "left")
@@ -95,16 +102,19 @@ def scores(
         & (supported > 0)
         & (F.col("completeness_policy") == "all_supported_variants_required")
     )
-    zero = F.lit(0).cast("decimal(38,18)")
+    zero = F.lit(0).cast(WEIGHT)
+    lost = (contributed > 0) & F.col("score").isNull()
     return rows.select(
         "sample_id",
         "pgs_id",
         "model_version",
-        F.when(complete, "evaluable")
+        F.when(lost, "not_evaluable")
+        .when(complete, "evaluable")
         .when(contributed > 0, "partial_not_evaluable")
         .otherwise("not_evaluable")
         .alias("status"),
-        F.coalesce("score", zero).alias("raw_partial_score"),
+        F.when(~lost, F.coalesce("score", zero)).alias("raw_partial_score"),
+        F.when(lost, "SCORE_OVERFLOW").alias("score_reason"),
         supported.alias("supported_marker_count"),
         contributed.alias("contributed_marker_count"),
         (supported - contributed).alias("missing_or_excluded_marker_count"),
@@ -113,8 +123,7 @@ def scores(
         F.when(supported > 0, contributed / supported).otherwise(0.0).alias("marker_coverage"),
         F.when(
             F.col("total_abs") > 0,
-            F.coalesce(F.col("matched_abs").cast("double"), F.lit(0.0))
-            / F.col("total_abs").cast("double"),
+            F.coalesce("matched_abs", F.lit(0.0)) / F.col("total_abs"),
         )
         .otherwise(0.0)
         .alias("absolute_weight_coverage"),

@@ -182,7 +182,14 @@ PGS_VARIANTS = f"""
 select 'PGS' || lpad(cast(p-p%2 as string),9,'0') as pgs_id, p, 'var-' || cast(p as string) as variant_id,
   'GRCh38' as assembly, chromosome, position, ref as reference, alt as alternate,
   case when p%4<2 then ref else alt end as effect_allele,
-  cast(cast(p%2001-1000 as decimal(9,3))/1000 as decimal(9,3)) as weight from ({PARTS}) a
+  case when p%97=13 then 'unknown' when p%97=14 then concat('0.', cast(100+p%900 as string), '45678901234567891')
+   when p%97=15 then '60000000000000000000'
+   when p%22 in (6,7) then concat(case when p%66=6 then '-' else '' end, '4', lpad(cast(cast(p as bigint)*7919 as string),19,'9'), '.',
+     lpad(cast((cast(p as bigint)*1000003)%1000000000 as string),9,'0'), lpad(cast((cast(p as bigint)*777767)%1000000000 as string),9,'0'))
+   when p%11=3 then concat(case when p%2=1 then '-' else '' end, cast(p%3 as string), '.',
+     lpad(cast((cast(p as bigint)*1000003)%1000000000 as string),9,'0'), lpad(cast((cast(p as bigint)*777767)%1000000000 as string),9,'0'))
+   when p%11=5 then concat(case when p%2=0 then '-' else '' end, '0.0000000', lpad(cast(p as string),11,'0'))
+   else cast(cast(cast(p%2001-1000 as decimal(9,3))/1000 as decimal(9,3)) as string) end as effect_weight from ({PARTS}) a
 where chromosome <> 'X'
 """
 PGS_MODELS = f"""
@@ -197,7 +204,7 @@ from ({CALLS}) c where source_chromosome <> 'X'
 """
 PGS_REFERENCE = """
 select 'PGS' || lpad(cast(o_custkey-o_custkey%2 as string),9,'0') as pgs_id, '1' as model_version,
-  cast(o_orderkey%4001-2000 as double)/1000 as score from {orders}
+  cast(o_orderkey%4001-2000 as double)/1000 as score from {orders} where (o_custkey-o_custkey%2)%22<>6
 """
 
 # Pharmacogenes: three neighbouring parts form one gene.

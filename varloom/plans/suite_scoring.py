@@ -25,7 +25,7 @@ def calls(spark, sf_dir):
 
 
 def _model(spark, sf_dir):
-    return view(spark, sf_dir, "pgs_variants").withColumn("weight", F.col("weight").cast(sc.WEIGHT))
+    return sc.parsed_weights(view(spark, sf_dir, "pgs_variants"))
 
 
 def _scores(spark, sf_dir):
@@ -49,13 +49,13 @@ def pgs_alignment(spark, sf_dir):
     out = sc.alignment(
         calls(spark, sf_dir), _model(spark, sf_dir), view(spark, sf_dir, "pgs_requests")
     )
-    return out.withColumn("contribution", F.col("contribution").cast("decimal(20,6)").cast("string"))
+    return out.withColumn("contribution", F.col("contribution").cast("string"))
 
 
 def pgs_scores(spark, sf_dir):
     return _scores(spark, sf_dir).withColumns(
         {
-            "raw_partial_score": F.col("raw_partial_score").cast("decimal(20,6)").cast("string"),
+            "raw_partial_score": F.col("raw_partial_score").cast("string"),
             "marker_coverage": F.round("marker_coverage", 6),
             "absolute_weight_coverage": F.round("absolute_weight_coverage", 6),
         }
@@ -89,19 +89,42 @@ cc as (select sample_id, variant_id, count(*) as call_count,
   max(alt_count) filter (ploidy=2 and foreign_bases='') as valid_high
   from cg group by sample_id, variant_id)
 """
-_ALIGN = """
-al as (select r.sample_id, v.*, c.valid_low, case when coalesce(c.dips,0)=0 then 'TARGET_VARIANT_MISSING'
+_TEN18 = "1000000000000000000::hugeint"
+
+
+def _shown(total: str) -> str:
+    """A number of 18 fractional digits from its whole number of 10^-18."""
+    return (
+        f"case when {total}<0 then '-' else '' end || cast(abs({total})//{_TEN18} as varchar) || '.'"
+        f" || lpad(cast(abs({total})%{_TEN18} as varchar),18,'0')"
+    )
+
+
+# Weights are read from their text: sign, whole part and fraction as huge integers, apart.
+_ALIGN = f"""
+pw as (select *, case when effect_weight like '-%' then -1 else 1 end as sg,
+  split_part(ltrim(effect_weight,'-'),'.',1) as tw, rtrim(split_part(effect_weight,'.',2),'0') as tf from pgs_variants),
+pv as (select *, coalesce(regexp_matches(effect_weight,'^-?[0-9]+([.][0-9]+)?$') and length(tf)<=18
+   and try_cast(tw as hugeint)<50000000000000000000::hugeint, false) as good,
+  sg*try_cast(tw as hugeint) as wi, sg*try_cast(rpad(tf,18,'0') as hugeint) as wf from pw),
+al as (select r.sample_id, v.*, c.valid_low, case when not good then 'MODEL_WEIGHT_INVALID'
+    when coalesce(c.dips,0)=0 then 'TARGET_VARIANT_MISSING'
     when c.dip_sets>1 then 'DUPLICATE_OBSERVATION_CONFLICT'
     when c.dip_foreign then 'TARGET_ALLELE_INCOMPATIBLE' end as reason
-  from pgs_requests r join pgs_variants v using (pgs_id)
+  from pgs_requests r join pv v using (pgs_id)
   left join cc c on c.sample_id=r.sample_id and c.variant_id=v.variant_id),
 am as (select *, case when effect_allele=alternate then valid_low else 2-valid_low end as dose from al),
 sc0 as (select sample_id, pgs_id, count(*) as n, count(*) filter (reason is null) as c,
-  sum(weight*dose) filter (reason is null) as score, sum(abs(weight)) as ta,
-  sum(abs(weight)) filter (reason is null) as ma from am group by all),
-sc as (select s.*, m.model_version, case when c=n and completeness_policy='all_supported_variants_required'
+  coalesce(sum(wi*dose) filter (reason is null),0) as si, coalesce(sum(wf*dose) filter (reason is null),0) as sf,
+  sum(abs(wi)) filter (good) as ti, sum(abs(wf)) filter (good) as tf,
+  sum(abs(wi)) filter (reason is null) as mi, sum(abs(wf)) filter (reason is null) as mf from am group by all),
+sc1 as (select *, case when abs(si)<150000000000000000000::hugeint then cast(si as hugeint)*{_TEN18}+cast(sf as hugeint) end as raw,
+  cast(ti as double)+cast(tf as double)/1e18 as ta, cast(mi as double)+cast(mf as double)/1e18 as ma from sc0),
+sc2 as (select *, case when abs(raw)<100000000000000000000000000000000000000::hugeint then {_shown("raw")} end as score from sc1),
+sc as (select s.*, m.model_version, case when score is null then 'not_evaluable'
+    when c=n and completeness_policy='all_supported_variants_required'
     then 'evaluable' when c>0 then 'partial_not_evaluable' else 'not_evaluable' end as status
-  from sc0 s join pgs_models m using (pgs_id))
+  from sc2 s join pgs_models m using (pgs_id))
 """
 _BASE = ctes("genotypes", "pgs_variants", "pgs_models", "pgs_requests", "pgs_reference")
 
@@ -116,11 +139,11 @@ ORACLE = {
     + CALL_SQL
     + ","
     + _ALIGN
-    + """ select sample_id, pgs_id, concat_ws('|',assembly,chromosome,position,reference,alternate)
+    + f""" select sample_id, pgs_id, concat_ws('|',assembly,chromosome,position,reference,alternate)
   as variant_key, case when reason is null then 'matched' else 'excluded' end as status, reason,
   case when reason is null then 'observed' end as input_source,
   case when reason is null then dose end as effect_dosage,
-  case when reason is null then cast(cast(weight*dose as decimal(20,6)) as varchar) end
+  case when reason is null then {_shown(f"(cast(wi*dose as hugeint)*{_TEN18}+cast(wf*dose as hugeint))")} end
   as contribution from am""",
     "pgs_scores": _BASE
     + ","
@@ -128,11 +151,11 @@ ORACLE = {
     + ","
     + _ALIGN
     + """ select sample_id, pgs_id, model_version, status,
- cast(cast(coalesce(score,0) as decimal(20,6)) as varchar) as raw_partial_score,
+ score as raw_partial_score, case when score is null then 'SCORE_OVERFLOW' end as score_reason,
  n as supported_marker_count, c as contributed_marker_count,
  n-c as missing_or_excluded_marker_count, c as observed_contributed_count,
  0 as imputed_contributed_count, round(c/n,6) as marker_coverage,
- round(case when ta>0 then coalesce(cast(ma as double),0)/cast(ta as double) else 0 end,6)
+ round(case when ta>0 then coalesce(ma,0)/ta else 0 end,6)
   as absolute_weight_coverage from sc""",
     "pgs_reference_midrank": _BASE
     + ","
