@@ -5,7 +5,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from varloom.operators import checks as ck, family as fm, neighbors as nb, pgx, phasing as ph, projection as pj, scoring as sc
+from varloom.operators import checks as ck, family as fm, neighbors as nb, pgx, phasing as ph, projection as pj, scoring as sc, triangles as tr
 from varloom.operators.calls import collapse
 from varloom.operators.materialize import cut
 from varloom.plans import flows
@@ -255,12 +255,74 @@ def test_projection_against_numpy(spark):
     assert ck.gram_violations(loadings.limit(m - 1), 1e-9).count() > 0
 
 
-def test_gates_only_tighten():
-    model = {**pj.DEFAULT_GATES, "components": 2, "maximum_components": 3, "condition": 100.0, "marker_count": 10}
-    got = pj.effective_gates(model, {"marker_count": 5, "condition": 500.0, "components": 3})
-    assert (got["marker_count"], got["condition"], got["components"]) == (10, 100.0, 3)
-    with pytest.raises(ValueError):
-        pj.effective_gates(model, {"components": 4})
+def test_gates_only_tighten(spark):
+    model = {**pj.DEFAULT_GATES, "model_id": "pc", "components": 2, "maximum_components": 3, "condition": 100.0, "marker_count": 10}
+    asked = [("a", "pc", 5, 500.0, 3), ("b", "pc", 20, 50.0, None), ("c", "pc", None, None, 4), ("d", "none", None, None, None)]
+    requests = spark.createDataFrame(asked, "sample_id string, model_id string, marker_count int, condition double, components int")
+    got = {r.sample_id: r for r in pj.gated_requests(requests, spark.createDataFrame([model])).collect()}
+    assert sorted(got) == ["a", "b", "c"]
+    assert (got["a"].marker_count, got["a"].condition, got["a"].components) == (10, 100.0, 3)
+    assert (got["b"].marker_count, got["b"].condition, got["b"].components) == (20, 50.0, 2)
+    assert [got[s].components_allowed for s in "abc"] == [True, True, False]
+
+
+def _system(rng, rows, k, rank):
+    left = rng.normal(size=(rows, rank)) @ rng.normal(size=(rank, k)) if rows else np.zeros((0, k))
+    return left, rng.normal(size=rows)
+
+
+@pytest.mark.parametrize("rows,k,rank", [(0, 3, 1), (1, 3, 1), (2, 3, 2), (3, 3, 3), (50, 3, 3), (50, 4, 2), (400, 10, 10)])
+def test_triangles_say_what_the_whole_system_says(rows, k, rank):
+    rng = np.random.default_rng(rows + k)
+    left, x = _system(rng, rows, k, rank)
+    cuts = np.sort(rng.integers(0, rows + 1, 4))
+    parts = [tr.reduced(np.column_stack((l, y))) for l, y in zip(np.split(left, cuts), np.split(x, cuts))]
+    got = tr.solution(tr.merged(*parts), rows, 1e-10)
+    if not rows:
+        assert got["matrix_rank"] == 0 and got["singular_values"] == [] and got["residual_norm"] == 0
+        return
+    z = np.linalg.lstsq(left, x, rcond=1e-10)[0]
+    values = np.linalg.svd(left, compute_uv=False)
+    assert np.allclose(got["coordinates"], z, atol=1e-9) and np.allclose(got["singular_values"], values, atol=1e-9)
+    assert got["residual_norm"] == pytest.approx(np.linalg.norm(left @ z - x), abs=1e-9)
+    assert got["matrix_rank"] == np.linalg.matrix_rank(left) == min(rank, rows)
+    assert (got["condition_number"] is None) == (min(rank, rows) < k)
+    if got["condition_number"]:
+        assert got["condition_number"] == pytest.approx(np.linalg.cond(left), rel=1e-9)
+    kept = np.split(np.arange(rows), cuts)
+    for part, triangle in zip(kept, tr.all_but_one(parts)):
+        rest = np.setdiff1d(np.arange(rows), part)
+        both = np.column_stack((left, x))[rest]
+        assert np.allclose(triangle.T @ triangle, both.T @ both, atol=1e-8)
+
+
+def test_requests_of_different_sizes_share_one_job(spark):
+    """Per-request component counts, a refused count, a non-finite marker, and replicates below the gates."""
+    rng = np.random.default_rng(9)
+    load = rng.normal(size=(30, 3))
+    load[29, 1] = np.nan
+    loadings = spark.createDataFrame(
+        [("pc", f"v{i}", f"v{i}", str(1 + i // 10), 0.5, 1.5, [float(x) for x in load[i]]) for i in range(30)],
+        "model_id string, model_variant_id string, variant_id string, chromosome string, mean double, scale double, loadings array<double>",
+    )
+    dose = rng.integers(0, 3, size=30)
+    seen = {"one": range(29), "two": range(29), "four": range(29), "odd": range(30), "few": range(9, 20)}
+    calls = calls_of(spark, [(s, f"v{i}", 2, int(dose[i])) for s, at in seen.items() for i in at])
+    model = {**pj.DEFAULT_GATES, "model_id": "pc", "components": 3, "maximum_components": 3, "marker_count": 4, "sensitivity": 2}
+    counts = {"one": 1, "two": 2, "four": 4, "odd": None, "few": 2}
+    requests = spark.createDataFrame([(s, "pc", c) for s, c in counts.items()], "sample_id string, model_id string, components int")
+    gated = pj.gated_requests(requests, spark.createDataFrame([model]))
+    fits = pj.project(pj.used_markers(calls, loadings, requests), loadings, gated)
+    out = {(r.sample_id, r.omitted_chromosome): r for r in fits.collect()}
+    x = (dose[:29] - 0.5) / 1.5
+    for s, k in (("one", 1), ("two", 2)):
+        assert np.allclose(out[s, None].coordinates, np.linalg.lstsq(load[:29, :k], x, rcond=None)[0], atol=1e-9)
+        assert len([o for n, o in out if n == s and o]) == 3
+    assert out["four", None].failed_gates[0] == "maximum_component_count" and out["four", None].coordinates is None
+    assert "finite_inputs" in out["odd", None].failed_gates and ("odd", "1") not in out
+    assert out["few", "1"].status == "projected" and out["few", "2"].failed_gates == ["minimum_observed_marker_count", "full_rank"]
+    summary = {r.sample_id: (r.eligible_replicates, r.valid_replicates, r.summary_available) for r in pj.sensitivity_summary(fits).collect()}
+    assert summary == {"one": (3, 3, True), "two": (3, 3, True), "four": (0, 0, False), "odd": (0, 0, False), "few": (2, 1, False)}
 
 
 @pytest.mark.parametrize("cell_rows", [20, 5000])

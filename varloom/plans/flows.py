@@ -232,7 +232,7 @@ def infer_structure(
     loadings: DataFrame,
     scores: DataFrame,
     requests: DataFrame,
-    gates: dict,
+    gates: dict | None,
     quantile: float,
     minimum_group: int,
     neighbours: int = vocab.NEIGHBOURS,
@@ -240,25 +240,11 @@ def infer_structure(
     """Projection, distances, neighbours, support and leave-one-chromosome-out sensitivity."""
     used = pj.used_markers(calls, loadings, requests)
     fits = pj.project(used, loadings, requests, gates)
-    points = fits.where("coordinates is not null").select(
-        "sample_id",
-        "omitted_chromosome",
-        F.concat_ws("|", "sample_id", "omitted_chromosome").alias("query_id"),
-        "coordinates",
-    )
+    points = pj.replicate_points(fits)
     full = points.where("omitted_chromosome is null")
     distances = pj.group_distances(points, scores)
     radii = pj.support_radii(scores, quantile, minimum_group)
     support = pj.support_envelope(distances, radii)
-    rank_one = distances.where("rank = 1").select(
-        "query_id", F.col("reference_group_id").alias("rank_one_group_id")
-    )
-    sensitivity = (
-        fits.where("omitted_chromosome is not null")
-        .withColumn("query_id", F.concat_ws("|", "sample_id", "omitted_chromosome"))
-        .join(rank_one, "query_id", "left")
-        .join(pj.support_status(support), "query_id", "left")
-    )
     own = full.select("query_id")
     return {
         "marker_alignment": pj.marker_alignment(calls, loadings, requests),
@@ -267,7 +253,8 @@ def infer_structure(
         "neighbors": nb.nearest(full, scores, neighbours),
         "support": support.join(own, "query_id", "left_semi"),
         "support_status": pj.support_status(support).join(own, "query_id", "left_semi"),
-        "sensitivity": sensitivity,
+        "sensitivity": pj.sensitivity(fits, distances, support),
+        "sensitivity_summary": pj.sensitivity_summary(fits),
     }
 
 
