@@ -289,6 +289,8 @@ def test_triangles_say_what_the_whole_system_says(rows, k, rank):
     assert (got["condition_number"] is None) == (min(rank, rows) < k)
     if got["condition_number"]:
         assert got["condition_number"] == pytest.approx(np.linalg.cond(left), rel=1e-9)
+    segments = tr.reduced_segments(np.column_stack((left, x)), np.array([0, *(c for c in sorted(set(cuts.tolist())) if 0 < c < rows)]))
+    assert np.allclose(tr.solution(tr.merged(*segments), rows, 1e-10)["singular_values"], values, atol=1e-9)
     kept = np.split(np.arange(rows), cuts)
     for part, triangle in zip(kept, tr.all_but_one(parts)):
         rest = np.setdiff1d(np.arange(rows), part)
@@ -296,8 +298,10 @@ def test_triangles_say_what_the_whole_system_says(rows, k, rank):
         assert np.allclose(triangle.T @ triangle, both.T @ both, atol=1e-8)
 
 
-def test_requests_of_different_sizes_share_one_job(spark):
+@pytest.mark.parametrize("batch", [3, 10_000])
+def test_requests_of_different_sizes_share_one_job(spark, batch):
     """Per-request component counts, a refused count, a non-finite marker, and replicates below the gates."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
     rng = np.random.default_rng(9)
     load = rng.normal(size=(30, 3))
     load[29, 1] = np.nan
@@ -323,6 +327,7 @@ def test_requests_of_different_sizes_share_one_job(spark):
     assert out["few", "1"].status == "projected" and out["few", "2"].failed_gates == ["minimum_observed_marker_count", "full_rank"]
     summary = {r.sample_id: (r.eligible_replicates, r.valid_replicates, r.summary_available) for r in pj.sensitivity_summary(fits).collect()}
     assert summary == {"one": (3, 3, True), "two": (3, 3, True), "four": (0, 0, False), "odd": (0, 0, False), "few": (2, 1, False)}
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
 @pytest.mark.parametrize("cell_rows", [20, 5000])

@@ -18,6 +18,22 @@ def reduced(rows: np.ndarray) -> np.ndarray:
     return out
 
 
+def reduced_segments(rows: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Triangles of the consecutive segments of ``rows`` that begin at ``starts``: segments of like size are reduced together."""
+    width = rows.shape[1]
+    sizes = np.diff(np.append(starts, len(rows)))
+    out = np.zeros((len(starts), width, width))
+    padded = 1 << np.ceil(np.log2(np.maximum(sizes, 1))).astype(int)
+    for size in np.unique(padded):
+        some = np.flatnonzero(padded == size)
+        # zero rows change no triangle
+        at = np.arange(size)[None, :]
+        block = np.where((at < sizes[some, None])[:, :, None], rows[np.minimum(starts[some, None] + at, len(rows) - 1)], 0.0)
+        triangles = np.linalg.qr(block, mode="r")
+        out[some, : triangles.shape[1]] = triangles
+    return out
+
+
 def merged(*triangles: np.ndarray) -> np.ndarray:
     return reduced(np.vstack(triangles))
 
