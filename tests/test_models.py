@@ -359,6 +359,48 @@ def test_neighbours_and_support_match_brute_force(spark, cell_rows):
         assert radii[g] == pytest.approx(np.quantile(r, 0.8))
 
 
+def _points(spark, rng, n, spread):
+    rows = [(i, [float(x) for x in rng.normal(size=3) * spread]) for i in range(n)]
+    return spark.createDataFrame(rows, "query_id int, z array<double>")
+
+
+def test_rows_sent_to_cells_follow_the_visits(spark, monkeypatch):
+    monkeypatch.setattr(nb, "QUERIES", 50)
+    rng = np.random.default_rng(4)
+    ref = rng.normal(size=(3000, 3)) * [1, 4, 0.5]
+    ref[:900] = ref[0] + rng.normal(size=(900, 3)) * 1e-3  # one dense spot
+    refs = spark.createDataFrame([(f"r{i}", [float(x) for x in v]) for i, v in enumerate(ref)], "reference_sample_id string, u array<double>")
+    cells = nb.tree(refs, 100)
+    rows = cells.rows.collect()
+    sizes = {}
+    for r in rows:
+        sizes[r.node] = sizes.get(r.node, 0) + 1
+    assert len(rows) == 3000 and len(sizes) > 25 and max(sizes.values()) <= 250
+    boxes = {b.node: b for b in cells.boxes.collect()}
+    assert {n for n, b in boxes.items() if b.leaf} == set(sizes)
+    for r in rows:
+        node = r.node
+        while node >= nb.ROOT:
+            assert all(s.lo <= x <= s.hi for s, x in zip(boxes[node].sides, r.u))
+            node >>= nb.AXES
+    placed = nb.own_cells(_points(spark, rng, 300, [1, 4, 0.5]), cells)
+    reach = placed.withColumnRenamed("node", "own").withColumn("reach", F.lit(0.2))
+    got = {(r.query_id, r.node) for r in nb.visits(reach, cells).collect()}
+    want = set()
+    for q in reach.collect():
+        for n in sizes:
+            gap = sum(max(0.0, s.lo - x, x - s.hi) ** 2 for s, x in zip(boxes[n].sides, q.z)) ** 0.5
+            if n != q.own and gap <= 0.2:
+                want.add((q.query_id, n))
+    assert got == want and len(want) < 300 * len(sizes) / 3
+    a, b, _ = nb.sent(nb.visits(reach, cells), cells, 100)
+    # a visited cell's rows once, and once more per 50 visits; a visit once per 100 rows of its cell
+    assert b.count() <= 3000 + max(sizes.values()) * len(want) / 50
+    assert a.count() <= len(want) * (1 + max(sizes.values()) // 100)
+    empty = nb.tree(refs.limit(0), 100)
+    assert empty.depth == 0 and empty.boxes.count() == 0
+
+
 def test_phasing_and_masking(spark):
     calls = calls_of(spark, [("s", f"v{i}", 2, i % 3) for i in range(20)] + [("s", "h", 1, 1), ("s", "d", 2, 0), ("s", "d", 2, 1)])
     variants = spark.createDataFrame(

@@ -1,65 +1,158 @@
-"""Exact k nearest reference samples: cells of bounded size, visited only where a box can be close enough."""
+"""Exact k nearest reference samples: a tree of medians whose cells are visited only where a box can be close enough.
+
+Everything that grows with the references (the tree, its boxes, the rows by cell) is a written table; the driver sees only counts.
+"""
+
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from varloom import vocab
+from varloom.operators.materialize import stored
 from varloom.operators.projection import scaled
+from varloom.operators.scale import balanced_sides
+
+#: Reference samples a cell aims at, and queries that meet one copy of a cell's rows.
+CELL_ROWS, QUERIES = 2_000, 2_000
+#: Rows per open node that its cuts are fitted on.
+FITTED = 400
+#: Axes cut in one pass over the rows, and the bits they take in a node's number.
+AXES = 3
+#: Passes: 2^60 cells.
+DEPTH = 20
+ROOT = 1
+
+
+@dataclass
+class Tree:
+    """Cells of the references: ``rows`` (with ``node``, the leaf), the cuts of every level, all boxes, and the number of levels."""
+
+    rows: DataFrame
+    cuts: list[DataFrame]
+    boxes: DataFrame
+
+    @property
+    def depth(self) -> int:
+        return len(self.cuts)
+
+
+def _moved(vector: str) -> Column:
+    """The child of ``node`` that a vector falls in, by the node's cuts; the node itself when it has none."""
+    bits = F.aggregate(
+        F.transform("cuts", lambda c, i: F.when(F.get(F.col(vector), c["axis"]) >= c["at"], F.pow(F.lit(2), i).cast("long")).otherwise(0)),
+        F.lit(0).cast("long"),
+        lambda total, bit: total + bit,
+    )
+    return F.when(F.col("cuts").isNull(), F.col("node")).otherwise(F.col("node") * (1 << AXES) + bits)
+
 
-#: Reference samples a cell aims at, and the sample that the cell cuts are fitted on.
-CELL_ROWS, SAMPLE = 2_000, 20_000
-#: Queries that meet a cell in one group.
-QUERIES = 2_000
+def _descended(df: DataFrame, vector: str, cuts: DataFrame) -> DataFrame:
+    names = df.columns
+    return df.join(cuts, "node", "left").withColumn("node", _moved(vector)).select(*names)
 
 
-def _cuts(points: np.ndarray, cells: int) -> list[tuple[int, float]]:
-    """Quantiles of the widest axes, one axis after the other, until there are ``cells`` cells."""
-    order = np.argsort(-np.ptp(points, axis=0), kind="stable") if len(points) else []
-    depth = min(max(0, int(np.ceil(np.log2(max(1, cells))))), len(order), 12)
-    return [(int(axis), float(np.median(points[:, axis]))) for axis in order[:depth]]
+def _cuts(placed: DataFrame, open_nodes: DataFrame, share: float, id_col: str) -> DataFrame:
+    """Medians of the widest axes of every open node, as many as its size asks for, fitted on a share of the rows chosen by hash."""
+    picked = placed.where(F.pmod(F.xxhash64(id_col), F.lit(1 << 30)) <= int(share * (1 << 30)))
+    axes = picked.join(open_nodes, "node").select("node", "axes", F.posexplode("u").alias("axis", "x"))
+    stats = axes.groupBy("node", "axes", "axis").agg(
+        F.min("x").alias("lo"), F.max("x").alias("hi"), F.percentile_approx("x", 0.5, 200).alias("mid")
+    )
+    at = F.when(F.col("mid") > F.col("lo"), F.col("mid")).otherwise((F.col("lo") + F.col("hi")) / 2)
+    wide = stats.where("lo < hi").groupBy("node", "axes").agg(
+        F.sort_array(F.collect_list(F.struct((F.col("hi") - F.col("lo")).alias("width"), "axis", at.alias("at"))), False).alias("all")
+    )
+    return wide.select("node", F.slice("all", F.lit(1), F.col("axes")).alias("cuts"))
+
+
+def tree(refs: DataFrame, cell_rows: int, id_col: str = "reference_sample_id") -> Tree:
+    """Cuts ``refs`` (a written table with a vector ``u``) until cells hold at most ``cell_rows`` rows or rows of one place.
+
+    A pass cuts up to three axes of every open node at once.  Medians come from a sample whose size follows the number of open nodes.
+    """
+    placed = refs.withColumn("node", F.lit(ROOT).cast("long")).withColumn("can_cut", F.lit(True))
+    cuts = []
+    for _ in range(DEPTH):
+        sizes = placed.where("can_cut").groupBy("node").count().where(F.col("count") > cell_rows)
+        axes = F.least(F.lit(AXES), F.ceil(F.log2(F.col("count") / cell_rows))).cast("int")
+        nodes, rows = sizes.agg(F.count("*"), F.sum("count")).first()
+        if not nodes:
+            break
+        found = stored(_cuts(placed, sizes.select("node", axes.alias("axes")), min(1.0, FITTED * nodes / rows), id_col), "cuts")
+        moved = placed.drop("can_cut").join(found, "node", "left")
+        placed = stored(
+            moved.withColumn("can_cut", F.col("cuts").isNotNull()).withColumn("node", _moved("u")).drop("cuts"), "cells"
+        )
+        cuts.append(found)
+    leaves = placed.select("node").distinct()
+    # the box of a node holds those of all leaves under it
+    corners = placed.select("node", F.posexplode("u").alias("axis", "x")).groupBy("node", "axis").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    lifted = corners.withColumn("up", F.explode(F.sequence(F.lit(0), F.lit(len(cuts)))))
+    lifted = lifted.withColumn("node", F.expr(f"shiftright(node, up * {AXES})")).where(F.col("node") >= ROOT)
+    whole = lifted.groupBy("node", "axis").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    boxes = whole.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("axis", "lo", "hi"))).alias("sides"))
+    boxes = boxes.join(leaves.withColumn("leaf", F.lit(True)), "node", "left").select(
+        "node", F.shiftright("node", AXES).alias("parent"), F.coalesce("leaf", F.lit(False)).alias("leaf"), "sides"
+    )
+    return Tree(placed.drop("can_cut"), cuts, stored(boxes, "boxes"))
+
+
+def own_cells(queries: DataFrame, cells: Tree) -> DataFrame:
+    """``queries`` (with a vector ``z``) with ``node``: the leaf whose side of every cut they lie on."""
+    found = queries.withColumn("node", F.lit(ROOT).cast("long"))
+    for cuts in cells.cuts:
+        found = _descended(found, "z", cuts)
+    return found
+
+
+def _gap(vector: Column, sides: Column) -> Column:
+    """Distance from a point to a box."""
+    off = F.zip_with(vector, sides, lambda x, s: F.greatest(F.lit(0.0), s["lo"] - x, x - s["hi"]))
+    return F.sqrt(F.aggregate(off, F.lit(0.0), lambda total, g: total + g * g))
+
+
+def visits(queries: DataFrame, cells: Tree) -> DataFrame:
+    """(query_id, z, node) of every leaf but the own one whose box is within ``reach``; ``queries``: query_id, z, own, reach.
+
+    Descends level by level and keeps only nodes that are close enough, so its work follows the visits.
+    """
+    # a relative margin keeps cells that touch the bound up to rounding
+    close = _gap(F.col("z"), F.col("sides")) <= F.col("reach") * (1 + 1e-9)
+    children = cells.boxes.select(F.col("parent").alias("node"), F.col("node").alias("child"), "leaf", "sides")
+    front = queries.withColumn("node", F.lit(ROOT).cast("long"))
+    found = []
+    for _ in range(cells.depth):
+        met = front.join(children, "node").where(close).drop("sides", "node").withColumnRenamed("child", "node")
+        met = stored(met, "front")
+        found.append(met.where("leaf and node <> own").select("query_id", "z", "node"))
+        front = met.where("not leaf").drop("leaf")
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def sent(queries: DataFrame, cells: Tree, cell_rows: int) -> tuple[DataFrame, DataFrame, list[str]]:
+    """What meets in the cells: queries (query_id, z, node) and the rows of visited cells, copied once per ``QUERIES`` visits."""
+    visited = cells.rows.join(queries.select("node").distinct(), "node", "left_semi")
+    return balanced_sides(queries, visited, ["node"], QUERIES, cell_rows)
 
 
 def nearest(points: DataFrame, scores: DataFrame, count: int = vocab.NEIGHBOURS, cell_rows: int = CELL_ROWS) -> DataFrame:
     """The ``count`` nearest reference samples of each point, ties by group then sample.
 
-    References are cut at medians of a bounded sample into at most 4,096 cells; a cell of more than ``cell_rows`` rows is
-    dealt to parts by hash, so no group depends on how the vectors cluster.  Each query first bounds its ``count``-th
-    distance in its own cell, then visits only cells whose bounding box can be closer.  Of identical reference
-    vectors only the first ``count`` in tie order can be answers; further copies are dropped first.
+    Each query first bounds its ``count``-th distance in its own cell, then visits only cells whose bounding box can be
+    closer.  A cell of more than ``cell_rows`` rows is dealt to parts by hash, so no group depends on how the vectors cluster.
+    Of identical reference vectors only the first ``count`` in tie order can be answers; further copies are dropped first.
     """
     refs = scaled(scores, "scores", scores, "u").select("reference_sample_id", "reference_group_id", "u")
     copies = Window.partitionBy("u").orderBy("reference_group_id", "reference_sample_id")
-    refs = refs.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= count).drop("copy")
-    total = refs.count()
-    sample = refs.select("reference_sample_id", "u").orderBy(F.xxhash64("reference_sample_id")).limit(SAMPLE).collect()
-    cuts = _cuts(np.array([r["u"] for r in sample], dtype=float), -(-total // cell_rows)) if sample else []
-
-    def cell(vector: str):
-        bits = [F.when(F.get(vector, F.lit(axis)) >= value, F.lit(1 << i)).otherwise(0) for i, (axis, value) in enumerate(cuts)]
-        return sum(bits, F.lit(0)).cast("int")
-
-    placed = refs.withColumn("cell", cell("u"))
-    sizes = {r["cell"]: r["count"] for r in placed.groupBy("cell").count().collect()}  # at most 4,096 rows
-    corners = placed.select("cell", F.posexplode("u").alias("i", "x")).groupBy("cell", "i").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    boxes: dict[int, list] = {}
-    for r in corners.orderBy("cell", "i").toLocalIterator():
-        boxes.setdefault(r["cell"], []).append((r["lo"], r["hi"]))
-    names = np.array(sorted(boxes), dtype=np.int32)
-    shape = np.array([boxes[int(c)] for c in names], dtype=float).reshape(len(names), -1, 2)
-    parts = {c: -(-n // cell_rows) for c, n in sizes.items()}
-    most = max(parts.values(), default=1)
-    n_parts = F.lit(1)
-    if most > 1:
-        pairs = [F.lit(v) for c, n in parts.items() if n > 1 for v in (c, n)]
-        n_parts = F.coalesce(F.try_element_at(F.create_map(*pairs), F.col("cell")), F.lit(1))
-    placed = placed.withColumn("part", F.pmod(F.xxhash64("reference_sample_id"), n_parts).cast("int"))
-
+    refs = stored(refs.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= count).drop("copy"), "references")
+    cells = tree(refs, cell_rows)
     kind = points.schema["query_id"].dataType.simpleString()
     found = f"query_id {kind}, reference_sample_id string, reference_group_id string, distance double"
-    z = scaled(points, "coordinates", scores, "z").select("query_id", "z")
-    z = z.withColumn("reach", F.lit(float("inf"))).withColumn("own", cell("z"))
-    chunks = max(1, -(-points.count() // QUERIES))
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -87,34 +180,20 @@ def nearest(points: DataFrame, scores: DataFrame, count: int = vocab.NEIGHBOURS,
         return pd.concat(out) if out else pd.DataFrame({c.split()[0]: [] for c in found.split(", ")})
 
     def searched(queries: DataFrame) -> DataFrame:
-        """``queries``: query_id, z, cell."""
-        asks = queries.withColumn("part", F.explode(F.sequence(F.lit(0), n_parts - 1))).withColumn(
-            "chunk", F.pmod(F.xxhash64("query_id"), F.lit(chunks)).cast("int")
-        )
-        sides = placed.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-        keys = ["cell", "part", "chunk"]
-        return asks.groupBy(*keys).cogroup(sides.groupBy(*keys)).applyInPandas(search, found)
+        a, b, keys = sent(queries, cells, cell_rows)
+        return a.groupBy(*keys).cogroup(b.groupBy(*keys)).applyInPandas(search, found)
 
     order = Window.partitionBy("query_id").orderBy("distance", "reference_group_id", "reference_sample_id")
-    first = searched(z.select("query_id", "z", F.col("own").alias("cell")))
-    first = first.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= count)
+
+    def best(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= count)
+
+    z = own_cells(scaled(points, "coordinates", scores, "z").select("query_id", "z"), cells)
+    if not cells.depth:
+        return best(searched(z))
+    z = stored(z, "queries")
+    first = stored(best(searched(z)), "nearest")
     bound = first.where(F.col("rank") == count).select("query_id", F.col("distance").alias("bound"))
-    known = z.join(bound, "query_id", "left").withColumn("reach", F.coalesce("bound", "reach"))
-
-    def visits(batches):
-        for frame in batches:
-            for start in range(0, len(frame), 200):
-                some = frame.iloc[start : start + 200]
-                q = np.array(some["z"].tolist(), dtype=float)[:, None, :]
-                off = np.maximum(0, np.maximum(shape[None, :, :, 0] - q, q - shape[None, :, :, 1]))
-                # a relative margin keeps cells that touch the bound up to rounding
-                close = np.sqrt((off * off).sum(axis=2)) <= some["reach"].to_numpy()[:, None] * (1 + 1e-9)
-                close &= names[None, :] != some["own"].to_numpy()[:, None]
-                at, which = np.nonzero(close)
-                yield some.iloc[at][["query_id", "z"]].assign(cell=names[which])
-
-    if len(names) > 1:
-        others = known.select("query_id", "z", "own", "reach").mapInPandas(visits, f"query_id {kind}, z array<double>, cell int")
-        first = first.drop("rank").unionByName(searched(others))
-        first = first.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= count)
-    return first
+    known = z.withColumnRenamed("node", "own").join(bound, "query_id", "left")
+    known = known.withColumn("reach", F.coalesce("bound", F.lit(float("inf")))).drop("bound")
+    return best(first.drop("rank").unionByName(searched(visits(known, cells))))
