@@ -189,45 +189,77 @@ def genetic_map_rules(spark, sf_dir):
     return rf.genetic_map_violations(points).select(_contig(), "rule")
 
 
-def _archive_files(spark, sf_dir):
-    """One archive per order, with one submission each, behind a release header file."""
-    rows = view(spark, sf_dir, "assertions").where("assertion_level = 'source_submitted'")
-    reps = view(spark, sf_dir, "representations").select(
-        "representation_id", "variation_type", "assembly", "chromosome", "position", "reference", "alternate"
+def _attribute(name, column):
+    return F.coalesce(F.concat(F.lit(f' {name}="'), column.cast("string"), F.lit('"')), F.lit(""))
+
+
+def _element(name, column):
+    return F.coalesce(F.concat(F.lit(f"<{name}>"), column, F.lit(f"</{name}>")), F.lit(""))
+
+
+def _classification():
+    """The element of a classified row: name by type, date, term and review status."""
+    kind = F.col("classification_type")
+    name = (
+        F.when(kind == "germline", "GermlineClassification")
+        .when(kind == "oncogenicity", "OncogenicityClassification")
+        .otherwise("SomaticClinicalImpact")
+    )
+    return F.concat(
+        F.lit("<"), name, _attribute("DateLastEvaluated", F.col("date_last_evaluated")), F.lit(">"),
+        _element("Description", F.col("term")), _element("ReviewStatus", F.col("review_status")), F.lit("</"), name, F.lit(">"),
     )
-    r = rows.join(reps, "representation_id")
 
-    def attribute(name, column):
-        return F.coalesce(F.concat(F.lit(f' {name}="'), column.cast("string"), F.lit('"')), F.lit(""))
 
-    element = F.when(F.col("classification_type") == "germline", "GermlineClassification").otherwise(
-        "SomaticClinicalImpact"
+def _submission_xml(rows):
+    """(representation_id, source_accession, xml) of submitted rows: one or two traits, one or two observations, some with a method."""
+    number = F.substring("source_accession", 4, 20).cast("bigint")
+
+    def trait(name, identifier):
+        return F.concat(
+            F.lit("<Trait><Name><ElementValue>"), name, F.lit('</ElementValue></Name><XRef DB="SYN" ID="'), identifier, F.lit('"/></Trait>')
+        )
+
+    traits = F.concat(
+        trait(F.concat(F.lit("condition "), F.col("submitter_name")), F.concat(F.lit("C"), F.substring("submitter_name", 5, 5))),
+        F.when(number % 3 == 0, trait(F.lit("shared condition"), F.lit("C99"))).otherwise(""),
+    )
+    method = F.when(number % 4 == 1, F.lit("literature only"))
+    value = F.concat(
+        F.lit('<ClinicalAssertion Accession="'), F.col("source_accession"), F.lit('" Version="'), F.col("accession_version").cast("string"),
+        F.lit('"'), _attribute("RecordStatus", F.col("status_term")), F.lit('><Submitter Name="'), F.col("submitter_name"),
+        F.lit('" ID="S1"/>'), _classification(), _element("Method", _element("MethodType", method)),
+        F.lit("<TraitSet>"), traits, F.lit("</TraitSet>"), F.repeat(F.lit("<ObservedIn/>"), (1 + number % 2).cast("int")),
+        F.when(number % 5 == 0, "<Evidence/>").otherwise(""), F.lit("</ClinicalAssertion>"),
     )
-    number = F.substring("source_accession", 4, 20)
+    return rows.select("representation_id", "source_accession", value.alias("xml"))
+
+
+def _archive_files(spark, sf_dir):
+    """One archive per representation: its aggregate classification, where there is one, around all its submissions."""
+    rows = view(spark, sf_dir, "assertions")
+    submitted = _submission_xml(rows.where("assertion_level = 'source_submitted'"))
+    inner = submitted.groupBy("representation_id").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("source_accession", "xml"))), lambda s: s["xml"]), "").alias("inner")
+    )
+    aggregate = rows.where("assertion_level = 'source_computed_aggregate'").select(
+        "representation_id", _element("Classifications", _classification()).alias("classified"), "status_term"
+    )
+    r = view(spark, sf_dir, "representations").join(inner, "representation_id", "left").join(aggregate, "representation_id", "left")
     location = F.concat(
         F.lit("<Location><SequenceLocation"),
-        attribute("Assembly", F.col("assembly")),
-        attribute("Chr", F.col("chromosome")),
-        attribute("positionVCF", F.col("position")),
-        attribute("referenceAlleleVCF", F.col("reference")),
-        attribute("alternateAlleleVCF", F.col("alternate")),
+        _attribute("Assembly", F.col("assembly")),
+        _attribute("Chr", F.col("chromosome")),
+        _attribute("positionVCF", F.col("position")),
+        _attribute("referenceAlleleVCF", F.col("reference")),
+        _attribute("alternateAlleleVCF", F.col("alternate")),
         F.lit("/></Location>"),
     )
-    review = F.coalesce(
-        F.concat(F.lit("<ReviewStatus>"), F.col("review_status"), F.lit("</ReviewStatus>")), F.lit("")
-    )
     value = F.concat(
-        F.lit('<VariationArchive Accession="VCV'), number, F.lit('" Version="1" VariationID="'),
-        number.cast("bigint").cast("string"), F.lit('"><ClassifiedRecord><'), F.col("variation_type"), F.lit(">"), location, F.lit("</"),
-        F.col("variation_type"), F.lit('><ClinicalAssertion Accession="'), F.col("source_accession"),
-        F.lit('" Version="'), F.col("accession_version").cast("string"), F.lit('"'),
-        attribute("RecordStatus", F.col("status_term")),
-        F.lit('><Submitter Name="'), F.col("submitter_name"), F.lit('" ID="S1"/><'), element,
-        attribute("DateLastEvaluated", F.col("date_last_evaluated")), F.lit("><Description>"), F.col("term"),
-        F.lit("</Description>"), review, F.lit("</"), element,
-        F.lit("><TraitSet><Trait><Name><ElementValue>condition "), F.col("submitter_name"),
-        F.lit('</ElementValue></Name><XRef DB="SYN" ID="C'), F.substring("submitter_name", 5, 5),
-        F.lit('"/></Trait></TraitSet><ObservedIn/></ClinicalAssertion></ClassifiedRecord></VariationArchive>'),
+        F.lit("<VariationArchive"), _attribute("Accession", F.col("vcv_accession")), _attribute("Version", F.col("vcv_version")),
+        _attribute("VariationID", F.col("p")), _attribute("RecordStatus", F.col("status_term")), F.lit("><ClassifiedRecord><"),
+        F.col("variation_type"), F.lit(">"), location, F.lit("</"), F.col("variation_type"), F.lit(">"),
+        F.coalesce("classified", F.lit("")), _element("ClinicalAssertionList", F.col("inner")), F.lit("</ClassifiedRecord></VariationArchive>"),
     )
     path = _fresh(spark, "archives")
     r.select(value.alias("value")).write.text(path)
@@ -251,7 +283,8 @@ def vcv_assertions(spark, sf_dir):
         "classification_type", F.array_join("source_classification_terms", "|").alias("terms"),
         "review_status", "record_status", "submitter_name",
         F.col("date_last_evaluated").cast("string").alias("date_last_evaluated"),
-        F.array_join("citation_identifiers", "|").alias("citations"), "observed_in_count",
+        F.array_join("citation_identifiers", "|").alias("citations"), "assertion_method", "observed_in_count",
+        "source_evidence_structure_count", "record_fingerprint",
     )
 
 
@@ -276,6 +309,18 @@ def vcv_conditions(spark, sf_dir):
     return vx.conditions(vx.condition_rows(_archives(spark, sf_dir))).drop("condition_id", "snapshot_id")
 
 
+def assertion_conditions(spark, sf_dir):
+    """Links of submitted assertions to their conditions, shown by accession and source identifier."""
+    archives = cut(_archives(spark, sf_dir))
+    rows, parsed = vx.condition_rows(archives), vx.assertions(archives)
+    links = vx.condition_links(rows, parsed)
+    return (
+        links.join(parsed.select("assertion_id", "source_accession", "classification_type"), "assertion_id")
+        .join(vx.conditions(rows).select("condition_id", "source_identifier", "source_name"), "condition_id")
+        .select("source_accession", "classification_type", "source_identifier", "source_name")
+    )
+
+
 def artifact_inventory(spark, sf_dir):
     """Publish a run of one file per supplier, change some files, and verify it."""
     root = _fresh(spark, "run")
@@ -356,6 +401,7 @@ QUERIES = {
         vcv_assertions,
         scv_relationships,
         vcv_conditions,
+        assertion_conditions,
         artifact_inventory,
         latest_runs,
         end_to_end_summary,
@@ -367,11 +413,47 @@ _FILES = ctes("numbered_calls") + f""",
 fl as (select *, sample_id||'-u'||cast((source_line_number-1-(source_line_number-1)%{CHUNK})/{CHUNK} as bigint) as src,
   (source_line_number-1)%{CHUNK}+4 as ln from numbered_calls)
 """
+def _json(**fields):
+    """A JSON object without its NULL members; texts need no escapes here."""
+    parts = [f"""'"{name}":' || {value}""" for name, value in fields.items()]
+    return "'{' || concat_ws(',', " + ", ".join(parts) + ") || '}'"
+
+
+def _quoted(text):
+    return f"""'"' || {text} || '"'"""
+
+
+_FINGERPRINT = "sha256(" + _json(
+    accession=_quoted("source_accession"), version="accession_version", type=_quoted("kind"), terms="terms_json", review=_quoted("review"),
+    status_term=_quoted("status_term"), submitter_name=_quoted("submitter_name"), submitter_identifier=_quoted("who"),
+    dated=_quoted("dated"), method=_quoted("method"), citations="""'["' || array_to_string(cites,'","') || '"]'""", observed_in_count="observed",
+).replace("""'["' || array_to_string(cites""", """case when len(cites)=0 then '[]' else '["' || array_to_string(cites""").replace(
+    """'","') || '"]'""", """'","') || '"]' end"""
+) + ")"
+# What every archive holds: its representation, all submissions about it, and at most one aggregate classification.
 _XML = ctes("assertions", "representations") + """,
-x as (select a.*, r.variation_type, r.assembly, r.chromosome, r.position, r.reference, r.alternate,
-   'VCV'||substr(source_accession,4) as vcv from assertions a join representations r using (representation_id)
-  where assertion_level='source_submitted')
+num as (select *, cast(substr(source_accession,4) as bigint) as o from assertions where assertion_level='source_submitted'),
+x as (select a.*, r.vcv_accession, classification_type as kind, trim(term) as shown, '["'||trim(term)||'"]' as terms_json,
+   review_status as review, 'S1' as who, cast(date_last_evaluated as varchar) as dated,
+   case when o%4=1 then 'literature only' end as method,
+   ['SYN:C'||substr(submitter_name,5)] || case when o%3=0 then ['SYN:C99'] else [] end as cites,
+   1+o%2 as observed, 1+o%2+case when o%5=0 then 1 else 0 end as evidence
+  from num a join representations r using (representation_id)),
+inner_ as (select representation_id, list(cites order by source_accession) as cs, sum(observed) as observed, sum(evidence) as evidence,
+   min(method) as method from x group by 1),
+ag as (select * from assertions where assertion_level='source_computed_aggregate'),
+y as (select r.representation_id, r.vcv_accession, r.vcv_accession as source_accession, r.vcv_version as accession_version,
+   coalesce(a.classification_type,'unknown') as kind, coalesce(trim(a.term),'') as shown,
+   case when a.term is null then '[]' else '["'||trim(a.term)||'"]' end as terms_json, a.review_status as review, a.status_term,
+   cast(null as varchar) as submitter_name, cast(null as varchar) as who, cast(a.date_last_evaluated as varchar) as dated, i.method,
+   coalesce(flatten(i.cs),[]) as cites, coalesce(i.observed,0) as observed, coalesce(i.evidence,0) as evidence
+  from representations r left join ag a using (representation_id) left join inner_ i using (representation_id))
 """
+_SHOWN_ASSERTION = f"""source_accession, accession_version, vcv_accession, '{{level}}' as assertion_level, kind as classification_type,
+ shown as terms, review as review_status, case when lower(status_term) like '%current%' then 'current'
+  when lower(status_term) like '%replac%' then 'replaced' else 'unknown' end as record_status, submitter_name,
+ dated as date_last_evaluated, array_to_string(list_sort(list_distinct(cites)),'|') as citations, method as assertion_method,
+ observed as observed_in_count, evidence as source_evidence_structure_count, {_FINGERPRINT} as record_fingerprint"""
 _NOCALL = "upper(raw_genotype) in ('--','','NC','NOCALL')"
 
 ORACLE = {
@@ -423,23 +505,22 @@ ORACLE = {
  select contig, 'fewer_than_two_points' as rule from r group by 1 having count(*)<2
  union select contig, 'position_not_sorted' from l where position<p0 or (position=p0 and cm<c0)
  union select contig, 'cm_decreasing' from l where cm<c0""",
-    "vcv_representations": _XML
-    + """ select vcv as vcv_accession, 1 as vcv_version, cast(substr(vcv,4) as bigint) as variation_id,
- variation_type, assembly, chromosome, position, reference, alternate from x""",
+    "vcv_representations": ctes("representations")
+    + """ select vcv_accession, vcv_version, p as variation_id,
+ variation_type, assembly, chromosome, position, reference, alternate from representations""",
     "vcv_assertions": _XML
-    + """ select source_accession, accession_version, vcv as vcv_accession, assertion_level,
- classification_type, trim(term) as terms, review_status, case when lower(status_term) like '%current%'
-  then 'current' when lower(status_term) like '%replac%' then 'replaced' else 'unknown' end as record_status,
- submitter_name, cast(date_last_evaluated as varchar) as date_last_evaluated,
- 'SYN:C'||substr(submitter_name,5) as citations, 1 as observed_in_count from x
- union all select vcv, 1, vcv, 'source_computed_aggregate', 'unknown', '', null, 'unknown', null, null,
- 'SYN:C'||substr(submitter_name,5), 1 from x""",
+    + " select " + _SHOWN_ASSERTION.replace("{level}", "source_submitted") + " from x union all select "
+    + _SHOWN_ASSERTION.replace("{level}", "source_computed_aggregate") + " from y",
     "scv_relationships": _XML
-    + """ select source_accession as scv_accession, vcv as vcv_accession,
- 'contributes_to_aggregate' as predicate from x""",
+    + """ select source_accession as scv_accession, vcv_accession, 'contributes_to_aggregate' as predicate from x""",
     "vcv_conditions": _XML
     + """ select distinct 'C'||substr(submitter_name,5) as source_identifier,
- 'SYN' as source_identifier_type, 'condition '||submitter_name as source_name from x""",
+ 'SYN' as source_identifier_type, 'condition '||submitter_name as source_name from x
+ union select 'C99', 'SYN', 'shared condition' from x where o%3=0""",
+    "assertion_conditions": _XML
+    + """ select source_accession, kind as classification_type, 'C'||substr(submitter_name,5) as source_identifier,
+ 'condition '||submitter_name as source_name from x
+ union all select source_accession, kind, 'C99', 'shared condition' from x where o%3=0""",
     "artifact_inventory": """with s as (select s_suppkey as k, s_name||'|'||s_nationkey as v from supplier)
  select 'file-'||k as artifact, case when k%7=3 then 'missing' when k%11=4 then 'size_mismatch'
   else 'checksum_mismatch' end as problem from s
