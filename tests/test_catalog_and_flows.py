@@ -12,18 +12,34 @@ from varloom.streaming import arrivals
 
 def test_publish_verify_and_tamper(spark, folder):
     root = folder + "/run"
-    flows.publish(spark, {"a": spark.range(3), "b": spark.createDataFrame([], "x string")}, root)
+    tables = {
+        "a": (spark.range(30, 0, -1).repartition(4), "id bigint, half double", ["id"]),
+        "b": (spark.createDataFrame([], "x string"), "x int, m map<string,int>", []),
+    }
+    tables["a"] = (tables["a"][0].withColumn("half", F.col("id") / 2), *tables["a"][1:])
+    tables["b"] = (tables["b"][0].withColumn("m", F.lit(None)), *tables["b"][1:])
+    catalog.publish_run(spark, tables, root, file_bytes=160)
     assert catalog.verify_run(spark, root).count() == 0
-    assert spark.read.parquet(root + "/b").columns == ["x"]
+    assert spark.read.parquet(root + "/b").dtypes == [("x", "int"), ("m", "map<string,int>")]
+    files = sorted(f for f in os.listdir(root + "/a") if f.endswith(".parquet"))
+    assert len(files) >= 3
+    ends = [spark.read.parquet(f"{root}/a/{f}").agg(F.min("id"), F.max("id"), F.count("*")).first() for f in files]
+    assert all(n <= 10 for _, _, n in ends)
+    ends.sort()
+    assert all(x[1] < y[0] for x, y in zip(ends, ends[1:]))
+    told = {r.table_name: (r.row_count, r.column_types) for r in spark.read.parquet(f"{root}/{catalog.TABLES}").collect()}
+    assert told == {"a": (30, "id bigint,half double"), "b": (0, "x int,m map<string,int>")}
     with pytest.raises(Exception, match="(?i)exist"):
         catalog.write_table(spark.range(1), root + "/a")
+    with pytest.raises(ValueError, match="published once"):
+        catalog.publish_run(spark, tables, root)
     with open(f"{root}/extra.txt", "w") as handle:
         handle.write("x")
     actual = catalog.inventory(spark, root)
     names = [r["artifact"] for r in actual.where("artifact like 'a/%.parquet'").orderBy("artifact").collect()]
     declared = spark.read.parquet(f"{root}/{catalog.MANIFEST}").withColumns(
         {
-            "sha256": F.when(F.col("artifact") == names[0], F.lit("0")).otherwise(F.col("sha256")),
+            "sha256": F.when(F.col("artifact") == names[0], F.lit("0")).when(F.col("artifact") != names[2], F.col("sha256")),
             "byte_size": F.when(F.col("artifact") == names[1], F.lit(1)).otherwise(F.col("byte_size")),
         }
     ).unionByName(spark.createDataFrame([("gone", "1", 1)], catalog.INVENTORY_SCHEMA))
@@ -31,11 +47,32 @@ def test_publish_verify_and_tamper(spark, folder):
     assert dict(rows(catalog.artifact_mismatches(declared, actual))) == {
         names[0]: "checksum_mismatch",
         names[1]: "size_mismatch",
+        names[2]: "not_digested",
         "extra.txt": "undeclared",
         "gone": "missing",
     }
 
 
+def test_a_failed_publication_leaves_nothing(spark, folder):
+    root = folder + "/run"
+    bad = spark.range(3).withColumn("x", F.raise_error(F.lit("no")).cast("string"))
+    with pytest.raises(Exception, match="no"):
+        catalog.publish_run(spark, {"a": (spark.range(3), None, ["id"]), "b": (bad, None, [])}, root)
+    assert not os.path.exists(root)
+    flows.publish(spark, {"a": spark.range(3)}, root)
+    assert catalog.verify_run(spark, root).count() == 0
+    spark.range(2).write.mode("overwrite").parquet(root + "/a")
+    assert ("a", "row_count_mismatch") in rows(catalog.verify_run(spark, root))
+
+
+def test_files_too_long_to_digest_are_told(spark, write, monkeypatch):
+    path = write("d/one.bin", b"hello")
+    write("d/two.bin", b"hello hello")
+    monkeypatch.setattr(catalog, "DIGEST_BYTES", 6)
+    got = {r.uri.rsplit("/", 1)[1]: (r.sha256 is None, r.byte_size) for r in catalog.file_digests(spark, os.path.dirname(path)).collect()}
+    assert got == {"one.bin": (False, 5), "two.bin": (True, 11)}
+
+
 def test_digests(spark, write):
     path = write("d/one.bin", b"hello" * 1000)
     want = hashlib.sha256(b"hello" * 1000).hexdigest()
@@ -73,7 +110,7 @@ def test_run_catalog(spark, folder):
         catalog.resolve_latest(known, "M2", {"assembly": "GRCh37"})
     with pytest.raises(ValueError, match="holds no run"):
         catalog.resolve_latest(known, "M9", {})
-    with pytest.raises(ValueError, match="conflict"):
+    with pytest.raises(ValueError, match="other content"):
         catalog.register(path, entry("r2", "other"))
     assert catalog.run_id("M2", "a") == catalog.run_id("M2", "a") != catalog.run_id("M2", "b")
 

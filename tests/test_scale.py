@@ -99,3 +99,18 @@ def test_one_value_and_blocks(spark):
     left = spark.range(3).select(F.col("id").alias("q"))
     met = scale.in_blocks(left, spark.range(50), "id", F.col("id"), 7).select("q", F.explode("block").alias("t"))
     assert sorted(tuple(r) for r in met.collect()) == [(q, t) for q in range(3) for t in range(50)]
+
+
+def test_order_violations_meet_across_ranges(skewed, spark):
+    from varloom.operators import checks as ck
+
+    w = Window.partitionBy("k").orderBy("i")
+    for keys in (["k"], []):
+        own = w if keys else Window.orderBy("i")
+        for strict in (True, False):
+            prior = F.lag("x").over(own)
+            plain = skewed.withColumn("p", prior).where(F.col("x") <= F.col("p") if strict else F.col("x") < F.col("p"))
+            got = ck.order_violations(skewed, keys, "i", ["x"], strict)
+            assert got.columns == skewed.columns
+            assert rows(got, "k", "i") == rows(plain, "k", "i")
+    assert ck.order_violations(skewed.limit(0), [], "i", ["x"]).count() == 0

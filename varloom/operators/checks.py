@@ -2,9 +2,9 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from varloom.operators.scale import previous_value
+from varloom.operators.scale import in_ranges
 
 
 def union(*parts: DataFrame) -> DataFrame:
@@ -62,14 +62,28 @@ def count_mismatches(declared: DataFrame, actual: DataFrame, keys: list[str]) ->
     ).where("declared <> actual")
 
 
-def order_violations(
-    df: DataFrame, keys: list[str], index: str, columns: list[str], width: int = 65536, strict: bool = True
-) -> DataFrame:
-    """Rows that are not after (``strict``) or not before their predecessor in ``index`` order."""
-    packed = df.withColumn("_value", F.struct(*columns))
-    prior = previous_value(packed, keys, index, "_value", width, "_prior")
-    bad = F.col("_value") <= F.col("_prior") if strict else F.col("_value") < F.col("_prior")
-    return prior.where(F.col("_prior").isNotNull() & bad).drop("_value", "_prior")
+def order_violations(df: DataFrame, keys: list[str], index: str, columns: list[str], strict: bool = True) -> DataFrame:
+    """Rows that are not after (``strict``) or not before their predecessor in ``index`` order, inside each key (or of all rows).
+
+    Rows are cut into ranges of (keys, index), which follow the rows whatever the keys: predecessors are found inside a range, and
+    the first row of a range meets the last one of the range before it that has the key, through a table of one row per key and range.
+    """
+    ranged = in_ranges(df.withColumn("_value", F.struct(*columns)), keys, [index])
+    inside = Window.partitionBy(*keys, "_range").orderBy(index)
+    ends = ranged.groupBy(*keys, "_range").agg(F.max_by("_value", index).alias("_last"))
+    carried = ends.select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+        F.col("_range").alias("_r"),
+        F.lag("_last").over(Window.partitionBy(*keys).orderBy("_range")).alias("_carried"),
+    )
+    same = F.col("_range") == F.col("_r")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    rows = ranged.withColumn("_before", F.lag("_value").over(inside)).withColumn("_first", F.row_number().over(inside) == 1)
+    met = rows.join(carried, same, "left")
+    prior = F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_before"))
+    bad = F.col("_value") <= prior if strict else F.col("_value") < prior
+    return met.where(prior.isNotNull() & bad).select(*df.columns)
 
 
 def gram_violations(loadings: DataFrame, tolerance: float) -> DataFrame:

@@ -356,7 +356,5 @@ def analyze_family(
 
 
 def publish(spark: SparkSession, tables: dict[str, DataFrame], root: str) -> None:
-    """Write every table once below ``root`` and the artifact manifest last."""
-    for name, df in tables.items():
-        catalog.write_table(df, f"{root}/{name}")
-    catalog.publish_manifest(spark, root)
+    """Publish ``tables`` as one run under ``root``: each in the order of its first column (its content id), the manifest last."""
+    catalog.publish_run(spark, {name: (df, None, df.columns[:1]) for name, df in tables.items()}, root)

@@ -14,6 +14,7 @@ from varloom.plans import catalog, flows, reports
 from varloom.plans.driver_views import TILE, ctes, table, view
 from varloom.sources import genotype_text as gt, reference_files as rf, vcv_xml as vx
 from varloom.sources.lines import scan_lines
+from varloom.streaming import arrivals
 
 CHUNK = 4096
 
@@ -346,6 +347,72 @@ def artifact_inventory(spark, sf_dir):
     return catalog.artifact_mismatches(declared, actual)
 
 
+#: Declared tables of the published run below: name, declared types, sort columns.
+RUN_TABLES = {
+    "suppliers": ("supplier_id bigint, name string", ["supplier_id"]),
+    "customers": ("customer_id bigint, name string, nation int", ["customer_id"]),
+    "orders": ("order_id bigint, total decimal(15,2)", ["order_id"]),
+    "no_parts": ("part_id bigint, label string, weights array<double>", ["part_id"]),
+}
+
+
+def published_run(spark, sf_dir):
+    """Publish four tables as one run (one of them without rows), append to one, overwrite another, and verify all."""
+    customers = table(spark, sf_dir, "customer").selectExpr("c_custkey as customer_id", "c_name as name", "c_nationkey as nation")
+    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey as order_id", "cast(o_totalprice as decimal(15,2)) as total")
+    rows = {
+        "suppliers": table(spark, sf_dir, "supplier").selectExpr("s_suppkey as supplier_id", "s_name as name"),
+        "customers": customers,
+        "orders": orders,
+        "no_parts": table(spark, sf_dir, "part").where("p_partkey < 0").selectExpr(
+            "p_partkey as part_id", "p_name as label", "array(cast(p_size as double)) as weights"
+        ),
+    }
+    root = _fresh(spark, "published") + "/run"
+    catalog.publish_run(spark, {n: (rows[n], *how) for n, how in RUN_TABLES.items()}, root, file_bytes=1 << 20)
+    nations = table(spark, sf_dir, "nation").selectExpr(
+        "cast(n_nationkey as bigint) as customer_id", "n_name as name", "cast(n_nationkey as int) as nation"
+    )
+    nations.write.mode("append").parquet(f"{root}/customers")
+    half = orders.where("order_id % 2 = 0").select(F.col("order_id").cast("bigint"), "total")
+    half.repartitionByRange("order_id").write.mode("overwrite").parquet(f"{root}/orders")
+    found = catalog.verify_run(spark, root).select(F.split("artifact", "/")[0].alias("table_name"), "problem").distinct()
+    told = spark.read.schema(catalog.TABLES_SCHEMA).parquet(f"{root}/{catalog.TABLES}")
+    return told.join(found, "table_name", "left")
+
+
+def arriving_uploads(spark, sf_dir):
+    """Uploads arrive twice, the second time with late copies under new names; each content is ingested once."""
+    calls = view(spark, sf_dir, "numbered_calls")
+    upload = F.concat_ws("-", "sample_id", F.floor((F.col("source_line_number") - 1) / CHUNK).cast("string"))
+    text = calls.select(
+        upload.alias("source"),
+        F.struct(
+            "source_line_number",
+            F.concat_ws("\t", "source_marker_id", "source_chromosome", F.col("source_position").cast("string"), "raw_genotype").alias("line"),
+        ).alias("l"),
+    )
+    lines = F.array_join(F.transform(F.array_sort(F.collect_list("l")), lambda l: l["line"]), "\n")
+    files = text.groupBy("source").agg(F.concat(F.lit("# rsid\tchromosome\tposition\tgenotype\n"), lines).alias("value"))
+    root = _fresh(spark, "arrivals")
+    parts = F.pmod(F.xxhash64("source"), F.lit(16))
+    first = files.withColumn("box", parts)
+    # whole uploads as records of a few files, so that many uploads are no folder each
+    first.groupBy("box").agg(F.array_join(F.array_sort(F.collect_list("value")), "\n").alias("value")).repartitionByRange("box").select(
+        "value"
+    ).write.text(f"{root}/in")
+    target, marks = f"{root}/out", f"{root}/marks"
+    arrivals.stream(spark, f"{root}/in", target, marks).awaitTermination()
+    # the same contents again, under other names
+    spark.read.text(f"{root}/in", wholetext=True).select(F.regexp_replace("value", "\n$", "").alias("value")).write.mode("append").text(f"{root}/in")
+    arrivals.stream(spark, f"{root}/in", target, marks).awaitTermination()
+    return (
+        spark.read.parquet(f"{target}/observations")
+        .groupBy("source_marker_id", "source_chromosome", "source_position")
+        .agg(F.count("*").alias("rows"), F.count_if(F.col("call_status") == "no_call").alias("no_calls"))
+    )
+
+
 def latest_runs(spark, sf_dir):
     """Newest run per milestone, with the verdict of a constraint request."""
     runs = table(spark, sf_dir, "orders").select(
@@ -403,6 +470,8 @@ QUERIES = {
         vcv_conditions,
         assertion_conditions,
         artifact_inventory,
+        published_run,
+        arriving_uploads,
         latest_runs,
         end_to_end_summary,
         qc_report,
@@ -526,6 +595,18 @@ ORACLE = {
   else 'checksum_mismatch' end as problem from s
  where k%7=3 or k%11=4 or (k%13=5 and translate(v,'S','s')<>v)
  union all select 'file-'||(k+1000000), 'undeclared' from s where k%17=6""",
+    "published_run": """with t as (
+  select 'suppliers' as table_name, (select count(*) from supplier) as row_count, 'supplier_id bigint,name string' as column_types,
+   'supplier_id' as sort_columns, unnest([null::varchar]) as problem
+  union all select 'customers', (select count(*) from customer), 'customer_id bigint,name string,nation int', 'customer_id',
+   unnest(['undeclared','row_count_mismatch','order_mismatch'])
+  union all select 'orders', (select count(*) from orders), 'order_id bigint,total decimal(15,2)', 'order_id',
+   unnest(['missing','undeclared','row_count_mismatch'])
+  union all select 'no_parts', 0, 'part_id bigint,label string,weights array<double>', 'part_id', unnest([null::varchar]))
+ select * from t""",
+    "arriving_uploads": ctes("numbered_calls")
+    + f""" select source_marker_id, source_chromosome, source_position, count(*) as rows,
+ count(*) filter ({_NOCALL}) as no_calls from numbered_calls group by all""",
     "latest_runs": """with r as (select 'M'||(o_custkey%97) as milestone, 'run-'||o_orderkey as run_id,
   'subject-'||o_custkey as subject_id, o_orderstatus='O' as compatible,
   row_number() over (partition by o_custkey%97 order by o_orderdate desc, 'run-'||o_orderkey desc) as n

@@ -176,12 +176,8 @@ def mixed_releases(spark, sf_dir):
 
 def order_violations(spark, sf_dir):
     """Model variants read in key order, checked for canonical (text) order of their position."""
-    rows = view(spark, sf_dir, "pgs_variants").select(
-        F.lit("bundle").alias("bundle"), "p", "pgs_id", "chromosome", "position"
-    )
-    return ck.order_violations(rows, ["bundle"], "p", ["chromosome", "position"]).select(
-        "p", "pgs_id", "chromosome", "position"
-    )
+    rows = view(spark, sf_dir, "pgs_variants").select("p", "pgs_id", "chromosome", "position")
+    return ck.order_violations(rows, [], "p", ["chromosome", "position"])
 
 
 def mapping_violations(spark, sf_dir):
