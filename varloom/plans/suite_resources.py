@@ -1,10 +1,14 @@
 """Registered lookup and constraint-check queries and their SQL counterparts."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from varloom.operators import checks as ck, links as lk, lookup as lu, normalize as nz
+from varloom.operators import checks as ck, links as lk, lookup as lu, normalize as nz, projection as pj
+from varloom.operators.materialize import checkpoint_root
 from varloom.plans import suite_normalize, suite_structure
 from varloom.plans.driver_views import ctes, table, view
+from varloom.sources import bundles
 
 
 def _source(spark, sf_dir):
@@ -174,6 +178,104 @@ def mixed_releases(spark, sf_dir):
     return ck.mixed_releases(view(spark, sf_dir, "pgx_alleles"))
 
 
+def _pgx_bundle(spark, sf_dir):
+    """A pharmacogene bundle written from the views, with faults of every kind in some of its rows."""
+    genes, loci = view(spark, sf_dir, "pgx_genes"), view(spark, sf_dir, "pgx_loci")
+    alleles, constraints = view(spark, sf_dir, "pgx_alleles"), view(spark, sf_dir, "pgx_constraints")
+    tables = {
+        "sources": alleles.select("source_id").distinct().selectExpr(
+            "source_id", "'1' as version", "case source_id when 'src1' then 'http' else 'https' end || '://example.org/' || source_id as url",
+            "sha2(source_id, 256) as sha256", "'open' as license", "source_id as content_fingerprint",
+        ),
+        # a gene in 39 is not written, one in 51 is written twice, one in 33 has a strategy that is none
+        "genes": genes.where("g % 39 <> 12").selectExpr(
+            "gene_id", "case when g % 33 = 9 then 'guess' else strategy end as strategy", "explode(sequence(1, if(g % 51 = 15, 2, 1))) as copy"
+        ),
+        # positions are text; some are no numbers, some not positive
+        "loci": loci.selectExpr(
+            "locus_id", "gene_id", "assembly", "chromosome",
+            "case when p % 37 = 5 then 'x' || position when p % 41 = 6 then '-1' else cast(position as string) end as position",
+            "case when p % 43 = 7 then alternate else reference end as reference",
+            "case when p % 47 = 8 then lower(alternate) else alternate end as alternate",
+        ),
+        "alleles": alleles.selectExpr(
+            "allele_id", "gene_id", "case when g % 45 = 6 and a = 1 then null else status end as status",
+            "case when g % 63 = 9 and a = 2 then 'src9' else source_id end as source_id", "source_version",
+        ),
+        "allele_locus_constraints": constraints.selectExpr(
+            "allele_id", "locus_id",
+            "case when length(allele_id || locus_id || state) * cast(substr(locus_id, 2, 9) as int) % 61 = 3 then 'unsupported_structural_requirement'"
+            " when length(allele_id || locus_id || state) * cast(substr(locus_id, 2, 9) as int) % 61 = 4 then 'maybe' else state end as state",
+        ),
+        # allele 1 with allele 3, which is retired; every second rule says that it is historical
+        "diplotype_phenotype_rules": genes.selectExpr(
+            "'rule-' || gene_id as rule_id", "gene_id", "gene_id || '*001' as allele_a",
+            "case when g % 57 = 6 then 'none' else gene_id || '*003' end as allele_b", "'src' || g % 2 as source_id", "'v1' as source_version",
+            "if(g % 2 = 0, true, null) as historical_mapping",
+        ),
+    }
+    return _written(spark, tables)
+
+
+def pgx_bundle_violations(spark, sf_dir):
+    """A tampered pharmacogene bundle: bad fields, repeated keys, lost parents, unsupported sites, retired alleles, mixed releases."""
+    return bundles.validated(spark, _pgx_bundle(spark, sf_dir), "pharmacogene", bundles.validate_pharmacogene_bundle)
+
+
+def _written(spark, tables):
+    root = f"{checkpoint_root(spark)}/varloom-derived/{uuid.uuid4().hex}/bundle"
+    for name, rows in tables.items():
+        rows.write.parquet(f"{root}/{name}")
+    return root
+
+
+def score_bundle_violations(spark, sf_dir):
+    """A tampered score bundle: invalid weights, foreign effect alleles, lost models, wrong counts, and no exclusions at all."""
+    models, variants = view(spark, sf_dir, "pgs_models"), view(spark, sf_dir, "pgs_variants")
+    root = _written(
+        spark,
+        {
+            "models": models.where("key % 58 <> 10").selectExpr(
+                "pgs_id", "model_version", "if(key % 62 = 12, 'GRCh37', 'GRCh38') as assembly", "'https://example.org/' || pgs_id as source_url",
+                "if(key % 74 = 14, null, 'open') as license", "declared_variant_count", "completeness_policy",
+            ),
+            "model_variants": variants.selectExpr(
+                "pgs_id", "assembly", "chromosome", "position", "reference", "alternate",
+                "if(p % 59 = 5, if(reference <> 'T' and alternate <> 'T', 'T', 'N'), effect_allele) as effect_allele", "effect_weight",
+            ),
+        },
+    )
+    return bundles.validated(spark, root, "score", bundles.validate_score_bundle)
+
+
+def projection_bundle_violations(spark, sf_dir):
+    """A tampered projection bundle: short vectors, unknown groups, wrong counts, loadings that are not orthonormal, wrong summaries."""
+    loadings = view(spark, sf_dir, "pca_loadings").where("model_id = 'pca1'")
+    scores = view(spark, sf_dir, "pca_scores").selectExpr(
+        "reference_sample_id", "if(vec_id % 97 = 5, 'g-none', reference_group_id) as reference_group_id",
+        "slice(cast(embedding as array<double>), 1, if(vec_id % 89 = 7, 1, 2)) as scores",
+    )
+    groups = scores.groupBy("reference_group_id").count().where("reference_group_id <> 'g-none'").selectExpr(
+        "reference_group_id", "if(reference_group_id = 'g1', count + 1, count) as declared_sample_count"
+    )
+    right = pj.component_spread(scores.where("size(scores) = 2"))
+    root = _written(
+        spark,
+        {
+            "variant_loadings": loadings.selectExpr(
+                "model_variant_id", "assembly", "chromosome", "position", "reference", "alternate",
+                "if(p % 61 = 6, reference, effect_allele) as effect_allele", "if(p % 67 = 8, array(l1), array(l1, l2)) as loadings",
+            ),
+            "reference_scores": scores,
+            "reference_groups": groups,
+            "component_metadata": right.selectExpr(
+                "component_index", "score_mean as declared_mean", "if(component_index = 2, score_sd + 1, score_sd) as declared_sd"
+            ),
+        },
+    )
+    return bundles.validated(spark, root, "projection", lambda tables: bundles.validate_projection_bundle(tables, 2, 1e-6))
+
+
 def order_violations(spark, sf_dir):
     """Model variants read in key order, checked for canonical (text) order of their position."""
     rows = view(spark, sf_dir, "pgs_variants").select("p", "pgs_id", "chromosome", "position")
@@ -283,6 +385,9 @@ QUERIES = {
         bundle_rule_violations,
         mixed_releases,
         order_violations,
+        pgx_bundle_violations,
+        score_bundle_violations,
+        projection_bundle_violations,
         mapping_violations,
         record_violations,
         lineage_violations,
@@ -402,6 +507,65 @@ ORACLE = {
     "mixed_releases": ctes("pgx_alleles")
     + """ select gene_id, source_id, count(distinct source_version) as versions from pgx_alleles
  group by all having count(distinct source_version)>1""",
+    "pgx_bundle_violations": ctes("pgx_genes", "pgx_loci", "pgx_alleles", "pgx_constraints")
+    + """, ge as (select gene_id, g, case when g%33=9 then 'guess' else strategy end as strategy from pgx_genes where g%39<>12),
+ lo as (select locus_id, gene_id, p, chromosome, case when p%37=5 then null when p%41=6 then -1 else position end as position,
+   case when p%43=7 then alternate else reference end as reference, case when p%47=8 then lower(alternate) else alternate end as alternate
+   from pgx_loci),
+ al as (select allele_id, gene_id, g, a, case when g%45=6 and a=1 then null else status end as status,
+   case when g%63=9 and a=2 then 'src9' else source_id end as source_id, source_version from pgx_alleles),
+ co as (select allele_id, locus_id, case when (length(allele_id||locus_id||state)*cast(substr(locus_id,2,9) as int))%61=3 then 'unsupported_structural_requirement'
+    when (length(allele_id||locus_id||state)*cast(substr(locus_id,2,9) as int))%61=4 then 'maybe' else state end as state from pgx_constraints),
+ ru as (select 'rule-'||gene_id as rule_id, gene_id, g, gene_id||'*001' as allele_a,
+   case when g%57=6 then 'none' else gene_id||'*003' end as allele_b, 'src'||(g%2) as source_id, 'v1' as source_version,
+   g%2=0 as historical from pgx_genes),
+ cited as (select gene_id, source_id, source_version from al union all select gene_id, source_id, source_version from ru)
+ select 'sources' as table_name, 'src1' as key, 'url' as field, 'rule' as problem where exists (select 1 from pgx_alleles where source_id='src1')
+ union all select 'genes', gene_id, 'strategy', 'rule' from ge, range(0,2) t(i) where strategy='guess' and i<case when g%51=15 then 2 else 1 end
+ union all select 'genes', gene_id, '', 'duplicate_key' from ge where g%51=15
+ union all select 'loci', locus_id, 'position', case when position is null then 'type' else 'rule' end from lo where coalesce(position,0)<=0
+ union all select 'loci', locus_id, 'alternate', 'rule' from lo where p%47=8
+ union all select 'loci', locus_id, 'chromosome', 'unsupported_site' from lo where reference=alternate
+ union all select 'loci', locus_id, 'gene_id', 'unknown_parent' from lo where gene_id not in (select gene_id from ge)
+ union all select 'alleles', allele_id, 'status', 'null' from al where status is null
+ union all select 'alleles', allele_id, 'source_id', 'unknown_parent' from al where source_id='src9'
+ union all select 'alleles', allele_id, 'gene_id', 'unknown_parent' from al where gene_id not in (select gene_id from ge)
+ union all select 'alleles', allele_id, '', 'allele_without_constraint' from al where allele_id not in (select allele_id from co)
+ union all select 'alleles', allele_id, '', 'structural_constraint_in_matchable_gene' from al join ge using (gene_id), range(0,2) t(i)
+   where strategy='star_haplotype_small_variant' and i<case when ge.g%51=15 then 2 else 1 end
+   and allele_id in (select allele_id from co where state='unsupported_structural_requirement')
+ union all select 'allele_locus_constraints', allele_id||'|'||locus_id, 'state', 'rule' from co where state='maybe'
+ union all select 'diplotype_phenotype_rules', rule_id, 'allele_b', 'unknown_parent' from ru where allele_b not in (select allele_id from al)
+ union all select 'diplotype_phenotype_rules', rule_id, 'allele_a', 'unknown_parent' from ru where allele_a not in (select allele_id from al)
+ union all select 'diplotype_phenotype_rules', rule_id, '', 'retired_allele_rule' from ru where not historical
+   and (allele_a in (select allele_id from al where status='retired') or allele_b in (select allele_id from al where status='retired'))
+ union all select 'sources', gene_id||'|'||source_id, 'source_version', 'mixed_releases' from cited group by gene_id, source_id
+   having count(distinct source_version)>1""",
+    "score_bundle_violations": ctes("pgs_models", "pgs_variants")
+    + """, m as (select * from pgs_models where key%58<>10),
+ v as (select *, concat_ws('|',pgs_id,assembly,chromosome,position,reference,alternate) as site,
+   case when p%59=5 then case when reference<>'T' and alternate<>'T' then 'T' else 'N' end else effect_allele end as eff from pgs_variants)
+ select 'model_exclusions' as table_name, '' as key, '' as field, 'table_missing' as problem
+ union all select 'models', pgs_id, 'assembly', 'rule' from m where key%62=12
+ union all select 'models', pgs_id, 'license', 'null' from m where key%74=14
+ union all select 'model_variants', site, 'effect_allele', 'rule' from v where eff='N'
+ union all select 'model_variants', site, 'effect_allele', 'not_an_allele' from v where eff not in (reference, alternate)
+ union all select 'model_variants', site, 'effect_weight', 'no_exact_number' from v where p%97 in (13,14,15)
+ union all select 'model_variants', site, 'pgs_id', 'unknown_parent' from v where pgs_id not in (select pgs_id from m)
+ union all select 'models', pgs_id, 'declared_variant_count', 'count_mismatch' from m
+   where declared_variant_count<>(select count(*) from pgs_variants v where v.pgs_id=m.pgs_id)""",
+    "projection_bundle_violations": ctes("pca_loadings", "pca_scores")
+    + """, l as (select * from pca_loadings where model_id='pca1'), w as (select * from l where p%67<>8),
+ s as (select *, case when vec_id%97=5 then 'g-none' else reference_group_id end as gid from pca_scores)
+ select 'variant_loadings' as table_name, model_variant_id as key, 'chromosome' as field, 'unsupported_site' as problem from l where p%61=6
+ union all select 'variant_loadings', model_variant_id, 'loadings', 'vector_length' from l where p%67=8
+ union all select 'reference_scores', reference_sample_id, 'scores', 'vector_length' from s where vec_id%89=7
+ union all select 'reference_scores', reference_sample_id, 'reference_group_id', 'unknown_parent' from s where gid='g-none'
+ union all select 'reference_groups', 'g1', 'declared_sample_count', 'count_mismatch' where exists (select 1 from s where gid='g1')
+ union all select 'component_metadata', '2', 'declared_mean', 'summary_mismatch'
+ union all select 'variant_loadings', '1,1', 'loadings', 'not_orthonormal' from (select sum(l1*l1) q from w) where abs(q-1)>1e-6
+ union all select 'variant_loadings', k, 'loadings', 'not_orthonormal' from (select sum(l1*l2) q from w), (values ('1,2'),('2,1')) t(k) where abs(q)>1e-6
+ union all select 'variant_loadings', '2,2', 'loadings', 'not_orthonormal' from (select sum(l2*l2) q from w) where abs(q-1)>1e-6""",
     "order_violations": ctes("pgs_variants")
     + """, l as (select p, pgs_id, chromosome, position, lag(chromosome) over (order by p) as c0,
    lag(position) over (order by p) as p0 from pgs_variants)
