@@ -122,8 +122,10 @@ select chromosome, position-1, chromosome, position+9 from ({PARTS}) b where p%3
 SAMPLE_CALLS = """
 select sample_id, s, p, 'var-' || cast(p as string) as variant_id,
   case when k in (0,2) then null when k=1 then 1 else 2 end as ploidy,
-  case when k in (0,2) then null when k<8 then 0 when k<13 then 1 else 2 end as alt_count
-from (select 'subject-' || lpad(cast(l_suppkey as string),10,'0') as sample_id, l_suppkey as s,
+  case when k in (0,2) then null when k<8 then 0 when k<13 then 1 else 2 end as alt_count,
+  'gt-' || cast(o as string) || '-' || cast(n as string) as genotype_id, 'line-' || cast(o as string) || '-' || cast(n as string)
+    as observation_reference
+from (select l_orderkey as o, l_linenumber as n, 'subject-' || lpad(cast(l_suppkey as string),10,'0') as sample_id, l_suppkey as s,
     l_partkey as p, (l_orderkey+l_linenumber)%16 as k from {lineitem}) a
 """
 

@@ -118,9 +118,50 @@ def profile_arrays(spark, sf_dir):
     )
 
 
+def _conditions(spark, sf_dir):
+    """Conditions of submitted assertions, and their links: one per submitter, a shared one for every third order."""
+    rows = view(spark, sf_dir, "assertions").where("assertion_level = 'source_submitted'")
+    number = F.substring("source_accession", 4, 20).cast("bigint")
+    own = F.concat(F.lit("cond-"), F.translate("submitter_name", " ", "-"))
+    ids = F.array_compact(F.array(own, F.when(number % 3 == 0, F.lit("cond-shared"))))
+    links = rows.select("assertion_id", F.explode(ids).alias("condition_id"))
+    names = links.select("condition_id").distinct()
+    return links, names.withColumn("source_name", F.concat(F.lit("condition of "), F.substring("condition_id", 6, 20)))
+
+
+def profile_evidence(spark, sf_dir):
+    """Ids, names and submitters behind each linked variant, an array per field."""
+    links, conditions = _conditions(spark, sf_dir)
+    members = rv.profile_members(_links(spark, sf_dir), _assertions(spark, sf_dir), links, conditions)
+    out = rv.profile_evidence(members)
+    return out.select("variant_id", *[F.array_join(c, "|").alias(c) for c in rv.PROFILE_FIELDS])
+
+
+def _genotypes(spark, sf_dir):
+    calls = view(spark, sf_dir, "sample_calls")
+    return rv.genotype_members(calls, rv.evidence_summary(_routed(spark, sf_dir), POLICY))
+
+
+def profile_genotypes(spark, sf_dir):
+    """Genotype rows of each profile in id order."""
+    out = rv.profile_genotypes(_genotypes(spark, sf_dir))
+    return out.select(
+        "sample_id", "variant_id", "genotype_count",
+        *[F.array_join(F.col(c).cast("array<string>"), "|").alias(c) for c in out.columns[3:]],
+    )
+
+
+def rationale_genotypes(spark, sf_dir):
+    """Genotype and observation ids behind every rationale."""
+    return rv.rationale_genotypes(rationales(spark, sf_dir), _genotypes(spark, sf_dir))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
+        profile_evidence,
+        profile_genotypes,
+        rationale_genotypes,
         genotype_states,
         exact_allele_links,
         link_qc,
@@ -321,3 +362,31 @@ from e""",
  case when bool_or(age_days is null) then 'date_last_evaluated' else '' end as missing_indicators
 from routed group by variant_id""",
 }
+
+_MEMBERS = """
+mt as (select distinct variant_id, representation_id from links where outcome='matched'),
+ms as (select mt.variant_id, a.*, source_accession||'.'||accession_version as logical_key,
+   cast(case when assertion_level='source_submitted' then substr(source_accession,4) end as bigint) as o from mt join assertions a using (representation_id)),
+cn as (select distinct variant_id, 'cond-'||replace(submitter_name,' ','-') as cid from ms where assertion_level='source_submitted'
+  union select variant_id, 'cond-shared' from ms where assertion_level='source_submitted' and o%3=0)
+"""
+ORACLE["profile_evidence"] = _L.replace(ctes("representations", "variants"), ctes("representations", "variants", "assertions")) + "," + _MEMBERS + """
+ select m.variant_id, (select string_agg(representation_id,'|' order by representation_id) from mt where mt.variant_id=m.variant_id) as representation_ids,
+  coalesce(string_agg(assertion_id,'|' order by assertion_id),'') as assertion_ids,
+  coalesce(string_agg(assertion_id,'|' order by assertion_id) filter (assertion_level='source_submitted'),'') as scv_assertion_ids,
+  coalesce(string_agg(assertion_id,'|' order by assertion_id) filter (assertion_level<>'source_submitted'),'') as vcv_assertion_ids,
+  coalesce(string_agg(logical_key,'|' order by assertion_id) filter (assertion_id is not null),'') as logical_source_keys,
+  coalesce(string_agg(submitter_name,'|' order by assertion_id),'') as submitters,
+  coalesce((select string_agg(cid,'|' order by cid) from cn where cn.variant_id=m.variant_id),'') as condition_ids,
+  coalesce((select string_agg('condition of '||substr(cid,6),'|' order by cid) from cn where cn.variant_id=m.variant_id),'') as condition_names
+ from (select distinct variant_id from mt) m left join ms using (variant_id) group by m.variant_id"""
+_GENOTYPES = ", gm as (select c.* from sample_calls c where alt_count is not null and variant_id in (select variant_id from summary))"
+ORACLE["profile_genotypes"] = _P + _GENOTYPES + """
+ select sample_id, variant_id, count(*) as genotype_count, string_agg(genotype_id,'|' order by genotype_id, observation_reference) as genotype_ids,
+  string_agg(observation_reference,'|' order by genotype_id, observation_reference) as observation_references,
+  string_agg(cast(ploidy as varchar),'|' order by genotype_id, observation_reference, ploidy) as ploidies,
+  string_agg(cast(alt_count as varchar),'|' order by genotype_id, observation_reference, ploidy, alt_count) as alt_allele_counts
+ from gm group by all"""
+ORACLE["rationale_genotypes"] = _P + _GENOTYPES + ORACLE["rationales"][len(_P):].split("select 'rationale-'", 1)[0].rstrip() + """,
+ rt as (select 'rationale-'||sha256(concat_ws(chr(31),candidate_id,code)) as rationale_id, sample_id, variant_id from e)
+ select rationale_id, genotype_id, observation_reference from rt join gm using (sample_id, variant_id)"""
