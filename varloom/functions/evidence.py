@@ -21,11 +21,6 @@ def record_status(term: Column) -> Column:
     )
 
 
-def classification_type(element: Column) -> Column:
-    pairs = [F.lit(x) for x in chain(*vocab.CLASSIFICATION_ELEMENTS.items())]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), element), F.lit("unknown"))
-
-
 def lenient_date(text: Column) -> Column:
     head = F.substring(text, 1, 10)
     return F.when(head.rlike(r"^\d{4}-\d{2}-\d{2}$"), head.try_cast("date"))

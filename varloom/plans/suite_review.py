@@ -6,6 +6,7 @@ from varloom import vocab
 from varloom.functions.evidence import record_status
 from varloom.operators import links as lk, review as rv
 from varloom.operators.calls import collapse, genotype_state
+from varloom.plans import reports
 from varloom.plans.driver_views import RELEASE_DATE, ctes, view
 
 POLICY = vocab.DEFAULT_POLICY
@@ -156,9 +157,18 @@ def rationale_genotypes(spark, sf_dir):
     return rv.rationale_genotypes(rationales(spark, sf_dir), _genotypes(spark, sf_dir))
 
 
+def review_report(spark, sf_dir):
+    """The review queue of every sample as numbered report lines."""
+    profiles = _profiles(spark, sf_dir)
+    links, conditions = _conditions(spark, sf_dir)
+    evidence = rv.profile_evidence(rv.profile_members(_links(spark, sf_dir), _assertions(spark, sf_dir), links, conditions))
+    return reports.review_report(rv.review_queue(profiles), evidence, rv.rationales(profiles, POLICY))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
+        review_report,
         profile_evidence,
         profile_genotypes,
         rationale_genotypes,
@@ -390,3 +400,21 @@ ORACLE["profile_genotypes"] = _P + _GENOTYPES + """
 ORACLE["rationale_genotypes"] = _P + _GENOTYPES + ORACLE["rationales"][len(_P):].split("select 'rationale-'", 1)[0].rstrip() + """,
  rt as (select 'rationale-'||sha256(concat_ws(chr(31),candidate_id,code)) as rationale_id, sample_id, variant_id from e)
  select rationale_id, genotype_id, observation_reference from rt join gm using (sample_id, variant_id)"""
+ORACLE["review_report"] = (
+    _P + "," + _MEMBERS
+    + """, kx as (select variant_id, string_agg(logical_key, ', ' order by first_id) as records from (
+   select variant_id, logical_key, min(assertion_id) as first_id from ms group by all) group by 1),
+ cx as (select variant_id, string_agg('condition of '||substr(cid,6), ', ' order by cid) as names from cn group by 1),
+"""
+    + ORACLE["rationales"][len(_P):].split("select 'rationale-'", 1)[0].strip().lstrip(",")
+    + """,
+ rs as (select candidate_id, string_agg(code, ', ' order by code) as reasons from (select distinct candidate_id, code from e) group by 1),
+ q as (select pf.*, row_number() over (partition by sample_id order by list_position(['review_first','review_next',
+   'context_only','not_prioritized','not_eligible'], band), review_order, conflict_order, missing_order, age_order, profile_id) as n from pf),
+ ent as (select sample_id, n, [n||'. '||variant_id, '   band: '||band, '   calls: '||genotype_state, '   records: '||coalesce(records,'none'),
+   '   conditions: '||coalesce(names,'none given'), '   source disagrees: '||case when source_conflict then 'yes' else 'no' end,
+   '   because: '||coalesce(reasons,'none')] as ls
+  from q left join kx using (variant_id) left join cx using (variant_id) left join rs using (candidate_id))
+ select sample_id, 3+(n-1)*7+i-1 as ordinal, ls[i] as line from ent, range(1,8) t(i)
+ union all select sample_id, i-1, (['REVIEW '||sample_id, '__SCOPE__', '__OPEN__'])[i] from (select distinct sample_id from q), range(1,4) t(i)"""
+).replace("__SCOPE__", reports.REVIEW_SCOPE).replace("__OPEN__", "Not looked at: " + ", ".join(vocab.UNRESOLVED_ASSESSMENTS))

@@ -294,5 +294,5 @@ def typed_parquet(spark: SparkSession, path: str, schema: str) -> DataFrame:
         f.name for f in wanted if f.name not in actual or actual[f.name] != f.dataType
     ]
     if wrong:
-        raise ValueError(f"incompatible Parquet schema at {path}: {wrong}")
+        raise ValueError(f"{path}: columns that are missing or of another type: {wrong}")
     return spark.read.schema(wanted).parquet(path)
