@@ -38,6 +38,11 @@ class Tree:
         return len(self.cuts)
 
 
+def _root(key: str) -> Column:
+    """The root's number, computed from a column: joins on a constant would be planned as nested loops."""
+    return F.lit(ROOT).cast("long") + F.pmod(F.xxhash64(key), F.lit(1))
+
+
 def _moved(vector: str) -> Column:
     """The child of ``node`` that a vector falls in, by the node's cuts; the node itself when it has none."""
     bits = F.aggregate(
@@ -72,7 +77,7 @@ def tree(refs: DataFrame, cell_rows: int, id_col: str = "reference_sample_id") -
 
     A pass cuts up to three axes of every open node at once.  Medians come from a sample whose size follows the number of open nodes.
     """
-    placed = refs.withColumn("node", F.lit(ROOT).cast("long")).withColumn("can_cut", F.lit(True))
+    placed = refs.withColumn("node", _root(id_col)).withColumn("can_cut", F.lit(True))
     cuts = []
     for _ in range(DEPTH):
         sizes = placed.where("can_cut").groupBy("node").count().where(F.col("count") > cell_rows)
@@ -101,7 +106,7 @@ def tree(refs: DataFrame, cell_rows: int, id_col: str = "reference_sample_id") -
 
 def own_cells(queries: DataFrame, cells: Tree) -> DataFrame:
     """``queries`` (with a vector ``z``) with ``node``: the leaf whose side of every cut they lie on."""
-    found = queries.withColumn("node", F.lit(ROOT).cast("long"))
+    found = queries.withColumn("node", _root("query_id"))
     for cuts in cells.cuts:
         found = _descended(found, "z", cuts)
     return found
@@ -121,7 +126,7 @@ def visits(queries: DataFrame, cells: Tree) -> DataFrame:
     # a relative margin keeps cells that touch the bound up to rounding
     close = _gap(F.col("z"), F.col("sides")) <= F.col("reach") * (1 + 1e-9)
     children = cells.boxes.select(F.col("parent").alias("node"), F.col("node").alias("child"), "leaf", "sides")
-    front = queries.withColumn("node", F.lit(ROOT).cast("long"))
+    front = queries.withColumn("node", _root("query_id"))
     found = []
     for _ in range(cells.depth):
         met = front.join(children, "node").where(close).drop("sides", "node").withColumnRenamed("child", "node")
