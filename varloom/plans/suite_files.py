@@ -271,6 +271,20 @@ def _archives(spark, sf_dir):
     return vx.scan_archives(spark, _archive_files(spark, sf_dir), "snapshot-1")
 
 
+def release_header(spark, sf_dir):
+    """Release identity and date, read from the root element around all archives; an override that agrees and one that does not."""
+    path = _archive_files(spark, sf_dir)
+    told = table(spark, sf_dir, "orders").agg(F.count("*").alias("n"), F.max("o_orderdate").cast("date").cast("string").alias("d"))
+    opening = F.concat(F.lit('<ClinVarVariationRelease ReleaseDate="'), F.col("d"), F.lit('" ReleaseID="rel-'), F.col("n").cast("string"), F.lit('">'))
+    told.select(F.explode(F.array(opening, F.lit("</ClinVarVariationRelease>"))).alias("value")).write.mode("append").text(path)
+    return (
+        vx.release_header(spark, path)
+        .withColumn("asked", F.lit("none"))
+        .unionByName(vx.release_header(spark, path, "rel-other").withColumn("asked", F.lit("other")))
+        .select("asked", "xml_format", "release_identity", F.col("release_date").cast("string").alias("release_date"), "snapshot_id", "violation")
+    )
+
+
 def vcv_representations(spark, sf_dir):
     return vx.representations(_archives(spark, sf_dir)).drop(
         "representation_id", "snapshot_id", "source_rsid", "allele_id"
@@ -464,6 +478,7 @@ QUERIES = {
         liftover_scan,
         phasing_sites,
         genetic_map_rules,
+        release_header,
         vcv_representations,
         vcv_assertions,
         scv_relationships,
@@ -574,6 +589,10 @@ ORACLE = {
  select contig, 'fewer_than_two_points' as rule from r group by 1 having count(*)<2
  union select contig, 'position_not_sorted' from l where position<p0 or (position=p0 and cm<c0)
  union select contig, 'cm_decreasing' from l where cm<c0""",
+    "release_header": """with h as (select 'rel-'||count(*) as i, cast(cast(max(o_orderdate) as date) as varchar) as d from orders)
+ select asked, 'ClinVarVariationRelease' as xml_format, i as release_identity, d as release_date,
+  'snapshot-'||sha256(concat_ws(chr(31), i, d)) as snapshot_id,
+  case asked when 'other' then 'override_contradicts_release' end as violation from h, (values ('none'),('other')) t(asked)""",
     "vcv_representations": ctes("representations")
     + """ select vcv_accession, vcv_version, p as variation_id,
  variation_type, assembly, chromosome, position, reference, alternate from representations""",

@@ -222,6 +222,16 @@ def pgx_bundle_violations(spark, sf_dir):
     return bundles.validated(spark, _pgx_bundle(spark, sf_dir), "pharmacogene", bundles.validate_pharmacogene_bundle)
 
 
+def observation_violations(spark, sf_dir):
+    """Observation rules over all calls, with alleles taken from some called rows and given to some rows without a call."""
+    rows = view(spark, sf_dir, "calls").selectExpr(
+        "sample_id || '|' || source_marker_id || '|' || l_orderkey || '|' || l_linenumber as id",
+        "if(raw_genotype = '--', 'no_call', 'called') as call_status",
+        "case when raw_genotype = '--' then if(p % 29 = 3, array('A'), array()) when p % 23 = 4 then array() else split(raw_genotype, '') end as alleles",
+    )
+    return ck.broken_rules(rows, ck.OBSERVATION_RULES, "id")
+
+
 def _written(spark, tables):
     root = f"{checkpoint_root(spark)}/varloom-derived/{uuid.uuid4().hex}/bundle"
     for name, rows in tables.items():
@@ -385,6 +395,7 @@ QUERIES = {
         bundle_rule_violations,
         mixed_releases,
         order_violations,
+        observation_violations,
         pgx_bundle_violations,
         score_bundle_violations,
         projection_bundle_violations,
@@ -589,6 +600,10 @@ ORACLE = {
   where outcome<>'mapped' and variant_id is not null
  union all select sample_id, source_line_number, 'ambiguous_has_candidates' from e
   where outcome='ambiguous' and cc=0""",
+    "observation_violations": ctes("calls")
+    + """, r as (select sample_id||'|'||source_marker_id||'|'||l_orderkey||'|'||l_linenumber as id, raw_genotype='--' as none, p from calls)
+ select id, 'called_has_alleles' as rule from r where not none and p%23=4
+ union all select id, 'uncalled_has_none' from r where none and p%29=3""",
     "record_violations": ctes("variants", "representations")
     + """,
  va as (select variant_id as id, p, reference, case when p%13=2 then lower(alternate)
