@@ -133,7 +133,7 @@ def test_pedigree_descriptor(spark, write):
 def test_typed_parquet(spark, folder):
     spark.range(3).write.parquet(folder + "/t")
     assert rf.typed_parquet(spark, folder + "/t", "id bigint").count() == 3
-    with pytest.raises(ValueError, match="incompatible"):
+    with pytest.raises(ValueError, match="of another type"):
         rf.typed_parquet(spark, folder + "/t", "id string")
-    with pytest.raises(ValueError, match="incompatible"):
+    with pytest.raises(ValueError, match="of another type"):
         rf.typed_parquet(spark, folder + "/t", "other bigint")
