@@ -11,17 +11,19 @@ similarity is at least 0.8.  The join is exact and returns components, never the
 4. Each set is verified against one leader, the most central set of most of its lists: the one whose position says that it has
    the fewest rare shingles of its own.  Sets linked to one leader are in one component without being compared.  In ``ROUNDS`` more
    rounds the sets outside the largest component of their lists meet the most central set of that component.
-5. Only lists that still hold several components are joined, the sets outside the largest component against the list, under
-   the size and position bounds and a bound from parity bitmaps of the whole sets; earlier answers are reused here: if two
-   sets were verified against one leader, the distances to it bound theirs (triangle inequality).  What no bound rules
-   out is verified exactly.
+5. Only lists that still hold several components are left.  Two of their sets that were verified against one leader are
+   derived from those answers: an answer keeps what the set has more and less than its leader, and two sets link only if these
+   differences share enough.  Sets of different components are never both linked to the leader, so their differences always
+   have to share something; what many members have in common comes last in the order, and is skipped by position.
+6. Sets without a common leader are joined on their lists, those outside the largest component against the list, under the
+   size and position bounds and a bound from parity bitmaps of the whole sets, and verified exactly.
 
 Long lists are salted when leaders are chosen, and joins split skewed keys.  Sets are made from the text where they are needed and
 only for documents in a candidate pair (another fixed-size bitmap, exact join after it).
 
 Defined cases: null, empty and blank texts have the empty set and link with nothing; texts of fewer than five words are one
-shingle; rows that repeat an id are one document, so all their texts share a component; null ids are one document that
-comes last; an empty table gives no rows; other columns are ignored.
+shingle; rows that repeat an id are one document, so all their texts share a component (answers about an id that stands for
+several sets are not reused); null ids are one document that comes last; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -171,13 +173,28 @@ def _whole_sets(base: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def _verified(base: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(a, b, same, total): overlap and sum of the sizes of each pair; ``pairs`` (a, b) is stored and may repeat a often."""
-    side_b = _whole_sets(base, pairs.select(F.col("b").alias("_id")))
-    side_a = _whole_sets(base, pairs.select(F.col("a").alias("_id")))
-    with_b = pairs.join(side_b.select(F.col("_id").alias("b"), F.col("tokens").alias("tb")), "b")
-    both = with_b.join(side_a.select(F.col("_id").alias("a"), F.col("tokens").alias("ta")), "a")
-    return both.select(
-        "a", "b", F.size(F.array_intersect("ta", "tb")).alias("same"), (F.size("ta") + F.size("tb")).alias("total")
+    """(a, b, same, total, added, removed) of each pair: overlap, sum of the sizes, and what b has more and less than a where
+    that is at most half of the sum (else null); ``pairs`` (a, b) is stored and may repeat a often."""
+    ids = pairs.select(F.col("a").alias("_id")).union(pairs.select(F.col("b").alias("_id")))
+    whole = stored(_whole_sets(base, ids), "whole")
+    with_b = pairs.join(whole.select(F.col("_id").alias("b"), F.col("tokens").alias("tb")), "b")
+    both = with_b.join(whole.select(F.col("_id").alias("a"), F.col("tokens").alias("ta")), "a")
+    differing = both.select(
+        "a",
+        "b",
+        F.size("tb").alias("nb"),
+        (F.size("ta") + F.size("tb")).alias("total"),
+        F.array_except("tb", "ta").alias("added"),
+        F.array_except("ta", "tb").alias("removed"),
+    )
+    near = (F.size("added") + F.size("removed")) * 2 <= F.col("total")
+    return differing.select(
+        "a",
+        "b",
+        (F.col("nb") - F.size("added")).alias("same"),
+        "total",
+        F.when(near, F.col("added")).alias("added"),
+        F.when(near, F.col("removed")).alias("removed"),
     )
 
 
@@ -199,7 +216,8 @@ def _edges(roots: DataFrame) -> DataFrame:
 
 
 def _asked(base: DataFrame, asks: DataFrame, answers: DataFrame | None) -> DataFrame:
-    """(a, b, j, same, total): each set b verified against the leader a that most of its ``asks`` name and ``answers`` lack."""
+    """(a, b, j, same, total, added, removed): each set b verified against the leader a that most of its ``asks`` name and
+    ``answers`` lack."""
     named = (
         asks.filter((F.col("rep") != F.col("lead")) & _sizes_fit("n", "lead_n"))
         .groupBy("rep", "lead")
@@ -210,7 +228,8 @@ def _asked(base: DataFrame, asks: DataFrame, answers: DataFrame | None) -> DataF
     most = named.groupBy("rep").agg(F.max(F.struct("k", (-F.col("lead")).alias("minus"))).alias("m"))
     pairs = stored(most.select((-F.col("m.minus")).alias("a"), F.col("rep").alias("b")), "pairs")
     likeness = F.col("same") / (F.col("total") - F.col("same"))
-    found = _verified(base, pairs).groupBy("a", "b").agg(F.max(F.struct(likeness.alias("j"), "same", "total")).alias("m"))
+    best = F.max(F.struct(likeness.alias("j"), "same", "total", "added", "removed")).alias("m")
+    found = _verified(base, pairs).groupBy("a", "b").agg(best)
     return stored(found.select("a", "b", "m.*"), "answers")
 
 
@@ -230,6 +249,60 @@ def _open_lists(lists: DataFrame, roots: DataFrame) -> DataFrame:
     return stored(members.join(several, "token"), "open")
 
 
+def _derived(near: DataFrame, members: DataFrame) -> DataFrame:
+    """(a, b) of the linked pairs of ``members`` (rep, n, root) with different roots and a common leader in ``near``.
+
+    ``near`` (lead, rep, added, removed) is stored.  With D the size of a symmetric difference and T the sum of the sizes, a
+    pair links if 9 D <= T; D is the differing part of the additions plus that of the removals, and either is at least the
+    difference of their sizes.  So the additions must share (sum of both + difference of the removals - T / 9) / 2 tokens; where
+    that is no demand, the removals must share as much by the same rule.  Tokens that only one member of a leader has are left out.
+    """
+    known = near.join(members, "rep").select(
+        "lead", "rep", "n", "root", F.size("added").alias("na"), F.size("removed").alias("nr"), "added", "removed"
+    )
+    # leaders whose members are all of one component have nothing to tell
+    spans = (
+        known.groupBy("lead")
+        .agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.min("n").alias("least_n"), F.max("n").alias("most_n"))
+        .filter("r0 < r1")
+        .drop("r0", "r1")
+    )
+    open_ = known.join(spans, "lead")
+    sides = F.array(
+        F.struct(F.lit(0).alias("side"), F.col("added").alias("tokens")), F.struct(F.lit(1).alias("side"), F.col("removed").alias("tokens"))
+    )
+    facts = ["lead", "rep", "n", "root", "na", "nr", "least_n", "most_n"]
+    each = open_.select(*facts, F.explode(sides).alias("s")).select(*facts, "s.side", F.explode("s.tokens").alias("token"))
+    shared = each.withColumn("k", F.count("*").over(Window.partitionBy("lead", "side", "token"))).filter("k > 1")
+    rare_last = Window.partitionBy("lead", "rep", "side").orderBy(F.desc("k"), F.desc("token"))
+    # rest: how many shared tokens a set has from here on, rare ones first; the least that any partner of a fitting size demands
+    demand = F.expr(
+        "if(side = 0, 9 * (na + nr) - 9 * (n - na + nr) + 8 * greatest(least_n, ceil(n * 4 / 5)) - n, "
+        "9 * (na + nr) + 9 * (n - na + nr) - 10 * least(most_n, floor(n * 5 / 4)) - n)"
+    )
+    postings = shared.withColumn("rest", F.row_number().over(rare_last)).filter(F.col("rest") * 18 >= demand)
+    fits = [
+        "x.lead = y.lead and x.side = y.side and x.token = y.token and x.root <> y.root and x.rep < y.rep",
+        "x.n * 5 >= y.n * 4 and y.n * 5 >= x.n * 4",
+        "if(x.side = 0, 9 * (x.na + y.na + abs(x.nr - y.nr)) > x.n + y.n, 9 * (x.na + y.na + abs(x.nr - y.nr)) <= x.n + y.n)",
+        "18 * least(x.rest, y.rest) >= if(x.side = 0, 9 * (x.na + y.na + abs(x.nr - y.nr)), 9 * (x.nr + y.nr + abs(x.na - y.na))) - x.n - y.n",
+    ]
+    pairs = (
+        postings.alias("x")
+        .join(postings.alias("y"), F.expr(" and ".join(f"({f})" for f in fits)))
+        .groupBy(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
+        .agg(F.min("x.lead").alias("lead"), F.min(F.col("x.n") + F.col("y.n")).alias("total"))
+    )
+    x = near.select("lead", F.col("rep").alias("a"), F.col("added").alias("xa"), F.col("removed").alias("xr"))
+    y = near.select("lead", F.col("rep").alias("b"), F.col("added").alias("ya"), F.col("removed").alias("yr"))
+
+    def apart(one: str, other: str):
+        return F.size(one) + F.size(other) - 2 * F.size(F.array_intersect(one, other))
+
+    both = stored(pairs, "derived").join(x, ["lead", "a"]).join(y, ["lead", "b"])
+    return both.filter(9 * (apart("xa", "ya") + apart("xr", "yr")) <= F.col("total")).select("a", "b")
+
+
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: _id, n_shingles, component (smallest id reachable by links)."""
     base = keyed(docs, id_col, text_col)
@@ -282,21 +355,42 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         roots = components(more.filter(_linked()).select("a", "b").unionByName(_edges(roots)))
         left = _open_lists(left.select("token", "rep", "n", "pos"), roots)
 
-    # what is left of the lists: all pairs across components that no bound rules out
-    known = answers.groupBy(F.col("b").alias("rep")).agg(
-        F.map_from_entries(F.collect_list(F.struct("a", 1 - F.col("j")))).alias("far")
+    # what is left: pairs across components, first those with a common leader, from the answers about it
+    several = classes.groupBy("rep").agg(F.count("*").alias("k")).filter("k > 1").select("rep")
+    told = answers.join(several.withColumnRenamed("rep", "a"), "a", "left_anti").join(
+        several.withColumnRenamed("rep", "b"), "b", "left_anti"
     )
-    left = stored(
-        left.join(known, "rep", "left").withColumn(
-            "far", F.map_concat(F.coalesce("far", F.expr("map()").cast("map<bigint,double>")), F.create_map("rep", F.lit(0.0)))
-        ),
-        "open",
+    near = stored(
+        told.filter("added is not null").select(F.col("a").alias("lead"), F.col("b").alias("rep"), "added", "removed"), "near"
+    )
+    members = left.select("rep", "n", "root").distinct()
+    links = _derived(near, members)
+
+    # then those without: no bound may rule them out
+    known = told.groupBy(F.col("b").alias("rep")).agg(
+        F.map_from_entries(F.collect_list(F.struct("a", 1 - F.col("j")))).alias("far"),
+        F.collect_list(F.when(F.col("added").isNotNull(), F.col("a"))).alias("leads"),
+    )
+    alone = firsts.select("rep", "n", "parity").join(several.withColumn("many", F.lit(True)), "rep", "left")
+    own = F.col("many").isNull()
+    left = left.join(alone, ["rep", "n"]).join(known, "rep", "left").select(
+        *left.columns,
+        "parity",
+        F.map_concat(
+            F.coalesce("far", F.expr("map()").cast("map<bigint,double>")),
+            F.when(own, F.create_map("rep", F.lit(0.0))).otherwise(F.expr("map()").cast("map<bigint,double>")),
+        ).alias("far"),
+        F.concat(
+            F.coalesce("leads", F.array().cast("array<bigint>")),
+            F.when(own, F.array("rep")).otherwise(F.array().cast("array<bigint>")),
+        ).alias("leads"),
     )
-    left = stored(left.join(firsts.select("rep", "parity"), "rep"), "open")
+    left = stored(left, "open")
     fits = [
         "x.token = y.token and x.root <> y.root and (y.root = y.main or x.rep < y.rep)",
         "x.n * 5 >= y.n * 4 and y.n * 5 >= x.n * 4",
         "least(x.n - x.pos, y.n - y.pos) * 9 >= (x.n + y.n) * 4",
+        "not arrays_overlap(x.leads, y.leads)",
         # triangle inequality over every set both were verified against
         "not exists(map_keys(x.far), k -> abs(x.far[k] - coalesce(y.far[k], x.far[k])) > 0.2 + 1e-9)",
         # every shingle in one set only flips one parity bit, so as many bits differ as shingles at most
@@ -310,8 +404,9 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         .distinct()
     )
     rest = stored(rest, "rest")
-    if rest.limit(1).count():
-        roots = components(_verified(base, rest).filter(_linked()).select("a", "b").unionByName(_edges(roots)))
+    links = stored(links.unionByName(_verified(base, rest).filter(_linked()).select("a", "b")), "links")
+    if links.limit(1).count():
+        roots = components(links.unionByName(_edges(roots)))
     whole = (
         sets.select("_id", *key)
         .join(classes, key, "left")
