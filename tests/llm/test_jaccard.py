@@ -67,6 +67,34 @@ def test_against_brute_force(spark, documents, prose, monkeypatch):
         assert got(documents(rows)) == brute(rows)
 
 
+def test_groups_around_an_absent_base(spark, documents, prose, monkeypatch):
+    """Copies with one to six edits of a base that is not there, and copies of copies: pairs on either side of the threshold."""
+    rng = random.Random(5)
+    rows = []
+    for g in range(4):
+        base = prose(700 + g, 140 + 5 * g)
+        spots = rng.sample(range(5, 135), 12)
+        kept = []
+        for _ in range(45):
+            now = list(rng.choice(kept) if kept and rng.random() < 0.4 else base)
+            for at in rng.sample(spots, rng.randrange(1, 7)):
+                now[at] = f"e{rng.randrange(3 if g % 2 else 10**6)}"
+            kept.append(now)
+            rows.append((len(rows), " ".join(now)))
+    rows += [(rows[3][0], rows[90][1]), (None, rows[7][1]), (None, rows[100][1])]
+    told = {}
+    old = j.stored
+
+    def counted(frame, label):
+        out = old(frame, label)
+        told[label] = told.get(label, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(j, "stored", counted)
+    assert got(documents(rows)) == brute(rows)
+    assert told["centred"] and told["sure"] and told["derived"]
+
+
 def test_repeated_and_null_ids(spark, documents, prose):
     a, b = " ".join(prose(1, 50)), " ".join(prose(2, 50))
     rows = [(1, a), (7, a), (7, b), (3, b), (3, b), (None, b), (9, " ".join(prose(3, 50)))]

@@ -12,9 +12,9 @@ similarity is at least 0.8.  The join is exact and returns components, never the
    the fewest rare shingles of its own.  Sets linked to one leader are in one component without being compared.  In ``ROUNDS`` more
    rounds the sets outside the largest component of their lists meet the most central set of that component.
 5. Only lists that still hold several components are left.  Two of their sets that were verified against one leader are
-   derived from those answers: an answer keeps what the set has more and less than its leader, and two sets link only if these
-   differences share enough.  Sets of different components are never both linked to the leader, so their differences always
-   have to share something; what many members have in common comes last in the order, and is skipped by position.
+   derived from those answers: an answer keeps what the set has more and less than its leader, which also tells the centre of all
+   its members (what most of them hold) and what each differs from it in.  Sets close to the centre link through the closest one.
+   Any other pair links only if these differences share enough tokens: rare ones are met first, common ones skipped by position.
 6. Sets without a common leader are joined on their lists, those outside the largest component against the list, under the
    size and position bounds and a bound from parity bitmaps of the whole sets, and verified exactly.
 
@@ -249,58 +249,69 @@ def _open_lists(lists: DataFrame, roots: DataFrame) -> DataFrame:
     return stored(members.join(several, "token"), "open")
 
 
-def _derived(near: DataFrame, members: DataFrame) -> DataFrame:
-    """(a, b) of the linked pairs of ``members`` (rep, n, root) with different roots and a common leader in ``near``.
+def _centred(near: DataFrame, members: DataFrame) -> DataFrame:
+    """(lead, rep, n, root, diff, w) of the ``members`` (rep, n, root) with answers about a leader in ``near``.
 
-    ``near`` (lead, rep, added, removed) is stored.  With D the size of a symmetric difference and T the sum of the sizes, a
-    pair links if 9 D <= T; D is the differing part of the additions plus that of the removals, and either is at least the
-    difference of their sizes.  So the additions must share (sum of both + difference of the removals - T / 9) / 2 tokens; where
-    that is no demand, the removals must share as much by the same rule.  Tokens that only one member of a leader has are left out.
+    A leader's centre is the set of the tokens that most of its members hold; diff is what a set differs from that centre
+    in.  Two sets of one leader differ in just what their diffs differ in.  w is 9 |diff| - n: two sets whose w sum to at most 0
+    link, as the sizes of their diffs bound their difference.  Leaders whose members are all of one component are left out.
     """
-    known = near.join(members, "rep").select(
-        "lead", "rep", "n", "root", F.size("added").alias("na"), F.size("removed").alias("nr"), "added", "removed"
+    known = near.join(members, "rep").select("lead", "rep", "n", "root", F.concat("added", "removed").alias("diff"))
+    spans = known.groupBy("lead").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("m"))
+    open_ = known.join(spans.filter("r0 < r1").select("lead", "m"), "lead")
+    held = open_.select("lead", "m", F.explode("diff").alias("token")).groupBy("lead", "token").agg(
+        F.count("*").alias("k"), F.first("m").alias("m")
     )
-    # leaders whose members are all of one component have nothing to tell
-    spans = (
-        known.groupBy("lead")
-        .agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.min("n").alias("least_n"), F.max("n").alias("most_n"))
-        .filter("r0 < r1")
-        .drop("r0", "r1")
+    # at most twice a mean diff of tokens
+    moved = held.filter(F.col("k") * 2 > F.col("m")).groupBy("lead").agg(F.collect_list("token").alias("moved"))
+    centred = open_.join(moved, "lead", "left").withColumn("moved", F.coalesce("moved", F.array().cast("array<bigint>")))
+    diff = F.concat(F.array_except("diff", "moved"), F.array_except("moved", "diff"))
+    return stored(
+        centred.select("lead", "rep", "n", "root", diff.alias("diff")).withColumn("w", 9 * F.size("diff") - F.col("n")), "centred"
     )
-    open_ = known.join(spans, "lead")
-    sides = F.array(
-        F.struct(F.lit(0).alias("side"), F.col("added").alias("tokens")), F.struct(F.lit(1).alias("side"), F.col("removed").alias("tokens"))
+
+
+def _hubs(centred: DataFrame) -> DataFrame:
+    """(a, b): each set and the set of least w of its leader, where their w say that they link.  Any two sets whose w say so
+    both link with that one, so that the components of all such pairs are these."""
+    hub = centred.groupBy("lead").agg(F.min(F.struct("w", "rep", "root")).alias("hub"))
+    return centred.join(hub, "lead").filter("root <> hub.root and w + hub.w <= 0").select(
+        F.col("rep").alias("a"), F.col("hub.rep").alias("b")
     )
-    facts = ["lead", "rep", "n", "root", "na", "nr", "least_n", "most_n"]
-    each = open_.select(*facts, F.explode(sides).alias("s")).select(*facts, "s.side", F.explode("s.tokens").alias("token"))
-    shared = each.withColumn("k", F.count("*").over(Window.partitionBy("lead", "side", "token"))).filter("k > 1")
-    rare_last = Window.partitionBy("lead", "rep", "side").orderBy(F.desc("k"), F.desc("token"))
-    # rest: how many shared tokens a set has from here on, rare ones first; the least that any partner of a fitting size demands
-    demand = F.expr(
-        "if(side = 0, 9 * (na + nr) - 9 * (n - na + nr) + 8 * greatest(least_n, ceil(n * 4 / 5)) - n, "
-        "9 * (na + nr) + 9 * (n - na + nr) - 10 * least(most_n, floor(n * 5 / 4)) - n)"
+
+
+def _derived(centred: DataFrame, roots: DataFrame) -> DataFrame:
+    """(a, b) of the linked pairs with different roots and a common leader, from their diffs.
+
+    A pair links if 9 times what its diffs differ in is at most the sum of the sizes.  Sets of different components have w that
+    sum to more than 0, so their diffs share at least an eighteenth of that sum, which is more than nothing.  Tokens go
+    rare ones first; those that only one diff of a leader has are left out.
+    """
+    now = centred.drop("root").join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").withColumn(
+        "root", F.coalesce("root", "rep")
     )
-    postings = shared.withColumn("rest", F.row_number().over(rare_last)).filter(F.col("rest") * 18 >= demand)
+    spans = now.groupBy("lead").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.min("w").alias("least_w"))
+    open_ = now.join(spans.filter("r0 < r1").select("lead", "least_w"), "lead")
+    each = open_.select("lead", "rep", "n", "root", "w", "least_w", F.explode("diff").alias("token"))
+    shared = each.withColumn("k", F.count("*").over(Window.partitionBy("lead", "token"))).filter("k > 1")
+    rare_last = Window.partitionBy("lead", "rep").orderBy(F.desc("k"), F.desc("token"))
+    # rest: how many shared tokens a set has from here on; a partner's w is known to be at least the leader's least
+    postings = shared.withColumn("rest", F.row_number().over(rare_last)).filter("18 * rest >= w + least_w")
     fits = [
-        "x.lead = y.lead and x.side = y.side and x.token = y.token and x.root <> y.root and x.rep < y.rep",
+        "x.lead = y.lead and x.token = y.token and x.root <> y.root and x.rep < y.rep",
         "x.n * 5 >= y.n * 4 and y.n * 5 >= x.n * 4",
-        "if(x.side = 0, 9 * (x.na + y.na + abs(x.nr - y.nr)) > x.n + y.n, 9 * (x.na + y.na + abs(x.nr - y.nr)) <= x.n + y.n)",
-        "18 * least(x.rest, y.rest) >= if(x.side = 0, 9 * (x.na + y.na + abs(x.nr - y.nr)), 9 * (x.nr + y.nr + abs(x.na - y.na))) - x.n - y.n",
+        "18 * least(x.rest, y.rest) >= x.w + y.w",
     ]
     pairs = (
         postings.alias("x")
         .join(postings.alias("y"), F.expr(" and ".join(f"({f})" for f in fits)))
         .groupBy(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
-        .agg(F.min("x.lead").alias("lead"), F.min(F.col("x.n") + F.col("y.n")).alias("total"))
+        .agg(F.min("x.lead").alias("lead"))
     )
-    x = near.select("lead", F.col("rep").alias("a"), F.col("added").alias("xa"), F.col("removed").alias("xr"))
-    y = near.select("lead", F.col("rep").alias("b"), F.col("added").alias("ya"), F.col("removed").alias("yr"))
-
-    def apart(one: str, other: str):
-        return F.size(one) + F.size(other) - 2 * F.size(F.array_intersect(one, other))
-
+    x = centred.select("lead", F.col("rep").alias("a"), F.col("w").alias("wa"), F.col("diff").alias("da"))
+    y = centred.select("lead", F.col("rep").alias("b"), F.col("w").alias("wb"), F.col("diff").alias("db"))
     both = stored(pairs, "derived").join(x, ["lead", "a"]).join(y, ["lead", "b"])
-    return both.filter(9 * (apart("xa", "ya") + apart("xr", "yr")) <= F.col("total")).select("a", "b")
+    return both.filter(18 * F.size(F.array_intersect("da", "db")) >= F.col("wa") + F.col("wb")).select("a", "b")
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -364,7 +375,11 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         told.filter("added is not null").select(F.col("a").alias("lead"), F.col("b").alias("rep"), "added", "removed"), "near"
     )
     members = left.select("rep", "n", "root").distinct()
-    links = _derived(near, members)
+    centred = _centred(near, members)
+    sure = stored(_hubs(centred), "sure")
+    if sure.limit(1).count():
+        roots = components(sure.unionByName(_edges(roots)))
+    links = _derived(centred, roots)
 
     # then those without: no bound may rule them out
     known = told.groupBy(F.col("b").alias("rep")).agg(
