@@ -96,3 +96,47 @@ def test_single_insults_go_and_passages_of_rare_words_stay(spark, documents, pro
     assert not any(i in kept for i, _ in rows if i % 10 == 1)
     assert sum(i in kept for i, _ in rows if i % 10 != 1) >= 0.97 * 720
     assert sum(i in kept for i, _ in rows if i % 50 == 2) >= 14
+
+
+def plain_scale(rows):
+    """Medians, spreads and cuts by numpy over a list of (mean, word, pair, good)."""
+    import numpy as np
+
+    good = np.array([r[:-1] for r in rows if r[-1]], dtype=float)
+    bad = np.array([r[:-1] for r in rows if not r[-1]], dtype=float)
+    centre = np.median(good, axis=0)
+    spread = np.maximum(np.median(np.abs(good - centre), axis=0), 1e-3)
+    n_good, n_bad, found = len(good), len(bad), []
+    for j in range(3):
+        g, b = np.sort(good[:, j]), np.sort(bad[:, j])
+        if not len(b):
+            found.append(g[0])
+            continue
+        cuts = np.concatenate((g, b))
+        kept = (len(g) - np.searchsorted(g, cuts, side="left")) / n_good
+        gone = np.searchsorted(b, cuts, side="left") / n_bad
+        cut = cuts[int(np.argmax(np.where(kept >= q.KEEP, gone + kept, -1)))]
+        lower = b[b < cut]
+        cut = (cut + lower[-1]) / 2 if len(lower) else cut
+        found.append(cut)
+        good, bad = good[good[:, j] >= cut], bad[bad[:, j] >= cut]
+    return q.Scale(tuple(centre), tuple(found), tuple(spread))
+
+
+def test_cuts_and_medians_are_those_of_all_calibration_rows(spark):
+    rng = random.Random(4)
+    for n, bad_share in ((1, 0.5), (30, 0.4), (801, 0.3)):
+        rows = [(1.0, 1.0, 1.0, True), (-1.0, 0.5, 0.0, False)]
+        for _ in range(n):
+            ok = rng.random() > bad_share
+            rows.append((*(round(rng.gauss(1.0 if ok else -0.5, 0.7), 2) for _ in range(3)), ok))
+        frame = spark.createDataFrame(rows, "mean double, word double, pair double, good boolean")
+        assert q._calibrate(frame) == plain_scale(rows)
+
+
+def test_calibration_is_not_cut_at_a_number_of_rows(spark):
+    # 150,000 rows: a cut sample of them would have another median and another cut
+    rows = spark.range(150_000).selectExpr("cast(id as double) as mean", "0d as word", "0d as pair", "id >= 30000 as good")
+    scale = q._calibrate(rows)
+    assert (scale.centres[0], scale.cuts[0], scale.spreads[0]) == (89_999.5, 29_999.5, 30_000.0)
+    assert q._calibrate(rows.where("good")) is None

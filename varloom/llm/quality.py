@@ -13,7 +13,7 @@ long document is no evidence, and they are never summed, so that several rare n-
 
 Resampling without replacement is Gumbel top-k: every document's key is its log weight over the temperature plus Gumbel
 noise hashed from id and text, and the k largest keys are the sample.  k follows from the data: the number of documents whose log weight
-is above all cuts, and the cuts are where a calibration part of the labels (never counted into the target) is parted best.  The
+is above all cuts, and the cuts are where all rows of the calibration part of the labels (never counted into the target) are parted best.  The
 k-th key is found by counting keys in finer and finer bins over all rows, so nothing is sorted in one task or collected.
 
 The labels may be bounded: ``label_limit`` rows (smallest hashes of the id) are used, none by default.
@@ -34,11 +34,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from varloom.llm.common import NO_ID, kept_rows, slices
 from varloom.operators.materialize import stored
+from varloom.operators.scale import in_ranges, running_total
 
 #: Buckets of words and of word pairs: the two broadcast tables are 5 MB each whatever the corpus.
 WORDS, PAIRS = 1 << 20, 1 << 18
@@ -173,33 +174,55 @@ class Scale:
     spreads: tuple[float, ...]
 
 
-def _calibrate(rows: list) -> Scale | None:
-    """rows: the readings, then good, of the calibration labels."""
-    good = np.array([r[:-1] for r in rows if r[-1]], dtype=float).reshape(-1, len(READINGS))
-    bad = np.array([r[:-1] for r in rows if not r[-1]], dtype=float).reshape(-1, len(READINGS))
-    if not len(good) or not len(bad):
+def _middles(rows: DataFrame) -> dict[str, float]:
+    """Exact median of ``value`` per ``reading``, by the ranks of its distinct values in range partitions."""
+    counted = in_ranges(rows.groupBy("reading", "value").agg(F.count("*").alias("n")), ["reading"], ["value"])
+    ranked = running_total(counted, ["reading"], F.col("_range"), ["value"], "n", "before")
+    sizes = rows.groupBy("reading").agg(F.count("*").alias("size"))
+
+    def holds(rank: str) -> Column:
+        return F.expr(f"before <= {rank} and {rank} < before + n")
+
+    # one or two rows per reading
+    middle = ranked.join(sizes, "reading").where(holds("(size - 1) div 2") | holds("size div 2"))
+    return {r["reading"]: r["middle"] for r in middle.groupBy("reading").agg(F.avg("value").alias("middle")).collect()}
+
+
+def _cut(rows: DataFrame, reading: str, n_good: int, n_bad: int) -> float:
+    """The cut of one reading over all ``rows`` that earlier cuts have left."""
+    counted = rows.groupBy(F.col(reading).alias("value")).agg(F.count_if("good").alias("g"), F.count_if(~F.col("good")).alias("b"))
+    ranged = in_ranges(counted, [], ["value"])
+    left = ranged.agg(F.sum("g").alias("g"), F.sum("b").alias("b"), F.min(F.when(F.col("g") > 0, F.col("value"))).alias("low")).first()
+    if not left["b"]:
+        return left["low"]
+    below = running_total(ranged, [], F.col("_range"), ["value"], "g", "good_below")
+    below = running_total(below, [], F.col("_range"), ["value"], "b", "bad_below")
+    kept, gone = (F.lit(left["g"]) - F.col("good_below")) / n_good, F.col("bad_below") / n_bad
+    gain = F.when(kept >= KEEP, gone + kept).otherwise(-1.0)
+    # of equal gains the smallest value of a good document, then the smallest at all
+    best = below.agg(F.max(F.struct(gain.alias("gain"), F.col("g") > 0, (-F.col("value")).alias("value"))).alias("best")).first()
+    cut = -best["best"]["value"]
+    lower = ranged.where((F.col("b") > 0) & (F.col("value") < cut)).agg(F.max("value")).first()[0]
+    # nothing is known of the space between the best cut and the next bad document below it: cut in the middle
+    return cut if lower is None else (cut + lower) / 2
+
+
+def _calibrate(rows: DataFrame) -> Scale | None:
+    """rows: the readings, then good, of all calibration labels; only counts, medians and cuts come to the driver."""
+    n_good, n_bad = rows.agg(F.count_if("good"), F.count_if(~F.col("good"))).first()
+    if not n_good or not n_bad:
         return None
-    centre = np.median(good, axis=0)
-    spread = np.maximum(np.median(np.abs(good - centre), axis=0), 1e-3)
-    n_good, n_bad = len(good), len(bad)
-    found = []
-    for j in range(len(READINGS)):
+    long = rows.where("good").select(F.explode(F.array(*[F.struct(F.lit(n).alias("reading"), F.col(n).alias("value")) for n in READINGS])).alias("r"))
+    long = long.select("r.reading", "r.value")
+    centre = _middles(long)
+    own = F.create_map(*[F.lit(x) for n in READINGS for x in (n, centre[n])])[F.col("reading")]
+    spread = _middles(long.select("reading", F.abs(F.col("value") - own).alias("value")))
+    cuts = []
+    for name in READINGS:
         # what an earlier cut has taken counts no more; the good ones lost so far count against what may be lost in all
-        g, b = np.sort(good[:, j]), np.sort(bad[:, j])
-        cuts = np.concatenate((g, b))
-        if not len(b):
-            found.append(float(g[0]))
-            continue
-        kept = (len(g) - np.searchsorted(g, cuts, side="left")) / n_good
-        gone = np.searchsorted(b, cuts, side="left") / n_bad
-        best = int(np.argmax(np.where(kept >= KEEP, gone + kept, -1)))
-        cut = float(cuts[best])
-        below = b[b < cut]
-        # nothing is known of the space between the best cut and the next bad document below it: cut in the middle
-        cut = (cut + float(below[-1])) / 2 if len(below) else cut
-        found.append(cut)
-        good, bad = good[good[:, j] >= cut], bad[bad[:, j] >= cut]
-    return Scale(tuple(centre.tolist()), tuple(found), tuple(spread.tolist()))
+        cuts.append(_cut(rows, name, n_good, n_bad))
+        rows = rows.where(F.col(name) >= cuts[-1])
+    return Scale(tuple(centre[n] for n in READINGS), tuple(cuts), tuple(max(spread[n], 1e-3) for n in READINGS))
 
 
 def weights(docs: DataFrame, labels: DataFrame, label_limit: int | None = None) -> tuple[DataFrame, float]:
@@ -235,9 +258,8 @@ def weights(docs: DataFrame, labels: DataFrame, label_limit: int | None = None)
             )
 
     read_ = stored(keys.mapInArrow(read, "_id long, _mark long, mean double, word double, pair double"), "readings")
-    sample = read_.join(marks.filter(calibrates), "_id").filter("mean is not null").fillna(0.0, ["pair"]).select(*READINGS, "good")
-    # the calibration sample is bounded; which rows it holds depends on their hash alone
-    scale = _calibrate(sample.orderBy(F.xxhash64(*READINGS)).limit(100_000).collect())
+    sample = read_.join(marks.filter(calibrates).hint("merge"), "_id").filter("mean is not null").fillna(0.0, ["pair"]).select(*READINGS, "good")
+    scale = _calibrate(stored(sample, "calibration"))
     if scale is None:
         return read_.select("_id", "_mark", F.lit(0.0).alias("log_weight")), float("-inf")
     log_weight = F.least(
