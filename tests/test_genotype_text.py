@@ -149,3 +149,42 @@ def test_equal_names_in_two_folders_stay_apart(spark, write, folder):
     uris = [r[0] for r in scan_lines(spark, f"{folder}/a").select("source_uri").collect()]
     named = gt.scan(spark, f"{folder}/a", spark.createDataFrame([(uris[0], "p1")], "source_uri string, sample_id string"))
     assert {r["sample_id"] for r in named.collect()} == {"p1"}
+
+
+def test_bundled_sources_are_numbered_on_their_own(spark, write, folder):
+    write("b/one.txt", "\x1csource=a\nx\r\n\n  \rlast\n\x1csource=b\n\n")
+    write("b/two.txt", "\x1csource=c\n\x1csource=a\nno newline at the end")
+    found = scan_lines(spark, f"{folder}/b", bundled=True)
+    assert found.dtypes == scan_lines(spark, f"{folder}/b").dtypes
+    told = sorted((r["source_uri"].split("/b/")[1], r["line_number"], r["value"]) for r in found.collect())
+    assert told == [
+        ("one.txt/source=a", 1, "x"), ("one.txt/source=a", 2, ""), ("one.txt/source=a", 3, "  "), ("one.txt/source=a", 4, "last"),
+        ("one.txt/source=b", 1, ""), ("two.txt/source=a", 1, "no newline at the end"),
+    ]
+
+
+def test_bundles_read_in_many_splits_lose_no_source(spark, write, folder):
+    body = "".join(f"\x1csource=s{i}\n" + "".join(f"{i}-{j}\n" for j in range(1 + i % 40)) for i in range(500))
+    write("c/all.txt", body)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3001")
+    try:
+        found = {(r["source_uri"].rsplit("=", 1)[1], r["line_number"], r["value"]) for r in scan_lines(spark, f"{folder}/c", bundled=True).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found == {(f"s{i}", j + 1, f"{i}-{j}") for i in range(500) for j in range(1 + i % 40)}
+
+
+def test_uploads_of_a_query_are_bundled(spark, tmp_path):
+    import os
+
+    from varloom.plans import suite_files as sf
+
+    spark.range(3000).selectExpr(
+        "id as l_orderkey", "1 as l_linenumber", "id % 50 as l_partkey", "id % 300 as l_suppkey", "1d as l_quantity",
+        "1d as l_extendedprice", "0d as l_discount", "0d as l_tax", "timestamp '2000-01-01 00:00:00' as l_shipdate",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    path = sf._genotype_files(spark, str(tmp_path))
+    names = [n for _, _, files in os.walk(path) for n in files if n.startswith("part-")]
+    assert 0 < len(names) <= 20
+    told = sf.genotype_text_metadata(spark, str(tmp_path)).collect()
+    assert len(told) == 300 and {r["data_line_count"] for r in told} == {11} and {r["physical_line_count"] for r in told} == {13}
