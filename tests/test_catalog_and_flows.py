@@ -211,3 +211,19 @@ def test_require_none(spark):
     ck.require_none(spark.range(0), "x")
     with pytest.raises(ValueError, match="x"):
         ck.require_none(spark.range(1), "x")
+
+
+def test_quality_control_of_a_batch_reads_the_written_tables(spark, write, folder, monkeypatch):
+    read = []
+    for name in ("assay_qc", "findings"):
+        plain = getattr(arrivals.qc, name)
+
+        def watched(*tables, plain=plain):
+            read.extend(f for df in tables for f in df.inputFiles())
+            return plain(*tables)
+
+        monkeypatch.setattr(arrivals.qc, name, watched)
+    path = write("late/a.txt", "rs1\t1\t5\tAA\nrs2\t1\t0\tAA\n")
+    arrivals.ingest_batch(spark, [f"file:{path}"], 0, f"{folder}/out-qc")
+    assert read and all("/out-qc/" in f for f in read)
+    assert spark.read.parquet(f"{folder}/out-qc/assay_qc").first()["malformed_record_count"] == 1

@@ -29,16 +29,18 @@ def ingest_batch(
     if not fresh:
         return
     parsed = gt.scan(spark, fresh, subjects, run_id=f"stream-{batch_id}")
-    obs = gt.observations(parsed)
-    tables = {
-        "observations": obs,
-        "malformed": gt.malformed(parsed),
-        "metadata": gt.source_metadata(parsed),
-        "assay_qc": qc.assay_qc(obs, gt.malformed(parsed)),
-        "findings": qc.findings(obs, gt.malformed(parsed), gt.source_metadata(parsed)),
-    }
-    for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{target}/{name}/batch={batch_id}")
+
+    def put(name: str, df: DataFrame) -> DataFrame:
+        path = f"{target}/{name}/batch={batch_id}"
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    # the text is parsed for these three only: quality control reads the written tables, many times over
+    obs = put("observations", gt.observations(parsed))
+    bad = put("malformed", gt.malformed(parsed))
+    meta = put("metadata", gt.source_metadata(parsed))
+    put("assay_qc", qc.assay_qc(obs, bad))
+    put("findings", qc.findings(obs, bad, meta))
 
 
 def stream(
