@@ -114,3 +114,21 @@ def test_order_violations_meet_across_ranges(skewed, spark):
             assert got.columns == skewed.columns
             assert rows(got, "k", "i") == rows(plain, "k", "i")
     assert ck.order_violations(skewed.limit(0), [], "i", ["x"]).count() == 0
+
+
+def test_findings_with_one_key_share_a_join(spark):
+    from varloom.operators import qc
+
+    seen = spark.createDataFrame(
+        [("s", 1, "m", "1", 5, "AA"), ("s", 2, "m", "1", 5, "AA"), ("s", 3, "m", "1", 6, "AG"), ("s", 4, "n", "2", 7, "AA")],
+        "sample_id string, source_line_number long, source_marker_id string, source_chromosome string, source_position long, raw_genotype string",
+    )
+    out = qc.finding_lines(seen)
+    assert out._jdf.queryExecution().analyzed().toString().count("Join Inner") == 3
+    told = sorted((r["code"], r["source_line_number"]) for r in out.collect())
+    assert told == [
+        ("CONFLICTING_DUPLICATE_MARKER", 1), ("CONFLICTING_DUPLICATE_MARKER", 2), ("CONFLICTING_DUPLICATE_MARKER", 3),
+        ("DUPLICATE_COORDINATE", 1), ("DUPLICATE_COORDINATE", 2),
+        ("DUPLICATE_MARKER_ID", 1), ("DUPLICATE_MARKER_ID", 2), ("DUPLICATE_MARKER_ID", 3),
+        ("EXACT_DUPLICATE_RECORD", 1), ("EXACT_DUPLICATE_RECORD", 2),
+    ]

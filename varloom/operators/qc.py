@@ -299,8 +299,12 @@ def finding_lines(observations: DataFrame) -> DataFrame:
         "source_line_number",
     )
     out = None
+    # codes with the same key share one join, so the observations are read once per key
+    codes = {}
     for code, keys in _LEVELS.items():
-        level = groups.where(F.col("code") == code).select("sample_id", "code", *keys)
+        codes.setdefault(tuple(keys), []).append(code)
+    for keys, shared in codes.items():
+        level = groups.where(F.col("code").isin(shared)).select("sample_id", "code", *keys)
         part = base.join(level, ["sample_id", *keys]).select(
             "sample_id",
             "code",
