@@ -145,6 +145,31 @@ def sent(queries: DataFrame, cells: Tree, cell_rows: int) -> tuple[DataFrame, Da
     return balanced_sides(queries, visited, ["node"], QUERIES, cell_rows)
 
 
+def _candidates(q: np.ndarray, u: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """(query, reference) positions among which are the ``count`` nearest of every query, found by one matrix product.
+
+    |q|^2 + |u|^2 - 2 qu is a squared distance up to rounding; whatever is not above the ``count``-th by more than the error
+    of both is a candidate, so exact distances are needed for few pairs.  A product that is no number rules nothing out.
+    """
+    if len(u) <= count:
+        return np.repeat(np.arange(len(q)), len(u)), np.tile(np.arange(len(u)), len(q))
+    own, other = (q * q).sum(axis=1), (u * u).sum(axis=1)
+    about = other[None, :] - 2 * (q @ u.T)
+    error = 8 * (u.shape[1] + 4) * np.finfo(float).eps
+    bound = np.partition(about + error * other, count - 1, axis=1)[:, count - 1] + error * own
+    return np.nonzero(~(about - error * other > bound[:, None]))
+
+
+def _distances(q: np.ndarray, u: np.ndarray, row: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Distance of each pair of positions; at most 2^20 numbers of a side are held at a time."""
+    far = np.empty(len(row))
+    step = max(1, (1 << 20) // max(1, u.shape[1]))
+    for start in range(0, len(row), step):
+        gap = q[row[start : start + step]] - u[at[start : start + step]]
+        far[start : start + step] = np.sqrt((gap * gap).sum(axis=1))
+    return far
+
+
 def nearest(points: DataFrame, scores: DataFrame, count: int = vocab.NEIGHBOURS, cell_rows: int = CELL_ROWS) -> DataFrame:
     """The ``count`` nearest reference samples of each point, ties by group then sample.
 
@@ -166,19 +191,23 @@ def nearest(points: DataFrame, scores: DataFrame, count: int = vocab.NEIGHBOURS,
             right = right.sort_values(["reference_group_id", "reference_sample_id"], kind="stable")
             u = np.array(right["u"].tolist(), dtype=float)
             q = np.array(left["z"].tolist(), dtype=float)
-            step = max(1, 8_000_000 // max(1, u.size))
+            step = max(1, 4_000_000 // len(u))
             for start in range(0, len(q), step):
-                gap = q[start : start + step, None, :] - u[None, :, :]
-                far = np.sqrt((gap * gap).sum(axis=2))
-                top = np.argsort(far, axis=1, kind="stable")[:, :count]
-                near = right.iloc[top.ravel()]
+                part = q[start : start + step]
+                row, at = _candidates(part, u, count)
+                far = _distances(part, u, row, at)
+                # rows of one query together, nearest first, ties in the order of the references
+                order = np.lexsort((at, far, row))
+                row, at, far = row[order], at[order], far[order]
+                first = np.arange(len(row)) - np.searchsorted(row, row) < count
+                near = right.iloc[at[first]]
                 out.append(
                     pd.DataFrame(
                         {
-                            "query_id": np.repeat(left["query_id"].to_numpy()[start : start + step], top.shape[1]),
+                            "query_id": left["query_id"].to_numpy()[start : start + step][row[first]],
                             "reference_sample_id": near["reference_sample_id"].to_numpy(),
                             "reference_group_id": near["reference_group_id"].to_numpy(),
-                            "distance": np.take_along_axis(far, top, axis=1).ravel(),
+                            "distance": far[first],
                         }
                     )
                 )
