@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from varloom.functions.alleles import effect_dosage
 from varloom.functions.fixed import EXACT as WEIGHT, exact_number, fraction, magnitude, settled, times, whole
+from varloom.operators.materialize import stored
 from varloom.operators.scale import balanced_join, in_ranges
 
 
@@ -160,7 +161,13 @@ def compare_reference(
         .when((F.col("n") < 2) | (F.col("bad") > 0), "REFERENCE_DISTRIBUTION_INVALID")
         .when(F.col("variance") <= 0, "REFERENCE_ZERO_VARIANCE")
     )
-    judged = joined.withColumn("comparison_reason", reason)
+    # stored: the scores behind it are read for the ranks, the placed and the rest
+    judged = stored(
+        joined.withColumn("comparison_reason", reason).select(
+            "sample_id", *identity, "value", "n", "mean", "variance", "comparison_reason"
+        ),
+        "judged",
+    )
     ready = judged.where("comparison_reason is null")
     points = (
         reference.select(*identity, F.col("score").alias("value"), F.lit(1).alias("w"))
