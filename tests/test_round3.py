@@ -28,3 +28,8 @@ def test_candidates_hold_the_nearest():
         assert set(np.argsort(far, kind="stable")[:4]) <= set(at[row == i])
     # few pairs of an ordinary query are left for exact distances
     assert max(np.bincount(row)[:5]) < 12
+
+
+def test_archives_are_parsed_once_per_use(spark):
+    plan = _plan(contract.queries()["vcv_representations"](spark, SMALL))
+    assert plan.count("from_xml(") == 1

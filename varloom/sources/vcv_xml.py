@@ -117,8 +117,9 @@ def scan_archives(spark: SparkSession, paths, snapshot_id: str) -> DataFrame:
     body = F.when(start != "", F.concat(start, F.lit(close)))
     rows = (
         spark.read.text(paths, lineSep=close)
+        # a filter on the parsed archive would parse it a second time
+        .where(body.isNotNull())
         .select(F.from_xml(body, ARCHIVE_SCHEMA, {"mode": "FAILFAST"}).alias("archive"))
-        .where("archive is not null")
         .select("archive.*")
     )
     record = F.coalesce("ClassifiedRecord", "IncludedRecord")
