@@ -33,3 +33,7 @@ def test_candidates_hold_the_nearest():
 def test_archives_are_parsed_once_per_use(spark):
     plan = _plan(contract.queries()["vcv_representations"](spark, SMALL))
     assert plan.count("from_xml(") == 1
+
+
+def test_rationales_filter_rows_not_arrays(spark):
+    assert "lambda" not in _plan(contract.queries()["rationales"](spark, SMALL))
