@@ -50,7 +50,9 @@ def settled(wholes: Column, fractions: Column) -> Column:
     """The exact number of a sum of floors and a sum of fractions; NULL when it has more than 20 whole digits."""
     carry = F.floor(fractions)
     rest = F.pmod(fractions, F.lit(1).cast("decimal(1,0)")).cast("decimal(19,18)")
-    return _plain((wholes + carry).cast("decimal(38,0)"), rest).try_cast(EXACT)
+    total = (wholes + carry).cast("decimal(38,0)")
+    # up to 19 whole digits the sum of both has room, and only longer numbers go through their text
+    return F.coalesce((total.try_cast("decimal(19,0)") + rest).cast(EXACT), _plain(total, rest).try_cast(EXACT))
 
 
 def magnitude(number: Column) -> tuple[Column, Column]:

@@ -35,7 +35,9 @@ def alignment(calls: DataFrame, model_variants: DataFrame, requests: DataFrame)
     sample requests does not sit in one partition and a rare one is not copied.  A variant whose weight is no exact number is
     excluded here and in :func:`scores`.
     """
-    wanted = balanced_join(requests, model_variants, ["pgs_id"])
+    # a dosage is 0, 1 or 2, so products are made once per model variant
+    products = model_variants.withColumn("twice", times(F.col("weight"), F.lit(2)))
+    wanted = balanced_join(requests, products, ["pgs_id"])
     slim = calls.select("sample_id", "variant_id", "diploid_low", "diploid_high")
     invalid = F.when(F.col("weight").isNull(), "MODEL_WEIGHT_INVALID")
     rows = wanted.join(slim, ["sample_id", "variant_id"], "left").withColumn("reason", F.coalesce(invalid, call_reason()))
@@ -50,7 +52,12 @@ def alignment(calls: DataFrame, model_variants: DataFrame, requests: DataFrame)
         "reason",
         F.when(ok, "observed").alias("input_source"),
         F.when(ok, _dosage()).alias("effect_dosage"),
-        F.when(ok, times(F.col("weight"), _dosage())).alias("contribution"),
+        F.when(
+            ok,
+            F.when(_dosage() == 1, F.col("weight"))
+            .when(_dosage() == 2, F.col("twice"))
+            .otherwise(times(F.col("weight"), _dosage())),
+        ).alias("contribution"),
     )
 
 
