@@ -37,3 +37,9 @@ def test_archives_are_parsed_once_per_use(spark):
 
 def test_rationales_filter_rows_not_arrays(spark):
     assert "lambda" not in _plan(contract.queries()["rationales"](spark, SMALL))
+
+
+def test_queue_stores_only_what_it_shows(spark):
+    files = contract.queries()["review_queue"](spark, SMALL).inputFiles()
+    held = set(spark.read.parquet(*files).columns)
+    assert "queue_position" not in held and not {"candidate_id", "profile_id", "any_high"} & held
