@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from varloom import vocab
 from varloom.functions.tokens import recognized_chromosome
+from varloom.operators.materialize import stored
 from varloom.operators.scale import listed, previous_value
 
 RECORD = ["source_marker_id", "source_chromosome", "source_position", "raw_genotype"]
@@ -250,6 +251,8 @@ def findings(
 ) -> DataFrame:
     """One row per issue.  Lines of a group finding are in :func:`finding_lines`."""
     null_text, null_long = F.lit(None).cast("string"), F.lit(None).cast("bigint")
+    # stored: groups, tokens and order each read the numbered lines, whose numbering is a shuffle of all of them
+    observations = stored(observations.select("sample_id", *RECORD, "source_line_number"), "observations")
     grouped = finding_groups(observations).select(
         "sample_id",
         "code",
