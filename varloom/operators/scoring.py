@@ -80,21 +80,20 @@ def scores(
     )
     usable = calls.where(call_reason().isNull()).select("sample_id", "variant_id", "diploid_low")
     dose = _dosage().cast("decimal(1,0)")
+    # floors and fractions are taken once per model variant; pairs that nobody requested go when the requests meet their parts
+    split = model_variants.where(F.col("weight").isNotNull()).select(
+        "pgs_id",
+        "variant_id",
+        "effect_allele",
+        "alternate",
+        whole(F.col("weight")).alias("w"),
+        fraction(F.col("weight")).alias("f"),
+        size_whole.alias("aw"),
+        size_rest.alias("af"),
+    )
     parts = (
-        usable.join(
-            model_variants.select("pgs_id", "variant_id", "weight", "effect_allele", "alternate"),
-            "variant_id",
-        )
-        .join(requests.select("sample_id", "pgs_id").distinct(), ["sample_id", "pgs_id"], "left_semi")
-        .where(F.col("weight").isNotNull())
-        .select(
-            "sample_id",
-            "pgs_id",
-            (whole(F.col("weight")) * dose).alias("w"),
-            (fraction(F.col("weight")) * dose).alias("f"),
-            size_whole.alias("aw"),
-            size_rest.alias("af"),
-        )
+        usable.join(split, "variant_id")
+        .select("sample_id", "pgs_id", (F.col("w") * dose).alias("w"), (F.col("f") * dose).alias("f"), "aw", "af")
         .groupBy("sample_id", "pgs_id")
         .agg(
             F.count(F.lit(1)).alias("contributed"),
