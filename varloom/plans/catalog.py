@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from varloom.functions.ids import stable_id
+from varloom.sources.lines import MEMBER
 
 MANIFEST = "_manifest"
 #: Table of the tables of a run: it lies beside them and is an artifact like any other.
@@ -122,11 +123,26 @@ def file_digests(spark: SparkSession, paths) -> DataFrame:
     return short.unionByName(long)
 
 
-def inventory(spark: SparkSession, root: str) -> DataFrame:
-    """Artifacts of a run directory relative to its root (the manifest itself excluded)."""
+def member_digests(spark: SparkSession, paths) -> DataFrame:
+    """(uri, sha256, byte_size) of every source in bundles (see :func:`scan_lines`): the digest is that of its bytes as a file of its own.
+
+    uri is the bundle's, followed by the source's name.  Bundles are split between sources, and a source is read as one value.
+    """
+    held = spark.read.option("recursiveFileLookup", True).option("lineSep", MEMBER).text(paths).where("value <> ''")
+    name = F.substring_index("value", "\n", 1)
+    content = F.substr("value", F.char_length(name) + 2)
+    return held.select(
+        F.concat_ws("/", "_metadata.file_path", name).alias("uri"),
+        F.sha2(content, 256).alias("sha256"),
+        F.octet_length(content).cast("bigint").alias("byte_size"),
+    )
+
+
+def inventory(spark: SparkSession, root: str, bundled: bool = False) -> DataFrame:
+    """Artifacts of a run directory relative to its root (the manifest itself excluded); ``bundled``: sources of its bundles."""
     relative = F.regexp_extract("uri", r"^(?:[a-z0-9]+:)?(?://[^/]*)?" + _quoted(root) + r"/+(.*)$", 1)
     return (
-        file_digests(spark, root)
+        (member_digests if bundled else file_digests)(spark, root)
         .select(relative.alias("artifact"), "sha256", "byte_size")
         .where(~F.col("artifact").startswith(MANIFEST + "/"))
     )
