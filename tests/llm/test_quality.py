@@ -140,3 +140,47 @@ def test_calibration_is_not_cut_at_a_number_of_rows(spark):
     scale = q._calibrate(rows)
     assert (scale.centres[0], scale.cuts[0], scale.spreads[0]) == (89_999.5, 29_999.5, 30_000.0)
     assert q._calibrate(rows.where("good")) is None
+
+
+def test_calibration_takes_few_jobs(spark):
+    # the driver keeps a thread for every exchange, broadcast and query of the last minute: 81 jobs when each sum had windows of its own
+    rng = random.Random(8)
+    rows = [(*(round(rng.gauss(1.0 if i % 3 else -0.5, 0.7), 2) for _ in range(3)), i % 3 > 0) for i in range(400)]
+    frame = spark.createDataFrame(rows, "mean double, word double, pair double, good boolean")
+    context = spark.sparkContext
+    context.setJobGroup("calibration", "jobs of one calibration")
+    try:
+        found = q._calibrate(frame)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert found == plain_scale(rows)
+    assert len(context.statusTracker().getJobIdsForGroup("calibration")) <= 60
+
+
+def test_ratios_take_little_of_the_drivers_memory(spark, documents, prose):
+    # 69 MB with dense counts of all buckets; the ratios are those of a plain count
+    import tracemalloc
+
+    import numpy as np
+
+    rows, _ = corpus(prose, 30)
+    frame = documents(rows).selectExpr("doc_id", "text")
+    target = frame.filter("doc_id % 3 = 0").selectExpr("text", "true as good")
+    tracemalloc.start()
+    try:
+        got = q._ratios(target, frame.selectExpr("text", "false as good"))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 25e6
+    for j in range(2):
+        for k, part in enumerate((slice(0, q.WORDS), slice(q.WORDS, q.SIZE))):
+            raw, good = np.zeros(q.SIZE, dtype=np.int64), np.zeros(q.SIZE, dtype=np.int64)
+            for i, text in rows:
+                found = q.buckets(text)[k]
+                np.add.at(raw, np.unique(found) if j else found, 1)
+                if i % 3 == 0:
+                    np.add.at(good, np.unique(found) if j else found, 1)
+            share = good.sum() / raw.sum()
+            want = np.log((good[part] + q.PRIOR * share) / ((raw[part] + q.PRIOR) * share))
+            assert np.allclose(got[j, part], want, rtol=1e-5, atol=1e-6)

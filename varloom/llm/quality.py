@@ -29,6 +29,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -36,10 +37,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.window import Window
 
 from varloom.llm.common import NO_ID, kept_rows, slices
 from varloom.operators.materialize import stored
-from varloom.operators.scale import in_ranges, running_total
+from varloom.operators.scale import in_ranges
 
 #: Buckets of words and of word pairs: the two broadcast tables are 5 MB each whatever the corpus.
 WORDS, PAIRS = 1 << 20, 1 << 18
@@ -126,22 +129,33 @@ def _sum_blocks(part: pd.DataFrame) -> pd.DataFrame:
 
 
 def _ratios(target: DataFrame, everything: DataFrame) -> np.ndarray:
-    """Log ratios of every bucket, by occurrences and by documents; the counts come as one value per block."""
-    raw, good = np.zeros(2 * SIZE, dtype=np.int64), np.zeros(2 * SIZE, dtype=np.int64)
-    for rows, is_target in ((everything, False), (target, True)):
-        found = rows.mapInArrow(_blocks, "block int, counts binary").groupBy("block").applyInPandas(
+    """Log ratios of every bucket, by occurrences and by documents; the counts come as one value per block.
+
+    The driver keeps the values compressed and opens one block at a time.
+    """
+    found: tuple[dict[int, bytes], dict[int, bytes]] = ({}, {})
+    for blobs, rows in zip(found, (everything, target)):
+        sums = rows.mapInArrow(_blocks, "block int, counts binary").groupBy("block").applyInPandas(
             _sum_blocks, "block int, counts binary"
         )
-        for block, blob in found.toLocalIterator():
-            inside = slice(block * BLOCK, (block + 1) * BLOCK)
-            # the target's rows are among everything already
-            _add_blob(blob, np.zeros(BLOCK, dtype=np.int64) if is_target else raw[inside], good[inside])
+        blobs.update((block, bytes(blob)) for block, blob in sums.toLocalIterator())
+
+    def counts(block: int) -> tuple[np.ndarray, np.ndarray]:
+        raw, good, unused = (np.zeros(BLOCK, dtype=np.int64) for _ in range(3))
+        if block in found[0]:
+            _add_blob(found[0][block], raw, unused)
+        if block in found[1]:  # the target's rows are among everything already
+            _add_blob(found[1][block], unused, good)
+        return raw, good
+
     out = np.zeros(2 * SIZE, dtype=np.float32)
     for start in (0, SIZE):
-        for part in (slice(start, start + WORDS), slice(start + WORDS, start + SIZE)):
-            share = good[part].sum() / max(raw[part].sum(), 1)
-            if share:
-                out[part] = np.log((good[part] + PRIOR * share) / ((raw[part] + PRIOR) * share))
+        for blocks in (range(start, start + WORDS, BLOCK), range(start + WORDS, start + SIZE, BLOCK)):
+            totals = [[int(x.sum()) for x in counts(at // BLOCK)] for at in blocks]
+            share = sum(good for _, good in totals) / max(sum(raw for raw, _ in totals), 1)
+            for at in blocks if share else ():
+                raw, good = counts(at // BLOCK)
+                out[at : at + BLOCK] = np.log((good + PRIOR * share) / ((raw + PRIOR) * share))
     return out.reshape(2, SIZE)
 
 
@@ -174,30 +188,51 @@ class Scale:
     spreads: tuple[float, ...]
 
 
+def _below(counted: DataFrame, keys: list[str], amounts: list[str]) -> tuple[DataFrame, DataFrame, dict[tuple, list[int]]]:
+    """``counted`` (one row per ``keys`` and ``value``) in range partitions; the same with <amount>_below, the sums over the smaller
+    values of the key; and the sums of every key.
+
+    Only the sums of a key in a range, one row each, pass the driver.  So all amounts share one window, and a few exchanges do:
+    a session keeps a thread for a minute after each of them, which its driver has to hold.
+    """
+    ranged = in_ranges(counted, keys, ["value"])
+    totals: dict[tuple, list[int]] = {}
+    before = []
+    for row in sorted(ranged.groupBy(*keys, "_range").agg(*[F.sum(a).alias(a) for a in amounts]).collect()):
+        total = totals.setdefault(row[: len(keys)], [0] * len(amounts))
+        before.append((*row[: len(keys) + 1], *total))
+        total[:] = [x + row[a] for x, a in zip(total, amounts)]
+    names = [f"{a}_before" for a in amounts]
+    fields = [*ranged.select(*keys, "_range").schema.fields, *[StructField(n, LongType()) for n in names]]
+    before = ranged.sparkSession.createDataFrame(before, StructType(fields))
+    inside = Window.partitionBy(*keys, "_range").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    within = ranged.withColumns({f"{a}_below": F.coalesce(F.sum(a).over(inside), F.lit(0)) for a in amounts})
+    joined = within.join(F.broadcast(before), [*keys, "_range"])
+    return ranged, joined.withColumns({f"{a}_below": F.col(f"{a}_below") + F.col(f"{a}_before") for a in amounts}), totals
+
+
 def _middles(rows: DataFrame) -> dict[str, float]:
     """Exact median of ``value`` per ``reading``, by the ranks of its distinct values in range partitions."""
-    counted = in_ranges(rows.groupBy("reading", "value").agg(F.count("*").alias("n")), ["reading"], ["value"])
-    ranked = running_total(counted, ["reading"], F.col("_range"), ["value"], "n", "before")
-    sizes = rows.groupBy("reading").agg(F.count("*").alias("size"))
+    _, ranked, sizes = _below(rows.groupBy("reading", "value").agg(F.count("*").alias("n")), ["reading"], ["n"])
 
-    def holds(rank: str) -> Column:
-        return F.expr(f"before <= {rank} and {rank} < before + n")
+    def holds(reading: str, rank: int) -> Column:
+        return (F.col("reading") == reading) & (F.col("n_below") <= rank) & (F.col("n_below") + F.col("n") > rank)
 
-    # one or two rows per reading
-    middle = ranked.join(sizes, "reading").where(holds("(size - 1) div 2") | holds("size div 2"))
-    return {r["reading"]: r["middle"] for r in middle.groupBy("reading").agg(F.avg("value").alias("middle")).collect()}
+    middle = reduce(Column.__or__, [holds(r, i) for (r,), (n,) in sizes.items() for i in {(n - 1) // 2, n // 2}])
+    found: dict[str, list[float]] = {}
+    for row in ranked.where(middle).select("reading", "value").collect():  # one or two rows per reading
+        found.setdefault(row["reading"], []).append(row["value"])
+    return {reading: sum(values) / len(values) for reading, values in found.items()}
 
 
 def _cut(rows: DataFrame, reading: str, n_good: int, n_bad: int) -> float:
     """The cut of one reading over all ``rows`` that earlier cuts have left."""
     counted = rows.groupBy(F.col(reading).alias("value")).agg(F.count_if("good").alias("g"), F.count_if(~F.col("good")).alias("b"))
-    ranged = in_ranges(counted, [], ["value"])
-    left = ranged.agg(F.sum("g").alias("g"), F.sum("b").alias("b"), F.min(F.when(F.col("g") > 0, F.col("value"))).alias("low")).first()
-    if not left["b"]:
-        return left["low"]
-    below = running_total(ranged, [], F.col("_range"), ["value"], "g", "good_below")
-    below = running_total(below, [], F.col("_range"), ["value"], "b", "bad_below")
-    kept, gone = (F.lit(left["g"]) - F.col("good_below")) / n_good, F.col("bad_below") / n_bad
+    ranged, below, totals = _below(counted, [], ["g", "b"])
+    left_good, left_bad = totals[()]
+    if not left_bad:
+        return ranged.where("g > 0").agg(F.min("value")).first()[0]
+    kept, gone = (F.lit(left_good) - F.col("g_below")) / n_good, F.col("b_below") / n_bad
     gain = F.when(kept >= KEEP, gone + kept).otherwise(-1.0)
     # of equal gains the smallest value of a good document, then the smallest at all
     best = below.agg(F.max(F.struct(gain.alias("gain"), F.col("g") > 0, (-F.col("value")).alias("value"))).alias("best")).first()
@@ -258,6 +293,7 @@ def weights(docs: DataFrame, labels: DataFrame, label_limit: int | None = None)
             )
 
     read_ = stored(keys.mapInArrow(read, "_id long, _mark long, mean double, word double, pair double"), "readings")
+    held.destroy()  # the readings are stored: neither driver nor executors need to hold the ratios any longer
     sample = read_.join(marks.filter(calibrates).hint("merge"), "_id").filter("mean is not null").fillna(0.0, ["pair"]).select(*READINGS, "good")
     scale = _calibrate(stored(sample, "calibration"))
     if scale is None:
