@@ -14,8 +14,9 @@ from varloom.operators.materialize import stored
 from varloom.operators.projection import scaled
 from varloom.operators.scale import balanced_sides
 
-#: Reference samples a cell aims at, and queries that meet one copy of a cell's rows.
-CELL_ROWS, QUERIES = 2_000, 2_000
+#: Reference samples a cell aims at, and queries that meet one copy of a cell's rows.  Vectors that are sent per pair fall with
+#: both; a part of 8 MB of doubles at 64 components is still small for a task.
+CELL_ROWS, QUERIES = 16_000, 8_000
 #: Rows per open node that its cuts are fitted on.
 FITTED = 400
 #: Axes cut in one pass over the rows, and the bits they take in a node's number.
@@ -119,7 +120,7 @@ def _gap(vector: Column, sides: Column) -> Column:
 
 
 def visits(queries: DataFrame, cells: Tree) -> DataFrame:
-    """(query_id, z, node) of every leaf but the own one whose box is within ``reach``; ``queries``: query_id, z, own, reach.
+    """(query_id, z, reach, node) of every leaf but the own one whose box is within ``reach``; ``queries``: query_id, z, own, reach.
 
     Descends level by level and keeps only nodes that are close enough, so its work follows the visits.
     """
@@ -131,7 +132,7 @@ def visits(queries: DataFrame, cells: Tree) -> DataFrame:
     for _ in range(cells.depth):
         met = front.join(children, "node").where(close).drop("sides", "node").withColumnRenamed("child", "node")
         met = stored(met, "front")
-        found.append(met.where("leaf and node <> own").select("query_id", "z", "node"))
+        found.append(met.where("leaf and node <> own").select("query_id", "z", "reach", "node"))
         front = met.where("not leaf").drop("leaf")
     out = found[0]
     for more in found[1:]:
@@ -140,7 +141,7 @@ def visits(queries: DataFrame, cells: Tree) -> DataFrame:
 
 
 def sent(queries: DataFrame, cells: Tree, cell_rows: int) -> tuple[DataFrame, DataFrame, list[str]]:
-    """What meets in the cells: queries (query_id, z, node) and the rows of visited cells, copied once per ``QUERIES`` visits."""
+    """What meets in the cells: queries (query_id, z, reach, node) and the rows of visited cells, copied once per ``QUERIES`` visits."""
     visited = cells.rows.join(queries.select("node").distinct(), "node", "left_semi")
     return balanced_sides(queries, visited, ["node"], QUERIES, cell_rows)
 
@@ -190,12 +191,15 @@ def nearest(points: DataFrame, scores: DataFrame, count: int = vocab.NEIGHBOURS,
             # ties are settled by the order of the rows
             right = right.sort_values(["reference_group_id", "reference_sample_id"], kind="stable")
             u = np.array(right["u"].tolist(), dtype=float)
-            q = np.array(left["z"].tolist(), dtype=float)
+            q, reach = np.array(left["z"].tolist(), dtype=float), left["reach"].to_numpy()
             step = max(1, 4_000_000 // len(u))
             for start in range(0, len(q), step):
                 part = q[start : start + step]
                 row, at = _candidates(part, u, count)
                 far = _distances(part, u, row, at)
+                # what lies beyond a query's reach is no answer; ties and what is no number stay
+                close = ~(far > reach[start : start + step][row])
+                row, at, far = row[close], at[close], far[close]
                 # rows of one query together, nearest first, ties in the order of the references
                 order = np.lexsort((at, far, row))
                 row, at, far = row[order], at[order], far[order]
@@ -222,12 +226,13 @@ def nearest(points: DataFrame, scores: DataFrame, count: int = vocab.NEIGHBOURS,
     def best(rows: DataFrame) -> DataFrame:
         return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= count)
 
-    z = own_cells(scaled(points, "coordinates", scores, "z").select("query_id", "z"), cells)
+    endless = F.lit(float("inf"))
+    z = own_cells(scaled(points, "coordinates", scores, "z").select("query_id", "z", endless.alias("reach")), cells)
     if not cells.depth:
         return best(searched(z))
     z = stored(z, "queries")
     first = stored(best(searched(z)), "nearest")
     bound = first.where(F.col("rank") == count).select("query_id", F.col("distance").alias("bound"))
     known = z.withColumnRenamed("node", "own").join(bound, "query_id", "left")
-    known = known.withColumn("reach", F.coalesce("bound", F.lit(float("inf")))).drop("bound")
+    known = known.withColumn("reach", F.coalesce("bound", "reach")).drop("bound")
     return best(first.drop("rank").unionByName(searched(visits(known, cells))))
