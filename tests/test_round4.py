@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 import __spark_entry__ as contract
-from varloom.operators import neighbors as nb
+from varloom.operators import neighbors as nb, projection as pj
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -37,3 +37,45 @@ def test_nearest_of_all_rows_against_all_rows(spark):
 
 def test_nearest_samples_sql_has_no_cut():
     assert "%20" not in contract.oracle_sql()["nearest_samples"]
+
+
+CALL = "sample_id string, variant_id string, call_count long, valid_low int, valid_high int"
+
+
+def _joined(calls, loadings, requests):
+    """The rows by the plain joins."""
+    out = []
+    for sample, model in requests:
+        for m, mv, v, c in loadings:
+            if m is None or m != model:
+                continue
+            found = [x for x in calls if None not in (x[0], x[1], v) and x[:2] == (sample, v)] or [(sample, v, None, None, None)]
+            for _, _, n, low, high in found:
+                kind = "missing" if not n else "excluded" if low is None else "discordant" if high is not None and low != high else "used"
+                why = {"missing": "model_marker_absent", "excluded": "invalid_alleles", "discordant": "discordant_calls"}.get(kind)
+                out.append((sample, model, mv, v, c, kind, why, low if kind == "used" else None))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("sizes", [(16_384, 2_000), (2, 1)])
+def test_marker_alignment_sends_calls_not_pairs(spark, monkeypatch, sizes):
+    """Same rows as plain joins with repeated and NULL keys, in blocks of any size; requests x markers rows are no join's left side."""
+    monkeypatch.setattr(pj, "MARKERS", sizes[0])
+    monkeypatch.setattr(pj, "REQUESTS", sizes[1])
+    calls = [
+        ("a", "v1", 1, 2, 2), ("a", "v2", 2, 0, 1), ("a", "v3", 1, None, None), ("a", "v4", 0, None, None), ("b", "v1", 1, 0, 0),
+        ("b", None, 1, 1, 1), (None, "v1", 1, 1, 1), ("c", "v9", 1, 1, 1), ("b", "v5", None, None, None),
+    ]
+    loadings = [("m", f"mv{i}", f"v{i}", str(i % 3)) for i in range(1, 8)]
+    loadings += [("m", "mv1", "v1", "1"), ("m", "mv1b", "v1", None), ("m", None, None, "2"), ("n", "mv1", "v1", "1"), (None, "mv1", "v1", "1")]
+    requests = [("a", "m"), ("a", "m"), ("a", "n"), ("b", "m"), ("c", "m"), (None, "m"), ("d", "x"), ("e", None)]
+    out = pj.marker_alignment(
+        spark.createDataFrame(calls, CALL),
+        spark.createDataFrame(loadings, "model_id string, model_variant_id string, variant_id string, chromosome string"),
+        spark.createDataFrame(requests, "sample_id string, model_id string"),
+    )
+    got = sorted((tuple(r) for r in out.collect()), key=repr)
+    assert got == _joined(calls, loadings, requests)
+    # rows of pairs come from the last step of all: nothing is joined or sorted above it
+    plan = _plan(out)
+    assert "array_except" in plan and plan.index("explode(transform(array_except") < plan.index("Join")
