@@ -492,11 +492,10 @@ def condition_links(rows: DataFrame, assertion_rows: DataFrame) -> DataFrame:
         "assertion_id",
     )
     return (
-        rows.join(subject, ["representation_id", "accession", "version"])
-        .select(
-            stable_id("acrel", "assertion_id", "condition_id").alias("relationship_id"),
-            "assertion_id",
-            "condition_id",
-        )
+        rows.select("representation_id", "accession", "version", "condition_id")
+        .join(subject, ["representation_id", "accession", "version"])
+        .select("assertion_id", "condition_id")
         .distinct()
+        # made from both ids, so it is no part of what makes a link distinct
+        .select(stable_id("acrel", "assertion_id", "condition_id").alias("relationship_id"), "assertion_id", "condition_id")
     )
