@@ -7,8 +7,8 @@ import pytest
 from conftest import rows
 
 import __spark_entry__ as contract
-from varloom.operators import neighbors as nb, pgx, projection as pj, qc
-from varloom.plans import suite_files
+from varloom.operators import neighbors as nb, pgx, projection as pj, qc, review as rv
+from varloom.plans import reports, suite_files
 from varloom.plans.driver_views import view
 
 SMALL = "/root/testdata/sf0.001"
@@ -173,3 +173,30 @@ def test_archives_are_stored_small(spark, folder, monkeypatch):
     plan = _plan(df)
     distinct = next(line for line in plan.splitlines() if "Aggregate [assertion_id" in line)
     assert "relationship_id" not in distinct and "from_xml(" not in plan
+
+
+def test_ids_are_made_where_they_are_used(spark):
+    """Profiles travel without ids to where their rationales meet genotypes; a report stores no candidate."""
+    text = _plan(contract.queries()["rationale_genotypes"](spark, SMALL))
+    dealt = text[text.index("RepartitionByExpression [sample_id") :]
+    assert "rationale-" in text and not any(prefix in dealt for prefix in ("rationale-", "candidate-", "profile-"))
+    held = contract.queries()["review_report"](spark, SMALL).inputFiles()
+    stored = {kind: set(spark.read.parquet(f).columns) for f in held for kind in ("profiles-", "ranges-") if kind in f}
+    assert set(stored) == {"profiles-", "ranges-"}
+    assert not {"profile_id", "candidate_id"} & stored["profiles-"] and not {"candidate_id", "any_high", "reason_code"} & stored["ranges-"]
+
+
+def test_report_reasons_meet_candidates_of_any_id(spark):
+    """Ids with and without digits at their end, and none, meet their reasons."""
+    ids = ["candidate-" + "0a" * 32, "candidate-" + "0b" * 32, "c1", "", None]
+    queue = spark.createDataFrame(
+        [("s", n + 1, f"v{n}", "review_first", "single_observed_alt_call", False, i, "more") for n, i in enumerate(ids)],
+        "sample_id string, queue_position long, variant_id string, band string, genotype_state string, source_conflict boolean, "
+        "candidate_id string, other string",
+    )
+    reasons = spark.createDataFrame([(i, r) for i in ids for r in ("b" if i else "a", "c", "c")], "candidate_id string, reason_code string")
+    evidence = spark.createDataFrame([("v0", ["k"], ["n"])], "variant_id string, logical_source_keys array<string>, condition_names array<string>")
+    out = [r.line for r in reports.review_report(queue, evidence, reasons).orderBy("ordinal").collect()]
+    assert len(out) == reports.REVIEW_HEAD + len(ids) * reports.REVIEW_ENTRY
+    assert out[reports.REVIEW_HEAD + 6 :: reports.REVIEW_ENTRY] == [f"   because: {x}" for x in ("b, c", "b, c", "b, c", "a, c", "none")]
+    assert rv.packed_id(queue, "candidate_id").where("_digest is null").count() == 0
