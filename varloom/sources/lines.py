@@ -62,5 +62,6 @@ def _bundled_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 def source_sample(uri: str):
     """A sample id for a file without a declared subject: its stem and the digest of its location."""
-    stem = F.regexp_extract(uri, r"([^/]+?)(?:\.[A-Za-z0-9]+)*$", 1)
+    # the pattern only ever sees the name: on a whole location it is tried from every character of it, for every line
+    stem = F.regexp_extract(F.substring_index(uri, "/", -1), r"([^/]+?)(?:\.[A-Za-z0-9]+)*$", 1)
     return F.concat_ws("-", stem, F.substring(F.sha2(uri, 256), 1, 32))
