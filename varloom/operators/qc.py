@@ -285,49 +285,51 @@ def findings(
     )
 
 
+_LEVELS = {
+    "CONFLICTING_DUPLICATE_MARKER": ["source_marker_id"],
+    "DUPLICATE_MARKER_ID": ["source_marker_id"],
+    "DUPLICATE_COORDINATE": ["source_chromosome", "source_position"],
+    "EXACT_DUPLICATE_RECORD": RECORD,
+}
+
+
+def _sharing(lines: DataFrame, keys: list[str]) -> DataFrame:
+    """The lines that share ``keys`` with another line of their sample, as a stored table: whole groups of more than one line."""
+    known = lines.where(" and ".join(f"{c} is not null" for c in ("sample_id", *keys)))
+    counted = known.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("sample_id", *keys)))
+    return stored(counted.where("_n > 1").drop("_n"), "sharing")
+
+
 def finding_lines(observations: DataFrame) -> DataFrame:
     """Every (finding, related line) pair in long form; complete at any group size.
 
-    Lines meet twice: those of one marker (with its equal records inside) and those of one place.  A group is counted where its
-    lines are, so that no line is sent again to meet its group; a large group spills and is as long as its own result.
+    All lines meet twice, by marker and by place, to leave out those that share neither; findings and their joins see the rest.
     """
     # stored: both meetings read the numbered lines, whose numbering is a shuffle of all of them
     lines = stored(observations.select("sample_id", *RECORD, "source_line_number"), "lines")
-
-    def counted(keys):
-        return F.count(F.lit(1)).over(Window.partitionBy("sample_id", *keys))
-
-    def known(*names):
-        return " and ".join(f"{c} is not null" for c in ("sample_id", *names))
-
-    def shown(rows, keys, found):
-        # a column that no code of these keys shows is not read
-        own = [
-            F.when(F.lit(c in keys) | (F.col("e.code") == "EXACT_DUPLICATE_RECORD"), F.col(c).cast("string")).alias(c)
-            if c in keys or keys == marker
-            else F.lit(None).cast("string").alias(c)
-            for c in RECORD
-        ]
-        return rows.select("*", F.explode(F.array(*found)).alias("e")).where("e is not null").select(
-            "sample_id", F.col("e.code").alias("code"), *own, "source_line_number"
+    marker, place = ("source_marker_id",), ("source_chromosome", "source_position")
+    # equal records share their marker
+    shared = {keys: _sharing(lines, list(keys)) for keys in (marker, place)}
+    out = None
+    # codes with the same key share one join, so the lines are read once per key
+    codes = {}
+    for code, keys in _LEVELS.items():
+        codes.setdefault(tuple(keys), []).append(code)
+    for keys, alike in codes.items():
+        rows = shared[place if keys == place else marker]
+        base = rows.select("sample_id", *[F.col(c).cast("string").alias(c) for c in RECORD], "source_line_number")
+        level = finding_groups(rows).where(F.col("code").isin(alike)).select("sample_id", "code", *keys)
+        part = base.join(level, ["sample_id", *keys]).select(
+            "sample_id",
+            "code",
+            *[
+                F.col(c) if c in keys else F.lit(None).cast("string").alias(c)
+                for c in RECORD
+            ],
+            "source_line_number",
         )
-
-    def code(name, when):
-        return F.when(when, F.struct(F.lit(name).alias("code")))
-
-    marker, place = RECORD[:1], RECORD[1:3]
-    # the marker's lines first: its partitions hold its records whole
-    markers = lines.where(known(*marker)).withColumn("n", counted(marker)).withColumn("equal", counted(RECORD)).where("n > 1")
-    places = lines.where(known(*place)).withColumn("n", counted(place)).where("n > 1")
-    return shown(
-        markers,
-        marker,
-        [
-            code("CONFLICTING_DUPLICATE_MARKER", F.col("n") != F.col("equal")),
-            code("DUPLICATE_MARKER_ID", F.lit(True)),
-            code("EXACT_DUPLICATE_RECORD", (F.col("equal") > 1) & F.expr(known(*RECORD))),
-        ],
-    ).unionByName(shown(places, place, [code("DUPLICATE_COORDINATE", F.lit(True))]))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def related_lines(observations: DataFrame) -> DataFrame:
